@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-AREAS = ("loans", "scores", "features")
+AREAS = ("loans", "scores", "features", "models")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}

@@ -15,9 +15,12 @@ LOGIT_BOUND = 30.0
 
 
 def to_double(c: Column | str) -> Column:
-    """Number or NULL: unparseable text and NaN both become NULL."""
-    value = as_column(c).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Number or NULL: unparseable text and NaN both become NULL.
+
+    The argument is referenced once, so stacked calls do not multiply a costly
+    expression (a model prediction, say) when the optimizer inlines them.
+    """
+    return F.nanvl(as_column(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_int(c: Column | str) -> Column:

@@ -58,7 +58,7 @@ def fit_platt(df: DataFrame, score: str, label: str, max_iter: int = 200, tol: f
     y = F.col(label).cast("int")
     counts = (
         df.select(numeric.to_double(score).alias("_p"), y.alias("_y"))
-        .dropna()
+        .filter(F.col("_p").isNotNull() & F.col("_y").isNotNull())
         .groupBy(numeric.logit("_p").alias("x"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("pos"))
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintagemill.operators.ordered import keep_known
+
 # Lookup tables up to this many rows are broadcast; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -19,7 +21,7 @@ def require_columns(df: DataFrame, columns: Sequence[str], name: str = "table")
 
 def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(distinct keys, most rows on one key); rows with a NULL key part are not counted."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = keep_known(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     row = counts.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
     return row["keys"], row["most"]
 
@@ -44,7 +46,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], name: s
     require_columns(fact, keys, "fact")
     rows = require_unique(lookup, keys, name)
     if rows <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup.dropna(subset=keys))
+        lookup = F.broadcast(keep_known(lookup, keys))
     return fact.join(lookup, keys, "left")
 
 
@@ -93,6 +95,6 @@ def missing_cells(panel: DataFrame, rows: DataFrame, columns: DataFrame) -> Data
     as an array and unfolded there.
     """
     column = columns.columns[0]
-    keys = columns.dropna().agg(F.collect_set(column)).scalar()
-    grid = rows.dropna().distinct().withColumn(column, F.explode(keys))
+    keys = keep_known(columns, [column]).agg(F.collect_set(column)).scalar()
+    grid = keep_known(rows, rows.columns).distinct().withColumn(column, F.explode(keys))
     return grid.join(panel, grid.columns, "left_anti")

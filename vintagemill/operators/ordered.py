@@ -22,6 +22,17 @@ from vintagemill.functions import numeric
 MAX_BUCKETS = 2_000
 
 
+def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is NULL.
+
+    One plain condition per column: a joint condition over many columns makes the
+    optimizer derive every combination of them through later renames.
+    """
+    for c in names:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
 def default_buckets(df: DataFrame) -> int:
     return max(2, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -92,7 +103,7 @@ def exact_quantiles(
     """
     by = list(by)
     buckets = buckets or max(default_buckets(df), min(MAX_BUCKETS, len(probabilities)))
-    slim = df.select(*by, *[numeric.to_double(c).alias(c) for c in columns]).dropna(subset=by or None, how="any" if by else "all")
+    slim = keep_known(df, by).select(*by, *[numeric.to_double(c).alias(c) for c in columns])
     bucketed = with_buckets(slim, bucket_edges(slim, columns, buckets))
     entries = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"bucket_{c}").alias("bucket"))

@@ -24,7 +24,8 @@ def score_counts(
     by = list(by)
     slim = df.select(
         *by, numeric.to_double(score).alias("score"), F.col(label).cast("int").alias("_y")
-    ).dropna()
+    )
+    slim = ordered.keep_known(slim, slim.columns)
     bucketed = ordered.with_buckets(slim, ordered.bucket_edges(slim, ["score"], buckets))
     return (
         bucketed.withColumnRenamed("bucket_score", "bucket")

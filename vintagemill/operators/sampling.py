@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill.operators.ordered import keep_known
+
 # Largest sample that a top-k may hold in one task.
 TOP_K_LIMIT = 10_000
 _PREFIX = 4  # hex digits: 65,536 groups of equal expected size
@@ -39,7 +41,7 @@ def first_by_budget(
     """
     by = list(by)
     hashed = df.withColumn("_budget", budget).withColumn("_order", sample_order(key, seed))
-    hashed = hashed.withColumn("_prefix", F.substring("_order", 1, _PREFIX)).dropna(subset=[*by, "_prefix"])
+    hashed = keep_known(hashed.withColumn("_prefix", F.substring("_order", 1, _PREFIX)), by)
     running = W.partitionBy(*by).orderBy("_prefix").rowsBetween(W.unboundedPreceding, 0)
     prefixes = (
         hashed.groupBy(*by, "_prefix")
