@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,29 +14,54 @@ from vintagemill.schemas import ABT_COLUMNS, ACQ_WIDTH, PERF_WIDTH
 from vintagemill.sources import raw, tables
 
 
-def abt(spark: SparkSession, folder: str) -> DataFrame:
+def built_abt(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled loans, by the library, from the typed inputs."""
     return loans.label_loans(view(spark, folder, "acq"), view(spark, folder, "perf"))
 
 
+_datasets: dict[tuple[str, str, str], str] = {}
+
+
+def dataset(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    """A derived dataset, written once per application and read by later queries.
+
+    Stages exchange datasets on disk, so a query over labelled loans does not label
+    them again.  A path that has gone is built anew.
+    """
+    slot = (spark.sparkContext.applicationId, folder, name)
+    if slot in _datasets:
+        try:
+            return spark.read.parquet(_datasets[slot])
+        except AnalysisException:
+            pass
+    _datasets[slot] = session.fresh_path(spark, name)
+    tables.write_dataset(build(spark, folder), _datasets[slot])
+    return spark.read.parquet(_datasets[slot])
+
+
+def abt(spark: SparkSession, folder: str) -> DataFrame:
+    return dataset(spark, folder, "abt", built_abt)
+
+
 def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = view(spark, folder, name)
     return df.toDF(*[f"_{c}" for c in df.columns])
 
 
-@lru_cache(maxsize=8)
-def _written(application: str, folder: str) -> str:
-    spark = SparkSession.getActiveSession()
-    root = session.fresh_path(spark, "raw")
-    for name, width, month in (("acq", ACQ_WIDTH, "_c1"), ("perf", PERF_WIDTH, "_c1")):
-        df = raw_frame(spark, folder, f"{name}_raw").withColumn("y", F.substring(month, 1, 4))
-        df.write.partitionBy("y").option("sep", "|").csv(f"{root}/{name}")
-    return root
-
-
 def raw_root(spark: SparkSession, folder: str) -> str:
     """Pipe-delimited raw files derived from the tables, one folder per year."""
-    return _written(spark.sparkContext.applicationId, folder)
+    slot = (spark.sparkContext.applicationId, folder, "raw")
+    if slot in _datasets:
+        try:
+            raw.list_raw_files(spark, f"{_datasets[slot]}/perf")
+            return _datasets[slot]
+        except (AnalysisException, FileNotFoundError):
+            pass
+    root = _datasets[slot] = session.fresh_path(spark, "raw")
+    for name in ("acq", "perf"):
+        df = raw_frame(spark, folder, f"{name}_raw").withColumn("y", F.substring("_c1", 1, 4))
+        df.write.partitionBy("y").option("sep", "|").csv(f"{root}/{name}")
+    return root
 
 
 @query("s1_raw_files", oracle("""
@@ -130,7 +154,7 @@ def _(spark, folder):
 @query("p5_outcome_label", oracle("""
 SELECT loan_id, first_90dpd, window_end, default_within_24m FROM abt""", "abt"))
 def _(spark, folder):
-    return abt(spark, folder).select("loan_id", "first_90dpd", "window_end", "default_within_24m")
+    return built_abt(spark, folder).select("loan_id", "first_90dpd", "window_end", "default_within_24m")
 
 
 @query("p6_full_window_keeping_early_bads", oracle("""
@@ -168,7 +192,7 @@ def _(spark, folder):
 
 @query("j1_labelled_loans", oracle("SELECT * FROM abt", "abt"))
 def _(spark, folder):
-    return abt(spark, folder).select(*ABT_COLUMNS)
+    return built_abt(spark, folder).select(*ABT_COLUMNS)
 
 
 @query("c1_build_loans_from_raw_files", oracle(
@@ -237,7 +261,7 @@ def _(spark, folder):
 @query("s10_partitioned_parquet_sink", oracle("SELECT * FROM abt", "abt"))
 def _(spark, folder):
     path = session.fresh_path(spark, "by-vintage")
-    tables.write_dataset(abt(spark, folder), path, partition_by=["vintage_q"])
+    tables.write_dataset(built_abt(spark, folder), path, partition_by=["vintage_q"])
     return tables.read_dataset(spark, path).select(*ABT_COLUMNS)
 
 
@@ -263,7 +287,7 @@ def _(spark, folder):
 
 @query("a4_bad_rate_by_vintage", oracle(f"SELECT vintage_q, COUNT(*) AS n, {RATE} FROM abt GROUP BY 1", "abt"))
 def _(spark, folder):
-    return rounded(summaries.by_vintage(abt(spark, folder)), "bad_rate")
+    return rounded(summaries.by_vintage(built_abt(spark, folder)), "bad_rate")
 
 
 @query("a5_largest_states", oracle(f"""
@@ -333,3 +357,12 @@ def _(spark, folder):
 @query("u2_distinct_domain", oracle("SELECT DISTINCT state FROM abt WHERE state IS NOT NULL", "abt"))
 def _(spark, folder):
     return abt(spark, folder).select("state").dropna().distinct().orderBy("state")
+
+
+@query("w6_top_states_per_vintage", oracle("""
+SELECT vintage_q, state, n, rank FROM (SELECT vintage_q, state, n, row_number() OVER (PARTITION BY vintage_q ORDER BY n DESC, state) AS rank
+  FROM (SELECT vintage_q, state, COUNT(*) AS n FROM abt GROUP BY 1, 2)) WHERE rank <= 3""", "abt"))
+def _(spark, folder):
+    counts = abt(spark, folder).groupBy("vintage_q", "state").agg(F.count(F.lit(1)).alias("n"))
+    return summaries.top_per_group(counts, ["vintage_q"], [F.desc("n"), F.asc("state")], 3).select(
+        "vintage_q", "state", "n", F.col("rank").cast("bigint").alias("rank"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import scores
 from checks.features import _DRIFT, _S, _psi_sql, split_abt
-from checks.loans import RATE, abt, rounded
+from checks.loans import RATE, abt, dataset, rounded
 from checks.registry import query
 from checks.scores import BAD, T, preds
 from checks.views import SPLIT_YEARS, oracle, table
@@ -20,20 +18,18 @@ from vintagemill.schemas import AUDIT_RULES, MODEL_NUMERIC, MONOTONE_DIRECTIONS
 from vintagemill.sources import tables
 
 
-@lru_cache(maxsize=8)
-def _feature_path(application: str, folder: str) -> str:
-    spark = SparkSession.getActiveSession()
-    path = session.fresh_path(spark, "features")
-    tables.write_dataset(features.build_features(abt(spark, folder), SPLIT_YEARS), path, ["split"])
-    return path
+def feature_table(spark: SparkSession, folder: str) -> DataFrame:
+    return dataset(spark, folder, "features", lambda s, f: features.build_features(abt(s, f), SPLIT_YEARS))
 
 
-def feature_path(spark: SparkSession, folder: str) -> str:
-    return _feature_path(spark.sparkContext.applicationId, folder)
+def split(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return feature_table(spark, folder).filter(F.col("split") == name)
 
 
-def split(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return jobs.split_of(spark, feature_path(spark, folder), name)
+def feature_path(spark: SparkSession, folder: str) -> str:
+    path = session.fresh_path(spark, "features-by-split")
+    tables.write_dataset(feature_table(spark, folder), path, ["split"])
+    return path
 
 
 def saved(df: DataFrame, name: str) -> str:
@@ -232,9 +228,10 @@ def _(spark, folder):
 @query("c7_score_and_calibrate_job")
 def _(spark, folder):
     run = session.fresh_path(spark, "run")
-    jobs.train_trees(spark, feature_path(spark, folder), run, MODEL_NUMERIC, maxIter=4, maxDepth=3)
+    path = feature_path(spark, folder)
+    jobs.train_trees(spark, path, run, MODEL_NUMERIC, maxIter=4, maxDepth=3)
     recent = f"{run}/recent_predictions"
-    jobs.score_recent(spark, run, feature_path(spark, folder), recent)
+    jobs.score_recent(spark, run, path, recent)
     return jobs.calibrate(spark, run, f"{run}/calibrated", recent)
 
 

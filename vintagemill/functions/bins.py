@@ -78,18 +78,3 @@ def uniform_bin(c: Column | str, bins: int) -> Column:
     step = 1.0 / bins
     cases = [(value <= i * step, i - 1) for i in range(1, bins)]
     return F.when(value.isNotNull(), _first_match(cases, bins - 1))
-
-
-def equal_width_bin(c: Column | str, low: Column | float, high: Column | float, bins: int) -> Column:
-    """Bin of equal width over [low, high], the top value in the last bin.
-
-    The computed position is corrected against the bin edges so that a value on
-    an edge always opens the upper bin, whatever the floating-point quotient.
-    """
-    value = as_column(c).cast("double")
-    low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
-    step = (high - low) / F.lit(bins)
-    guess = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
-    down = (value < low + guess * step).cast("int")
-    up = ((value >= low + (guess + 1) * step) & (guess < bins - 1)).cast("int")
-    return F.when(value.between(low, high), guess - down + up)

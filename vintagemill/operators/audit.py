@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagemill.operators import ordered
-from vintagemill.operators.summaries import bad_share
+from vintagemill.operators.summaries import bad_share, top_per_group
 from vintagemill.schemas import AUDIT_RULES, CATEGORY_COLUMNS, LABEL
 
 
@@ -69,14 +69,12 @@ def outlier_flags(df: DataFrame, rules: Mapping[str, tuple[float, float]] = AUDI
 def top_values(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS, k: int = 10) -> DataFrame:
     """(col, val, n, rank): most frequent values per column, NULL among them.
 
-    Rows are counted per (column, value) before ranking, and each task keeps only
-    its own ``k`` best before they meet.
+    Rows are counted per (column, value) before ranking.
     """
     present = [c for c in columns if c in df.columns]
     entries = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in present])
     counts = df.select(F.inline(entries)).groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(W.partitionBy("col").orderBy(F.desc("n"), F.asc_nulls_last("val")))
-    return counts.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return top_per_group(counts, ["col"], [F.desc("n"), F.asc_nulls_last("val")], k)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

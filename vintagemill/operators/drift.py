@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintagemill.functions import bins
@@ -104,14 +105,17 @@ def histograms(df: DataFrame, features: Sequence[str] = tuple(DRIFT_FEATURES), p
         low, high = row[f"lo_{c}"], row[f"hi_{c}"]
         if low is not None:
             ranges[c] = (low - 0.5, high + 0.5) if low == high else (low, high)
+    step = {c: (high - low) / parts for c, (low, high) in ranges.items()}
+    inner = {c: [low + i * step[c] for i in range(1, parts)] for c, (low, _) in ranges.items()}
+    placed = ordered.with_buckets(df.select(*ranges), inner)
     entries = F.array(*[
         F.struct(
-            F.lit(c).alias("feature"), bins.equal_width_bin(c, low, high, parts).alias("bin"),
-            F.lit(low).alias("_low"), F.lit((high - low) / parts).alias("_step"),
+            F.lit(c).alias("feature"), F.col(f"bucket_{c}").alias("bin"), F.lit(low).alias("_low"),
+            F.lit(step[c]).alias("_step"),
         )
-        for c, (low, high) in ranges.items()
+        for c, (low, _) in ranges.items()
     ])
-    counts = df.select(F.inline(entries)).filter(F.col("bin").isNotNull()).groupBy("feature", "bin", "_low", "_step").agg(
+    counts = placed.select(F.inline(entries)).filter(F.col("bin") >= 0).groupBy("feature", "bin", "_low", "_step").agg(
         F.count(F.lit(1)).alias("n"))
     return counts.select(
         "feature", "bin", (F.col("_low") + F.col("bin") * F.col("_step")).alias("low"),
@@ -120,8 +124,6 @@ def histograms(df: DataFrame, features: Sequence[str] = tuple(DRIFT_FEATURES), p
 
 def monotonicity_check(df: DataFrame, feature: str, score: str, direction: int, parts: int = 10) -> DataFrame:
     """Mean score per feature decile, flagging steps against the expected direction."""
-    from pyspark.sql import Window as W
-
     means = with_quantile_bin(df, feature, parts).filter(F.col("bin").isNotNull()).groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"))
     step = F.col("mean_score") - F.lag("mean_score").over(W.orderBy("bin"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.functions import numeric
 
 MAX_BUCKETS = 2_000
@@ -128,6 +129,9 @@ def exact_quantiles(
         .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("before") + F.col("n")))
         .select(*group, "bucket", "before", "q", "low", "high", "part")
     )
+    # Written, because its true size decides how the rows below are filtered: a
+    # broadcast while the list is short, a shuffle join if there are very many groups.
+    wanted = session.materialise(wanted, "ranks")
     holders = wanted.select(*group, "bucket").distinct()
     inside = W.partitionBy(*group, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     values = (

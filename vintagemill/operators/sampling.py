@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.operators.ordered import keep_known
 
 # Largest sample that a top-k may hold in one task.
@@ -49,6 +50,8 @@ def first_by_budget(
         .withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
         .filter(F.col("_before") < F.col("_take"))
     )
+    # At most 65,536 short rows per group; once written, their real size picks the join.
+    prefixes = session.materialise(prefixes, "prefixes")
     joined = hashed.join(prefixes, [*by, "_prefix"])
     fits = F.col("_before") + F.col("_n") <= F.col("_take")
     rank = F.row_number().over(W.partitionBy(*by, "_prefix").orderBy("_order", key))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintagemill.functions import bins
@@ -30,6 +31,12 @@ def largest_groups(df: DataFrame, key: str, k: int, label: str = LABEL) -> DataF
     return volume_and_bad_rate(df, [key], label).orderBy(F.desc("n"), F.asc_nulls_last(key)).limit(k)
 
 
+def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """First ``k`` rows of each group; every task keeps only its own ``k`` before they meet."""
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    return df.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
 def by_pair(df: DataFrame, first: str, second: str, label: str = LABEL) -> DataFrame:
     return volume_and_bad_rate(df, [first, second], label).orderBy(F.desc("n"), first, second)
 
