@@ -75,7 +75,8 @@ LOGLOSS = ("ROUND(AVG(-(y_true * ln(LEAST(GREATEST(y_pred, 1e-6), 1 - 1e-6)) "
            "+ (1 - y_true) * ln(1 - LEAST(GREATEST(y_pred, 1e-6), 1 - 1e-6)))), 6)")
 
 
-@query("a23_log_loss", oracle(f"SELECT vintage_q, {LOGLOSS} AS logloss FROM preds GROUP BY 1", "preds"))
+@query("a23_log_loss", oracle(f"""
+SELECT vintage_q, CASE WHEN MIN(y_true) <> MAX(y_true) THEN {LOGLOSS} END AS logloss FROM preds GROUP BY 1""", "preds"))
 def _(spark, folder):
     df = ranking.probability_errors(preds(spark, folder), "y_pred", "y_true", ["vintage_q"])
     return rounded(df.select("vintage_q", "logloss"), "logloss")
