@@ -152,7 +152,7 @@ def test_lookup_join_needs_unique_keys(spark):
 
 
 def test_lookup_beyond_the_broadcast_bound_is_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
     fact = spark.createDataFrame([("CA", 1), ("TX", 3)], "state string, x int")
     lookup = session.materialise(spark.createDataFrame([("CA", 5.0), ("TX", 6.0)], "state string, v double"))
     joined = joins.lookup_join(fact, lookup, ["state"])

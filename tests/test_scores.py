@@ -106,6 +106,20 @@ def test_grouped_quantiles_of_several_columns(spark):
         assert r["value"] == pytest.approx(np.quantile(pdf.loc[pdf.g == r["g"], r["feature"]], r["q"]))
 
 
+def test_quantiles_of_more_groups_than_a_broadcast_holds(spark, monkeypatch):
+    from vintagemill import session
+
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 300, 3000), "v": rng.integers(0, 50, 3000).astype(float)})
+    df = spark.createDataFrame(pdf)
+    few = ordered.medians(df, ["v"], ["g"])
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    many = ordered.medians(df, ["v"], ["g"])
+    expected = pdf.groupby("g").v.median().to_dict()
+    for table in (few, many):
+        assert {r["g"]: r["median"] for r in table.collect()} == pytest.approx(expected)
+
+
 def test_constant_and_empty_columns(spark):
     df = spark.createDataFrame([(5.0, None), (5.0, None)], "c double, e double")
     assert [(r["feature"], r["median"]) for r in ordered.medians(df, ["c", "e"]).collect()] == [("c", 5.0)]

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.operators.ordered import keep_known
 
-# Lookup tables up to this many rows are broadcast; beyond it they are shuffled.
-BROADCAST_ROWS = 200_000
-
 
 def require_columns(df: DataFrame, columns: Sequence[str], name: str = "table") -> None:
     missing = [c for c in columns if c not in df.columns]
@@ -45,7 +43,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], name: s
     keys = list(keys)
     require_columns(fact, keys, "fact")
     rows = require_unique(lookup, keys, name)
-    if rows <= BROADCAST_ROWS:
+    if rows <= session.BROADCAST_ROWS:
         lookup = F.broadcast(keep_known(lookup, keys))
     return fact.join(lookup, keys, "left")
 

@@ -35,7 +35,9 @@ def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def default_buckets(df: DataFrame) -> int:
-    return max(2, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """A few buckets per shuffle partition, so that hashing them spreads evenly."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_BUCKETS, 4 * partitions))
 
 
 def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -129,17 +131,19 @@ def exact_quantiles(
         .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("before") + F.col("n")))
         .select(*group, "bucket", "before", "q", "low", "high", "part")
     )
-    # Written, because its true size decides how the rows below are filtered: a
-    # broadcast while the list is short, a shuffle join if there are very many groups.
     wanted = session.materialise(wanted, "ranks")
     holders = wanted.select(*group, "bucket").distinct()
+    each_value = [*group, "bucket", "value"]
+    if wanted.count() <= session.BROADCAST_ROWS:
+        # The usual case: drop all other buckets during the scan.
+        held = long.join(F.broadcast(holders), [*group, "bucket"], "left_semi")
+        values = held.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        # Very many groups: combine equal values before anything is shuffled.
+        values = long.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
+        values = values.join(holders, [*group, "bucket"], "left_semi")
     inside = W.partitionBy(*group, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    values = (
-        long.join(holders, [*group, "bucket"], "left_semi")
-        .groupBy(*group, "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(inside))
-    )
+    values = values.withColumn("upto", F.sum("n").over(inside))
     upto = F.col("before") + F.col("upto")
     at_low = (F.col("low") < upto) & (F.col("low") >= upto - F.col("n"))
     at_high = (F.col("high") < upto) & (F.col("high") >= upto - F.col("n"))

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables up to this many (narrow) rows are broadcast; beyond it they are shuffled.
+BROADCAST_ROWS = 200_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
