@@ -110,7 +110,7 @@ _S = f"SELECT *, {SPLIT_SQL} AS split FROM abt"
 
 
 def split_abt(spark, folder):
-    return abt(spark, folder).withColumn("split", features.split_of("vintage_q", SPLIT_YEARS))
+    return features.with_split(abt(spark, folder), SPLIT_YEARS)
 
 
 @query("a28_stability_index", oracle(" UNION ALL ".join(_psi_sql(f) for f in _DRIFT), "abt", s=_S))
@@ -202,7 +202,7 @@ def _(spark, folder):
 SELECT c19 AS loan_id, TRY_CAST(c11 AS DOUBLE) AS ltv, TRY_CAST(c9 AS DOUBLE) AS dti FROM acq_raw""", "acq_raw"))
 def _(spark, folder):
     return view(spark, folder, "acq_raw").select(
-        F.col("c19").alias("loan_id"), numeric.to_double("c11").alias("ltv"), numeric.to_double("c9").alias("dti"))
+        F.col("c19").alias("loan_id"), numeric.parse_double("c11").alias("ltv"), numeric.to_double("c9").alias("dti"))
 
 
 @query("p12_clip", oracle("SELECT loan_id, fico, ltv, cltv, dti FROM clean", "abt", clean=_CLEAN))

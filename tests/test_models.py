@@ -38,7 +38,7 @@ def table(abt):
 
 def test_split_bounds(spark):
     df = spark.createDataFrame([("2019Q4",), ("2020-01-01",), ("2022-12-31",), ("2023Q1",), (None,), ("x",)], "v string")
-    assert [r[0] for r in df.select(features.split_of("v")).collect()] == ["train", "valid", "test", "recent", None, None]
+    assert [r["split"] for r in features.with_split(df, vintage="v").collect()] == ["train", "valid", "test", "recent", None, None]
 
 
 def test_clipping_and_derived_features(spark):

@@ -13,10 +13,30 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def parse_int(c: Column | str) -> Column:
+    """Whole number in a text column, else NULL.
+
+    A failed ``try_cast`` raises and catches an exception for its row, which costs
+    many times the cast itself, so text that cannot be a number is not tried.
+    """
+    text = F.trim(as_column(c))
+    return F.when(starts_like_a_number(text), text.try_cast("int"))
+
+
+def starts_like_a_number(text: Column) -> Column:
+    first = F.substring(text, 1, 1)
+    return first.between("0", "9") | first.isin("-", "+", ".")
+
+
+def _try_format(text: Column, pattern: str) -> Column:
+    """Parsed timestamp; only text as long as the (all-digit) pattern is tried."""
+    return F.when(F.length(text) == len(pattern), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_month(c: Column | str, formats: tuple[str, ...] = MONTH_FORMATS) -> Column:
     """First day of the month written in ``c``; NULL when no format fits."""
     text = as_column(c).cast("string")
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    parsed = F.coalesce(*[_try_format(text, f) for f in formats])
     return F.trunc(parsed.cast("date"), "MM")
 
 
@@ -32,23 +52,19 @@ def month_key(c: Column | str) -> Column:
 def parse_vintage(c: Column | str) -> Column:
     """Lenient vintage: full date, ``2021Q3``/``2021-Q3``, ``2021-07``/``2021/07``."""
     text = F.trim(as_column(c).cast("string"))
-    full = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
+    full = _try_format(text, "yyyy-MM-dd").cast("date")
 
     def first_of(pattern: str, month: Column) -> Column:
-        year = F.regexp_extract(text, pattern, 1).try_cast("int")
+        year = parse_int(F.regexp_extract(text, pattern, 1))
         return F.when(text.rlike(pattern) & month.between(1, 12), F.make_date(year, month, F.lit(1)))
 
     quarter = r"(?i)^(\d{4})-?Q([1-4])"
-    by_quarter = first_of(quarter, F.regexp_extract(text, quarter, 2).try_cast("int") * 3 - 2)
+    by_quarter = first_of(quarter, parse_int(F.regexp_extract(text, quarter, 2)) * 3 - 2)
     month = r"^(\d{4})[-/](\d{1,2})$"
-    by_month = first_of(month, F.regexp_extract(text, month, 2).try_cast("int"))
+    by_month = first_of(month, parse_int(F.regexp_extract(text, month, 2)))
     return F.coalesce(full, by_quarter, by_month)
 
 
 def vintage_year(c: Column | str) -> Column:
-    """Year of a vintage given as a date or as text such as ``2019Q4``."""
-    text = as_column(c).cast("string")
-    return F.coalesce(
-        F.regexp_extract(text, r"^(\d{4})", 1).try_cast("int"),
-        F.year(F.try_to_timestamp(text).cast("date")),
-    )
+    """Year of a vintage given as text: ``2019Q4``, ``2019-10``, ``2019-10-01``."""
+    return parse_int(F.regexp_extract(as_column(c).cast("string"), r"^(\d{4})", 1))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vintagemill.functions.dates import as_column
+from vintagemill.functions.dates import as_column, parse_int, starts_like_a_number
 
 # Probability floor before a logit, and the bound on its argument.
 PROB_FLOOR = 1e-6
@@ -23,14 +23,16 @@ def to_double(c: Column | str) -> Column:
     return F.nanvl(as_column(c).try_cast("double"), F.lit(None).cast("double"))
 
 
-def to_int(c: Column | str) -> Column:
-    return as_column(c).try_cast("int")
+def parse_double(c: Column | str) -> Column:
+    """Number in a text column, else NULL (see :func:`parse_int` for the guard)."""
+    text = F.trim(as_column(c))
+    return F.when(starts_like_a_number(text), text.try_cast("double"))
 
 
 def delinquency_number(status: Column | str, bad_codes: Iterable[str] = (), bad_at: int = 3) -> Column:
     """Months delinquent; letter codes are -1, unless listed in ``bad_codes``."""
     text = as_column(status)
-    number = F.coalesce(F.trim(text).try_cast("int"), F.lit(-1))
+    number = F.coalesce(parse_int(text), F.lit(-1))
     codes = list(bad_codes)
     return F.when(text.isin(codes), F.lit(bad_at)).otherwise(number) if codes else number
 

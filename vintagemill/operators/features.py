@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vintagemill import session
 from vintagemill.functions import dates, numeric
@@ -56,9 +57,8 @@ def derive(df: DataFrame) -> DataFrame:
     return df.withColumns(new)
 
 
-def split_of(vintage: Column | str, years: Mapping[str, tuple[int | None, int | None]] = SPLIT_YEARS) -> Column:
-    """Name of the first split whose years hold the vintage; NULL in none."""
-    year = dates.vintage_year(vintage)
+def split_of(year: Column, years: Mapping[str, tuple[int | None, int | None]] = SPLIT_YEARS) -> Column:
+    """Name of the first split whose years hold the given year; NULL in none."""
     chain = F
     for name, (first, last) in years.items():
         inside = F.lit(True)
@@ -70,6 +70,15 @@ def split_of(vintage: Column | str, years: Mapping[str, tuple[int | None, int |
     return chain.otherwise(F.lit(None))
 
 
+def with_split(
+    df: DataFrame, years: Mapping[str, tuple[int | None, int | None]] = SPLIT_YEARS, vintage: str = "vintage_q"
+) -> DataFrame:
+    """Adds ``split``, from a vintage that is a date or text such as ``2019Q4``."""
+    dated = isinstance(df.schema[vintage].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    year = F.year(vintage) if dated else dates.vintage_year(vintage)
+    return df.withColumn("split", split_of(year, years))
+
+
 def group_medians(df: DataFrame, value: str, by: str) -> DataFrame:
     """(by, median), written once because both the size check and the join use it."""
     table = ordered.medians(df, [value], [by]).select(by, "median")
@@ -148,7 +157,7 @@ def build_features(
     joins.require_columns(abt, [label, "vintage_q"], "abt")
     df = clip_features(coerce_numbers(abt), null_out_of_range=null_out_of_range)
     df = spread_to_group(df) if "orig_rate" in df.columns else df
-    df = derive(df).withColumn("split", split_of("vintage_q", years)).filter(F.col("split").isNotNull())
+    df = with_split(derive(df), years).filter(F.col("split").isNotNull())
     encoders = fit_target_means(df.filter(F.col("split") == "train"), label=label)
     df = encoders.transform(df)
     carried = [c for c in ("loan_id", "split", "vintage_q", *ENCODED, label) if c in df.columns]

@@ -256,8 +256,8 @@ def explore(
     for feature in ("fico", "ltv", "dti"):
         tables.write_report(summaries.by_labelled_bin(abt, feature), f"{out}/bins_{feature}")
         tables.write_report(summaries.by_interval(abt, feature), f"{out}/intervals_{feature}")
-    split = features.split_of("vintage_q", years)
-    train, test = abt.filter(split == "train"), abt.filter(split == "test")
+    placed = features.with_split(abt, years)
+    train, test = placed.filter(F.col("split") == "train"), placed.filter(F.col("split") == "test")
     tables.write_report(drift.histograms(train), f"{out}/histograms")
     tables.write_report(drift.stability_index(train, test), f"{out}/psi")
     tables.write_report(audit.most_missing(abt), f"{out}/missing_top")

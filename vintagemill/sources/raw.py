@@ -121,8 +121,8 @@ def project_acquisition(raw: DataFrame) -> DataFrame:
         if name == "first_payment_date":
             return dates.parse_month(field)
         if name in INT_COLUMNS:
-            return numeric.to_int(field)
-        return field.try_cast("double") if name in DOUBLE_COLUMNS else field
+            return dates.parse_int(field)
+        return numeric.parse_double(field) if name in DOUBLE_COLUMNS else field
 
     return raw.select(*[column(n).alias(n) for n in ACQ_COLUMNS])
 
