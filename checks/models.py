@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import scores
-from checks.features import _DRIFT, _S, _psi_sql, split_abt
+from checks.features import _CLEAN, _DRIFT, _S, _psi_sql, split_abt
 from checks.loans import RATE, abt, dataset, rounded
 from checks.registry import query
 from checks.scores import BAD, T, preds
@@ -53,6 +53,51 @@ def _(spark, folder):
     return _metrics(training.fit_logistic(split(spark, folder, "train")), split(spark, folder, "test"))
 
 
+def _logistic_sql(steps: int = 8) -> dict[str, str]:
+    """Newton's method for intercept and two standardised features, one CTE per step.
+
+    Rows are weighted so that both classes weigh the same; the two slopes carry an
+    L2 penalty of one half of their square.
+    """
+    ctes = {
+        "clean": _CLEAN,
+        "stat": """SELECT AVG(fico) AS m1, stddev_samp(fico) AS s1, AVG(ltv) AS m2, stddev_samp(ltv) AS s2, COUNT(*) AS n,
+          SUM(CASE WHEN default_within_24m THEN 1 ELSE 0 END) AS pos FROM clean WHERE split = 'train'""",
+        "pts": """SELECT (fico - m1) / s1 AS x1, (ltv - m2) / s2 AS x2, CASE WHEN default_within_24m THEN 1.0E0 ELSE 0.0E0 END AS y,
+          n / (2.0E0 * CASE WHEN default_within_24m THEN pos ELSE n - pos END) AS w FROM clean, stat WHERE split = 'train'""",
+        "l0": "SELECT 0.0E0 AS b0, 0.0E0 AS b1, 0.0E0 AS b2",
+    }
+    for i in range(steps):
+        ctes[f"h{i}"] = f"""SELECT b0, b1, b2, SUM(w * (y - p)) AS g0, SUM(w * (y - p) * x1) - b1 AS g1, SUM(w * (y - p) * x2) - b2 AS g2,
+          SUM(v) AS a, SUM(v * x1) AS b, SUM(v * x2) AS c, SUM(v * x1 * x1) + 1 AS d, SUM(v * x1 * x2) AS e, SUM(v * x2 * x2) + 1 AS f
+          FROM (SELECT *, w * p * (1 - p) AS v FROM (
+            SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM pts, l{i})) GROUP BY b0, b1, b2"""
+        det = "(a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d))"
+        ctes[f"l{i + 1}"] = f"""SELECT
+          b0 + ((d * f - e * e) * g0 + (c * e - b * f) * g1 + (b * e - c * d) * g2) / {det} AS b0,
+          b1 + ((c * e - b * f) * g0 + (a * f - c * c) * g1 + (b * c - a * e) * g2) / {det} AS b1,
+          b2 + ((b * e - c * d) * g0 + (b * c - a * e) * g1 + (a * d - b * b) * g2) / {det} AS b2 FROM h{i}"""
+    return ctes
+
+
+@query("m1_logistic_coefficients", oracle("""
+SELECT 'fico' AS feature, ROUND(b1 / s1, 6) AS coefficient, ROUND(m1, 6) AS mean FROM l8, stat
+UNION ALL SELECT 'ltv', ROUND(b2 / s2, 6), ROUND(m2, 6) FROM l8, stat""", "abt", **_logistic_sql()))
+def _(spark, folder):
+    model = training.fit_logistic(split(spark, folder, "train"), ["fico", "ltv"])
+    rows = [(f, c, m) for f, (c, m) in training.linear_terms(model).items()]
+    return rounded(spark.createDataFrame(rows, "feature string, coefficient double, mean double"), "coefficient", "mean")
+
+
+@query("m8_prediction_table", oracle("""
+SELECT loan_id, vintage_q, CASE WHEN default_within_24m THEN 1 ELSE 0 END AS y_true,
+       ROUND(1 / (1 + exp(-(b0 + b1 * (fico - m1) / s1 + b2 * (ltv - m2) / s2))), 4) AS y_pred
+FROM clean, stat, l8 WHERE split = 'test'""", "abt", **_logistic_sql()))
+def _(spark, folder):
+    model = training.fit_logistic(split(spark, folder, "train"), ["fico", "ltv"])
+    return rounded(training.predictions(model, split(spark, folder, "test")), "y_pred", digits=4)
+
+
 @query("m2_boosted_trees_mixed")
 def _(spark, folder):
     model = training.fit_mixed_trees(split(spark, folder, "train"), split(spark, folder, "valid"), **SMALL)
@@ -87,12 +132,6 @@ def _(spark, folder):
     return training.feature_importance(model)
 
 
-@query("m8_prediction_table")
-def _(spark, folder):
-    model = training.fit_logistic(split(spark, folder, "train"))
-    return training.predictions(model, split(spark, folder, "test"))
-
-
 # --- scoring with a given ensemble (two small trees, so that SQL can follow them)
 
 def ensemble() -> scoring.TreeEnsemble:

@@ -224,3 +224,16 @@ def test_column_roles(spark):
         (F.col("id") / 100).alias("share"), (F.col("id") % 20 / 100).alias("prob_x"), F.lit(0.5).alias("flat"))
     got = [(r["role"], r["column"]) for r in audit.detect_roles(df, exact=True).orderBy("role", "rank").collect()]
     assert got == [("label", "flag"), ("probability", "prob_x"), ("probability", "share")]
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace as Fake
+
+    def fake(master, folder):
+        return Fake(conf=Fake(get=lambda key, default: folder), sparkContext=Fake(master=master, applicationId=f"test-{master}"))
+
+    assert session.shared_folder(fake("spark://host", "hdfs:///shared/")) == "hdfs:///shared"
+    local = session.shared_folder(fake("local[2]", None))
+    assert local == session.shared_folder(fake("local[2]", None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake("spark://host", None))

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintagemill import session
+from vintagemill.operators import joins
 from vintagemill.operators.ordered import keep_known
 
 # Largest sample that a top-k may hold in one task.
@@ -75,7 +76,11 @@ def downsample_negatives(
     positives = df.filter(is_bad)
     bads = df.groupBy(*by).agg(F.count_if(is_bad).alias("_pos"))
     negatives = df.filter(~is_bad)
-    negatives = negatives.join(bads, by) if by else negatives.withColumn("_pos", bads.scalar())
+    if by:
+        # A written, counted table: the many negatives of one group are never shuffled by group.
+        negatives = joins.lookup_join(negatives, session.materialise(bads, "bads"), by, "positives")
+    else:
+        negatives = negatives.withColumn("_pos", bads.scalar())
     kept = first_by_budget(negatives, take, key, seed, by)
     return positives.unionByName(kept.select(*df.columns))
 

@@ -151,7 +151,7 @@ def fit_logistic(
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(
             labelCol="_y", weightCol="_w", maxIter=max_iter, regParam=1.0 / max(1, total), elasticNetParam=0.0,
-            standardization=False, **bounds,
+            standardization=False, tol=1e-10, **bounds,
         ),
     ]
     model.pipeline = Pipeline(stages=stages).fit(frame)

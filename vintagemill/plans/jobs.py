@@ -56,10 +56,13 @@ def build_loans(
     sample_out: str | None = None,
 ) -> DataFrame:
     """Raw files to labelled loans, written by vintage; returns volume and bad rate."""
-    acq_files = raw.list_raw_files(spark, acq_folder, years)
-    perf_files = raw.list_raw_files(spark, perf_folder, years)
-    acq = raw.project_acquisition(raw.read_headerless(spark, acq_files, ACQ_WIDTH, sep))
-    perf = raw.project_performance(raw.read_headerless(spark, perf_files, PERF_WIDTH, sep))
+
+    def scan(folder: str, width: int) -> DataFrame:
+        files = raw.list_raw_files(spark, folder, years)
+        return raw.read_headerless(spark, files if years else folder, width, sep)
+
+    acq = raw.project_acquisition(scan(acq_folder, ACQ_WIDTH))
+    perf = raw.project_performance(scan(perf_folder, PERF_WIDTH))
     tables.write_dataset(loans.label_loans(acq, perf).select(*ABT_COLUMNS), out, ["vintage_q"])
     written = tables.read_dataset(spark, out).select(*ABT_COLUMNS)
     if sample_out:

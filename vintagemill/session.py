@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Tables up to this many (narrow) rows are broadcast; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -24,10 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="vintagemill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    context.setCheckpointDir(folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="vintagemill-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
