@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.loans import abt, rounded
+from checks.loans import abt, dataset, rounded
 from checks.registry import query
 from checks.scores import SLICES, T, preds
 from checks.views import SPLIT_SQL, SPLIT_YEARS, oracle, table, view
@@ -324,10 +324,14 @@ _HPI = ("SELECT state, strftime(month, '%Y-%m') AS m, hpi_index, "
 
 
 def macro_frames(spark, folder):
-    hpi = view(spark, folder, "macro_hpi").select(dates.month_key("month").alias("date"), "state", "hpi_index")
-    un = view(spark, folder, "macro_unemp").select(dates.month_key("month").alias("date"), "state", "unemp_rate")
-    rate = view(spark, folder, "macro_rate").select(dates.month_key("month").alias("date"), "pmms_30y")
-    return un, hpi, rate
+    """Unemployment, house prices and mortgage rates, written once like the files they stand for."""
+
+    def series(name, *values):
+        return dataset(spark, folder, name, lambda s, f: view(s, f, name).withColumn("date", dates.month_key("month"))).select(
+            "date", *values)
+
+    return (series("macro_unemp", "state", "unemp_rate"), series("macro_hpi", "state", "hpi_index"),
+            series("macro_rate", "pmms_30y"))
 
 
 @query("p8_origination_month", oracle(f"SELECT loan_id, {_ORIG} AS orig_month FROM abt a", "abt"))

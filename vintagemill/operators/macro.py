@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.functions import dates
 from vintagemill.operators import joins
 
@@ -63,7 +64,7 @@ def with_macro(
         dated = hpi.withColumn("date", dates.parse_month(F.col("date"), ("yyyy-MM", "yyyy-MM-dd")))
         changed = yearly_change(dated).select(
             "state", dates.month_key("date").alias("orig_month"), "hpi_index", "hpi_12m_chg")
-        df = joins.lookup_join(df, changed, ["state", "orig_month"], "hpi")
+        df = joins.lookup_join(df, session.materialise(changed, "hpi"), ["state", "orig_month"], "hpi")
     if mortgage_rate is not None:
         rate = mortgage_rate.select(F.col("date").alias("orig_month"), "pmms_30y")
         df = joins.lookup_join(df, rate, ["orig_month"], "mortgage_rate")
