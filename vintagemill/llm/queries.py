@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagemill.llm import url_filter
+from vintagemill.llm import order_minhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,13 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_table(spark, URL_RULES))
 
 
+def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.edited_by_next(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_order_minhash": op2_order_minhash,
 }
 
 ORACLES: dict[str, str] = {}
