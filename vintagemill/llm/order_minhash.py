@@ -106,8 +106,8 @@ def edited_by_next(docs: DataFrame, k: int = K, tuple_size: int = TUPLE, size: i
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_fingerprint(rows, "text", "sig", k, tuple_size, size)
-    rows = with_next(rows, "doc_id", ["text"], {"text": "next_text", "sig": "next_sig"})
+    rows = with_next(rows, "doc_id", ["text"], {"text": "next_text", "sig": "next_sig"},
+                     lambda every: with_fingerprint(every, "text", "sig", k, tuple_size, size))
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     rows = rows.withColumns({"n_chars": n.cast("long"), "cut": cut})
