@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vintagemill.llm.batches import bound_batches
 from vintagemill.llm.tokens import encode_in_slices, tokenizer_path, word_memory
 
 SHARD_IDS = 1 << 18
@@ -104,6 +105,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
     counts as empty and has the end id only.  A document is never cut: a shard ends with
     the document that fills it.  Other columns than doc_id and text are not looked at.
     """
+    bound_batches(docs.sparkSession)
     vocabulary = tokenizer_path(tokenizer)
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,16 +118,14 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
             return pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [len(ids)], "docs": [index], "codes": [encode(ids)]})
 
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                some = batch.iloc[lo: lo + 500]
-                for doc_id, ids in zip(some["doc_id"].tolist(), encode_in_slices(memory, some["text"].tolist())):
-                    held += [ids, end]
-                    n = len(ids) // 4 + 1
-                    index.append({"doc_id": None if pd.isna(doc_id) else int(doc_id), "n_tokens": n})
-                    size += n
-                    if size >= shard_ids:
-                        yield image()
-                        held, index, size, seq = [], [], 0, seq + 1
+            for doc_id, ids in zip(batch["doc_id"].tolist(), encode_in_slices(memory, batch["text"].tolist())):
+                held += [ids, end]
+                n = len(ids) // 4 + 1
+                index.append({"doc_id": None if pd.isna(doc_id) else int(doc_id), "n_tokens": n})
+                size += n
+                if size >= shard_ids:
+                    yield image()
+                    held, index, size, seq = [], [], 0, seq + 1
         if index:
             yield image()
 
@@ -157,6 +157,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     One row per document written, repeated doc_ids too; an empty table gives an empty one.
     """
+    bound_batches(spark)
     shards = read_shards(spark, path)
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

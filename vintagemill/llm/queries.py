@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagemill.llm import order_minhash, url_filter
+from vintagemill.llm import addressable_codes, order_minhash, packing, url_filter
+from vintagemill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +27,21 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.edited_by_next(table(spark, folder, "documents"))
 
 
+def op4_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "codes")
+    addressable_codes.write_codes(table(spark, folder, "documents"), path)
+    return addressable_codes.read_documents(spark, path)
+
+
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
+    "op4_addressable_codes": op4_addressable_codes,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
