@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagemill.llm import addressable_codes, order_minhash, packing, url_filter
+from vintagemill.llm import addressable_codes, order_minhash, packing, pu_quality, url_filter
 from vintagemill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,11 +37,16 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op8_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return pu_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
     "op4_addressable_codes": op4_addressable_codes,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_pu_quality": op8_pu_quality,
 }
 
 ORACLES: dict[str, str] = {}
