@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagemill.llm import addressable_codes, order_minhash, packing, pu_quality, url_filter
+from vintagemill.llm import addressable_codes, bottomk, order_minhash, packing, pu_quality, url_filter
 from vintagemill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
     return addressable_codes.read_documents(spark, path)
 
 
+def op6_bottomk_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
     "op4_addressable_codes": op4_addressable_codes,
+    "op6_bottomk_near_dedup": op6_bottomk_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_pu_quality": op8_pu_quality,
 }
