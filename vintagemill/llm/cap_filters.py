@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -19,8 +18,8 @@ from vintagemill.session import materialise
 
 COSINE = 0.9
 PARTS = 4
-#: Filters a vector exceeds on average; more raise recall and cost alike.
-CAPS = 40
+#: Filters a vector exceeds; more raise recall and cost alike.
+CAPS = 32
 SEED = 11
 
 _SMALLEST_CODE, _LARGEST_CODE = 8, 128
@@ -46,29 +45,33 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def filters_of(units: np.ndarray, size: int, caps: float, seed: int = SEED) -> list[np.ndarray]:
-    """For each unit vector the sorted numbers of all filters whose direction it exceeds the threshold for.
+def filters_of(units: np.ndarray, size: int, caps: int, seed: int = SEED) -> np.ndarray:
+    """For each unit vector the sorted numbers of the filters whose direction it exceeds its threshold for.
 
     A filter's direction is one code word from each of the four parts; its number is
-    theirs in base ``size``.  Decoding joins the scores of two parts each, drops those
-    no partner can lift over the threshold, and joins what is left.
+    theirs in base ``size``.  The threshold is the one that ``caps`` filters reach, so that a
+    vector in a thin region is in as many filters as any other.  Decoding joins the
+    scores of two parts each: of either list only the best ``caps`` can be in the result.
     """
     n, dim = units.shape
     padded = np.zeros((n, -(-dim // PARTS) * PARTS))
     padded[:, :dim] = units
     rotation, words = _code(padded.shape[1], size, seed)
-    scores = np.einsum("npd,pcd->npc", (padded @ rotation).reshape(n, PARTS, -1), words) / math.sqrt(PARTS)
-    threshold = NormalDist(0, 1 / math.sqrt(padded.shape[1])).inv_cdf(1 - min(0.5, caps / size**PARTS))
-    out = []
-    for s in scores:
-        left, right = (s[0][:, None] + s[1]).ravel(), (s[2][:, None] + s[3]).ravel()
-        a, b = np.flatnonzero(left >= threshold - right.max()), np.flatnonzero(right >= threshold - left.max())
-        i, j = np.nonzero(left[a][:, None] + right[b] >= threshold)
-        out.append(np.sort(a[i] * size * size + b[j]))
-    return out
-
-
-def _rows_by_filter(vectors: DataFrame, size: int, caps: float) -> DataFrame:
+    scores = np.einsum("npd,pcd->npc", (padded @ rotation).reshape(n, PARTS, -1), words)
+
+    def best(s: np.ndarray) -> np.ndarray:
+        return np.argpartition(-s, min(caps, s.shape[1]) - 1, axis=1)[:, :caps]
+
+    left = (scores[:, 0, :, None] + scores[:, 1, None, :]).reshape(n, -1)
+    right = (scores[:, 2, :, None] + scores[:, 3, None, :]).reshape(n, -1)
+    a, b = best(left), best(right)
+    sums = (np.take_along_axis(left, a, 1)[:, :, None] + np.take_along_axis(right, b, 1)[:, None, :]).reshape(n, -1)
+    at = best(sums)
+    i, j = np.divmod(at, b.shape[1])
+    return np.sort(np.take_along_axis(a, i, 1) * size * size + np.take_along_axis(b, j, 1), axis=1)
+
+
+def _rows_by_filter(vectors: DataFrame, size: int, caps: int) -> DataFrame:
     """One row for each vector and filter: filter, node, copies, vector, and all filters of the vector."""
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -122,7 +125,7 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
     return dealt.mapInPandas(verify, "node long, n long, other long")
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE, caps: float = CAPS) -> DataFrame:
+def near_vectors(embeddings: DataFrame, cosine: float = COSINE, caps: int = CAPS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector.
 
     Two vectors are linked if some filter holds both and their cosine, in double

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagemill.llm import addressable_codes, bottomk, order_minhash, packing, pu_quality, url_filter
+from vintagemill.llm import addressable_codes, bottomk, cap_filters, order_minhash, packing, pu_quality, url_filter
 from vintagemill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op8_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     return pu_quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op6_bottomk_near_dedup": op6_bottomk_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_pu_quality": op8_pu_quality,
+    "op9_cap_filters": op9_cap_filters,
 }
 
 ORACLES: dict[str, str] = {}
