@@ -164,9 +164,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for part, seq, docs, image in zip(batch["part"], batch["seq"], batch["docs"], batch["codes"]):
                 codes, at, rows = Codes(image), 0, []
+                ids = memoryview(codes.ids(0, len(codes)).astype("<u4").tobytes())
                 for doc in docs:
                     n = doc["n_tokens"]
-                    rows.append((part, seq, doc["doc_id"], at, n, zlib.crc32(codes.ids(at, at + n).astype("<u4").tobytes())))
+                    rows.append((part, seq, doc["doc_id"], at, n, zlib.crc32(ids[4 * at: 4 * (at + n)])))
                     at += n
                 out = pd.DataFrame(rows, columns=["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"])
                 yield out.astype({"doc_id": "Int64"})

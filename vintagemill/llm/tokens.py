@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from functools import lru_cache
 
 #: Words kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 800_000
+MEMORY = 1_400_000
 
-# pre-tokens may run across the cuts within longer white space
-_UNSAFE = re.compile(r"\s\s")
+# byte-level vocabularies write a byte that is no printable Latin-1 sign as the next sign from U+0100 on
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_SIGNS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,6 +39,7 @@ class WordMemory:
         self.tokenizer.encode_special_tokens = True
         # byte-level pre-tokens carry the space before them, word-level ones drop it
         self.lead = " " if len(self._whole(" a")) and self._whole(" a") != self._whole("a") else ""
+        self.lowers = self._whole("A") == self._whole("a")
         self.line_end = array("I", self._whole("\n")).tobytes()
         self.ends = {c: array("I", self._whole(c)).tobytes() for c in ",."}
         self.first: dict[str, bytes] = {}  # ids of a word at the start of a text
@@ -49,9 +50,17 @@ class WordMemory:
 
     def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
         ended = {w for w in words if w[-1:] in self.ends and w[-2:-1].isalpha()}
-        plain = list(({w[:-1] for w in ended} | words - ended).difference(known))
-        encoded = self.tokenizer.encode_batch_fast([lead + w for w in plain], add_special_tokens=False)
-        known.update(zip(plain, [array("I", e.ids).tobytes() for e in encoded]))
+        other = []
+        model, sign = self.tokenizer.model, lead.translate(_BYTE_SIGNS)
+        for word in ({w[:-1] for w in ended} | words - ended).difference(known):
+            if word.isalpha() and max(word) < "\u0250":  # one pre-token without composed forms: the model alone decides
+                form = word.lower() if self.lowers else word
+                spelled = sign + (form if form.isascii() else form.encode().decode("latin-1").translate(_BYTE_SIGNS))
+                known[word] = array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
+            else:
+                other.append(word)
+        encoded = self.tokenizer.encode_batch_fast([lead + w for w in other], add_special_tokens=False)
+        known.update(zip(other, [array("I", e.ids).tobytes() for e in encoded]))
         known.update((w, known[w[:-1]] + self.ends[w[-1]]) for w in ended)
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -59,19 +68,20 @@ class WordMemory:
         if len(self.first) + len(self.later) > MEMORY:
             self.first, self.later = {}, {}
         first, later = self.first, self.later
-        out: list[list[list[bytes]] | None] = []
+        out: list[list[list[bytes]] | None] = []  # for each text the ids of its lines' words
         holes: list[tuple[dict[str, bytes], str, list[bytes], int]] = []
         for text in texts:
-            if _UNSAFE.search(text):
-                out.append(None)
-                continue
             lines = []
             for line in text.split("\n"):
                 words = line.split(" ")
                 ids = list(map(later.get, words))
                 ids[0] = first.get(words[0])
                 if None in ids:
-                    holes += [(later if i else first, words[i], ids, i) for i, x in enumerate(ids) if x is None]
+                    found = [(later if i else first, words[i], ids, i) for i, x in enumerate(ids) if x is None]
+                    if any(w.split() != [w] for _, w, _, _ in found):
+                        lines = None  # other white space, or more of it in a row: pre-tokens may span the cuts
+                        break
+                    holes += found
                 lines.append(ids)
             out.append(lines)
         self._learn(first, {w for known, w, _, _ in holes if known is first}, "")
