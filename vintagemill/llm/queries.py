@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from vintagemill.llm import addressable_codes, bottomk, cap_filters, order_minhash, packing, pu_quality, url_filter
+from pyspark.sql import functions as F
+
+from vintagemill.llm import (
+    addressable_codes,
+    bottomk,
+    cap_filters,
+    disclosure,
+    merge_dropout,
+    order_minhash,
+    packing,
+    pu_quality,
+    trie_counts,
+    url_filter,
+)
 from vintagemill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,12 +39,20 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.edited_by_next(table(spark, folder, "documents"))
 
 
+def op3_trie_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_counts.token_counts(table(spark, folder, "documents"))
+
+
 def op4_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "codes")
     addressable_codes.write_codes(table(spark, folder, "documents"), path)
     return addressable_codes.read_documents(spark, path)
 
 
+def op5_disclosure_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return disclosure.digest(disclosure.find_personal_data(table(spark, folder, "documents")))
+
+
 def op6_bottomk_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return bottomk.near_duplicates(table(spark, folder, "documents"))
 
@@ -49,14 +69,23 @@ def op9_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
     return cap_filters.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op10_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded and decoded again: the checksum is of the decoded text."""
+    back = merge_dropout.decode(merge_dropout.encode(table(spark, folder, "documents")))
+    return back.select("doc_id", "n_tokens", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
+    "op3_trie_token_counts": op3_trie_token_counts,
     "op4_addressable_codes": op4_addressable_codes,
+    "op5_disclosure_pii": op5_disclosure_pii,
     "op6_bottomk_near_dedup": op6_bottomk_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_pu_quality": op8_pu_quality,
     "op9_cap_filters": op9_cap_filters,
+    "op10_merge_dropout": op10_merge_dropout,
 }
 
 ORACLES: dict[str, str] = {}
