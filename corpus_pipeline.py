@@ -1,18 +1,54 @@
-"""Corpus pipeline: stages applied in order to the table of documents."""
+"""Corpus pipeline: quality, near duplicates, personal data, packing, in this order.
+
+Each stage works on all that its predecessor kept and returns the columns of documents,
+but for the last, which returns where each piece of each document lies.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vintagemill.llm import bottomk, disclosure, packing, pu_quality
 from vintagemill.session import fresh_path
 
-STAGES: list = []
 
-ORACLE_SQL = None  # tokenizers, a trained classifier and near-duplicate groups have no SQL form
+def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier scores at least 0.5; a NULL text scores as an empty one."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = pu_quality.score(docs, pu_quality.fit(docs, labels), "text", "_quality")
+    return scored.where("_quality >= 0.5").select(*docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each near-duplicate group, and all that are in none."""
+    gone = bottomk.near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data and terms that disclose it replaced; n_chars follows the text."""
+    clean = disclosure.sanitise(docs)
+    return clean.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and offset."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", keep_good_text),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("personal_data", remove_personal_data),
+    ("packing", pack_sequences),
+]
+
+ORACLE_SQL = None  # a trained classifier, patterns with checksums and tokenizers have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies all stages to ``documents``; each result is written and read again."""
+    """Applies all stages to ``documents``; each result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, name)

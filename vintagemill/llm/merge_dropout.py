@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,12 +19,25 @@ from vintagemill.llm.tokens import tokenizer_path
 WORD_START = "▁"
 DROPOUT, SEED = 0.1, 17
 #: Keys a seed has; a line of a document draws one, so a word has up to as many segmentations.
-VARIANTS = 8
+VARIANTS = 4
 #: Segmented words kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 1_000_000
+MEMORY = 1_400_000
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _WORD = (1 << 64) - 1
+#: Words up to so many signs are merged in step with each other, longer ones by a heap, with equal results.
+_IN_STEP = 48
+
+
+def _skips(base: int, limit: int) -> Callable[[int, int, int], bool]:
+    """Whether the pair with these three ends is skipped: its hash falls below the limit."""
+    def skips(a: int, b: int, end: int) -> bool:
+        h = (base ^ a * _ODD[0] ^ b * _ODD[1] ^ end * _ODD[2]) & _WORD
+        h = ((h ^ h >> 33) * _ODD[1]) & _WORD
+        h = ((h ^ h >> 29) * _ODD[0]) & _WORD
+        return (h ^ h >> 32) < limit
+
+    return skips
 
 
 class MergePieces:
@@ -57,46 +70,122 @@ class MergePieces:
         Characters that are no pieces become their bytes, any other word-start sign too.
         """
         signs = [c if c in self.ids and (c != WORD_START or spaced and not i) else None for i, c in enumerate(word)]
+        limit = int(dropout * 2.0**64)
+        skips = _skips(xxhash.xxh64_intdigest(word, key), limit) if limit else None
+        parts = self._agenda(word, signs, skips)
+        at, out = 0, []
+        for part in parts:
+            out += [self.bytes[x] for x in word[at].encode()] if part is None else [self.ids[part]]
+            at += 1 if part is None else len(part)
+        return out
+
+    def _agenda(self, word: str, signs: list[str | None], skips: Callable | None) -> list[str | None]:
+        """The agenda as a heap; stale pairs are passed over when they come up."""
         n = len(signs)
         ends, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        limit = int(dropout * 2.0**64)
-        base = xxhash.xxh64_intdigest(word, key) if limit else 0
-        agenda: list[tuple[float, int, int, int]] = []
-        rank = self.rank
+        heap: list[tuple[float, int, int, int]] = []
 
         def propose(a: int, b: int) -> None:
             if signs[a] is not None and signs[b] is not None:
-                r = rank.get(word[a: ends[b]])
-                if r is not None:
-                    heapq.heappush(agenda, (r, a, b, ends[b]))
+                rank = self.rank.get(word[a: ends[b]])
+                if rank is not None:
+                    heapq.heappush(heap, (rank, a, b, ends[b]))
 
         for i in range(n - 1):
             propose(i, i + 1)
-        while agenda:
-            _, a, b, end = heapq.heappop(agenda)
-            if not (alive[a] and alive[b]) or ends[a] != b or ends[b] != end:
+        while heap:
+            _, a, b, end = heapq.heappop(heap)
+            if not (alive[a] and alive[b]) or ends[a] != b or ends[b] != end or skips and skips(a, b, end):
                 continue
-            if limit:
-                h = (base ^ a * _ODD[0] ^ b * _ODD[1] ^ end * _ODD[2]) & _WORD
-                h = ((h ^ h >> 33) * _ODD[1]) & _WORD
-                h = ((h ^ h >> 29) * _ODD[0]) & _WORD
-                if h ^ h >> 32 < limit:
-                    continue
             ends[a], alive[b] = end, False
             if end < n:
                 before[end] = a
                 propose(a, end)
             if before[a] >= 0:
                 propose(before[a], a)
-        out: list[int] = []
-        i = 0
+        parts, i = [], 0
         while i < n:
-            if signs[i] is None:
-                out += [self.bytes[x] for x in word[i].encode()]
-            else:
-                out.append(self.ids[word[i: ends[i]]])
+            parts.append(None if signs[i] is None else word[i: ends[i]])
             i = ends[i]
-        return out
+        return parts
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pairs of pieces that spell a piece: sorted keys, the piece's id and its rank."""
+        rows = [(self.ids[p[:i]] << 32 | self.ids[p[i:]], self.ids[p], self.rank[p])
+                for p in self.ids for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids]
+        keys, merged, rank = map(np.array, zip(*sorted(rows)))
+        return keys.astype(np.int64), merged.astype(np.int64), rank.astype(np.float64)
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged id and rank of pairs; an infinite rank where they spell no piece."""
+        keys, merged, rank = self.pairs
+        wanted = a << 32 | b
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return merged[at], np.where(keys[at] == wanted, rank[at], np.inf)
+
+    def segment_many(self, words: list[str], key: int, dropout: float, spaced: bool) -> list[bytes]:
+        """As ``segment`` for each word: all agendas advance in step, a merge a word at a time.
+
+        Ids come as little-endian unsigned 32-bit integers.  Long words and words with
+        signs that are no pieces go one by one.
+        """
+        def plain(w: str) -> bool:
+            return 0 < len(w) <= _IN_STEP and WORD_START not in w[spaced:] and all(c in self.ids for c in w)
+
+        out: dict[int, bytes] = {}
+        stepped = []
+        for i, word in enumerate(words):
+            if plain(word):
+                stepped.append(i)
+            else:
+                out[i] = np.array(self.segment(word, key, dropout, spaced), np.uint32).tobytes()
+        for lo in range(0, len(stepped), 20_000):
+            some = stepped[lo: lo + 20_000]
+            out.update(zip(some, self._in_step([words[i] for i in some], key, dropout)))
+        return [out[i] for i in range(len(words))]
+
+    def _in_step(self, words: list[str], key: int, dropout: float) -> list[bytes]:
+        lengths = np.array([len(w) for w in words])
+        n, width = len(words), int(lengths.max())
+        column = np.arange(width)
+        alive = column < lengths[:, None]
+        piece = np.zeros((n, width + 1), np.int64)
+        piece[:, :width][alive] = [self.ids[c] for w in words for c in w]
+        follow, before = np.tile(np.arange(1, width + 2), (n, 1)), np.tile(np.arange(-1, width), (n, 1))
+        ranks = np.full((n, width), np.inf)
+        row, at = np.nonzero(column < lengths[:, None] - 1)
+        ranks[row, at] = self._pair(piece[row, at], piece[row, at + 1])[1]
+        limit = np.uint64(int(dropout * 2.0**64))
+        base = np.array([xxhash.xxh64_intdigest(w, key) for w in words] if limit else [0] * n, np.uint64)
+        odd = [np.uint64(x) for x in _ODD]
+        rows = np.arange(n)
+        while len(rows):
+            a = ranks[rows].argmin(1)
+            some = ranks[rows, a] < np.inf
+            rows, a = rows[some], a[some]
+            b = follow[rows, a]
+            end = follow[rows, b]
+            merging = np.ones(len(rows), bool)
+            if limit:
+                h = base[rows] ^ a.astype(np.uint64) * odd[0] ^ b.astype(np.uint64) * odd[1] ^ end.astype(np.uint64) * odd[2]
+                h = (h ^ h >> np.uint64(33)) * odd[1]
+                h = (h ^ h >> np.uint64(29)) * odd[0]
+                merging = (h ^ h >> np.uint64(32)) >= limit
+                ranks[rows[~merging], a[~merging]] = np.inf
+            r, a, b, end = rows[merging], a[merging], b[merging], end[merging]
+            piece[r, a] = self._pair(piece[r, a], piece[r, b])[0]
+            follow[r, a], alive[r, b], ranks[r, b] = end, False, np.inf
+            inside = end < lengths[r]
+            before[r[inside], end[inside]] = a[inside]
+            ranks[r, a] = np.where(inside, self._pair(piece[r, a], piece[r, end])[1], np.inf)
+            left = before[r, a]
+            some = left >= 0
+            r, a, left = r[some], a[some], left[some]
+            ranks[r, left] = self._pair(piece[r, left], piece[r, a])[1]
+        flat, counts = piece[:, :width][alive].astype("<u4").tobytes(), alive.sum(1) * 4
+        ends = np.cumsum(counts).tolist()
+        return [flat[e - c: e] for e, c in zip(ends, counts.tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text whose ids these are; the space before the first word is not part of it."""
@@ -117,32 +206,34 @@ class Segmenter:
         self.first: list[dict[str, bytes]] = [{} for _ in range(self.keys)]
         self.later: list[dict[str, bytes]] = [{} for _ in range(self.keys)]
 
-    def _ids(self, word: str, key: int, spaced: bool) -> bytes:
-        return np.array(self.pieces.segment(word, self.seed * VARIANTS + key, self.dropout, spaced), np.uint32).tobytes()
-
-    def encode(self, text: str, name: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; ``name`` and the line's number draw its key."""
+    def encode(self, texts: list[str], names: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; its name and a line's number draw the line's key."""
         if sum(map(len, self.later)) + sum(map(len, self.first)) > MEMORY:
             self._forget()
-        out = []
-        drawn = xxhash.xxh64_intdigest(name, self.seed)
-        for number, line in enumerate(text.split("\n")):
-            key = ((drawn + number * _ODD[0]) & _WORD) >> 40
-            key %= self.keys
-            later = self.later[key]
-            # the text's first word has a space before it, as every word after a space has
-            first, *rest = ([""] if number == 0 else []) + line.split(" ")
-            known = self.first[key]
-            ids = [known.get(first) if first else b"", *map(later.get, rest)]
-            if None in ids:
-                if ids[0] is None:
-                    ids[0] = known[first] = self._ids(first, key, False)
-                for i, x in enumerate(ids):
-                    if x is None:
-                        word = rest[i - 1]
-                        ids[i] = later[word] = self._ids(WORD_START + word, key, True)
-            out.append(b"".join(ids))
-        return self.line_end.join(out)
+        out: list[list[list[bytes]]] = []
+        holes: dict[tuple[int, bool], list[tuple[str, list[bytes], int]]] = {}
+        for text, name in zip(texts, names):
+            drawn, lines = xxhash.xxh64_intdigest(name, self.seed), []
+            for number, line in enumerate(text.split("\n")):
+                key = (((drawn + number * _ODD[0]) & _WORD) >> 40) % self.keys
+                words = line.split(" ")
+                if number == 0:  # the text's first word has a space before it, as every word after a space has
+                    words.insert(0, "")
+                ids = list(map(self.later[key].get, words))
+                ids[0] = self.first[key].get(words[0]) if words[0] else b""
+                if None in ids:
+                    for i, x in enumerate(ids):
+                        if x is None:
+                            holes.setdefault((key, i > 0), []).append((words[i], ids, i))
+                lines.append(ids)
+            out.append(lines)
+        for (key, spaced), found in holes.items():
+            known, lead = (self.later if spaced else self.first)[key], WORD_START if spaced else ""
+            new = list({w for w, _, _ in found})
+            known.update(zip(new, self.pieces.segment_many([lead + w for w in new], self.seed * VARIANTS + key, self.dropout, spaced)))
+            for word, ids, i in found:
+                ids[i] = known[word]
+        return [self.line_end.join(map(b"".join, lines)) for lines in out]
 
 
 @lru_cache(maxsize=2)
@@ -165,8 +256,10 @@ def encode(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", dropout: flo
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         segmenter = _segmenter(path, dropout, seed)
         for batch in batches:
-            ids = [segmenter.encode(text, str(doc)) for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"])]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": ids})
+            for lo in range(0, len(batch), 500):
+                some = batch.iloc[lo: lo + 500]
+                doc_id = some["doc_id"].astype("Int64")
+                yield pd.DataFrame({"doc_id": doc_id, "ids": segmenter.encode(some["text"].tolist(), list(map(str, doc_id)))})
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(segment, "doc_id long, ids binary")
 
