@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
+from unicodedata import category
 
 #: Words kept a Python worker; beyond it the memory starts anew, which changes no ids.
 MEMORY = 1_400_000
@@ -78,8 +79,8 @@ class WordMemory:
                 ids[0] = first.get(words[0])
                 if None in ids:
                     found = [(later if i else first, words[i], ids, i) for i, x in enumerate(ids) if x is None]
-                    if any(w.split() != [w] for _, w, _, _ in found):
-                        lines = None  # other white space, or more of it in a row: pre-tokens may span the cuts
+                    if any(w.split() != [w] or category(w[0])[0] == "M" for _, w, _, _ in found):
+                        lines = None  # other white space, more of it in a row, or a mark on a space: the cuts may matter
                         break
                     holes += found
                 lines.append(ids)
