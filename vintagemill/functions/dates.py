@@ -14,30 +14,49 @@ def as_column(c: Column | str) -> Column:
 
 
 def parse_int(c: Column | str) -> Column:
-    """Whole number in a text column, else NULL.
+    """Whole number in a text column, else NULL; a decimal or exponent form is rounded half away from zero.
 
     A failed ``try_cast`` raises and catches an exception for its row, which costs
-    many times the cast itself, so text that cannot be a number is not tried.
+    many times the cast itself, so the form of the text decides which cast is tried.
     """
     text = F.trim(as_column(c))
-    return F.when(starts_like_a_number(text), text.try_cast("int"))
+    # up to nine digits always fit
+    plain = F.when(text.rlike(r"^[+-]?[0-9]{1,9}$"), text.try_cast("int"))
+    number = F.when(~text.rlike(r"^[+-]?[0-9]{1,9}$") & looks_like_a_number(text), F.round(text.try_cast("double")))
+    fits = number.between(-(2.0**31), 2.0**31 - 1)
+    return F.coalesce(plain, F.when(fits, number.try_cast("int")))
 
 
-def starts_like_a_number(text: Column) -> Column:
-    first = F.substring(text, 1, 1)
-    return first.between("0", "9") | first.isin("-", "+", ".")
+def looks_like_a_number(text: Column) -> Column:
+    """Digits, perhaps with a sign, a point and an exponent."""
+    return text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$")
 
 
-def _try_format(text: Column, pattern: str) -> Column:
-    """Parsed timestamp; only text as long as the (all-digit) pattern is tried."""
-    return F.when(F.length(text) == len(pattern), F.try_to_timestamp(text, F.lit(pattern)))
+def parse_date(c: Column | str, formats: tuple[str, ...] = MONTH_FORMATS) -> Column:
+    """Date written as year, month and perhaps day, one or two digits each; NULL otherwise.
+
+    Text is trimmed; a time of day after the date is allowed.  Dates are put together from
+    digits, which is far cheaper than trying time formats row by row.
+    """
+    text = F.trim(as_column(c).cast("string"))
+    options = {
+        "yyyy-MM-dd": r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})([ T].*)?$",
+        "yyyy-MM": r"^([0-9]{4})-([0-9]{1,2})()$",
+        "yyyyMM": r"^([0-9]{4})([0-9]{2})()$",
+    }
+
+    def put_together(pattern: str) -> Column:
+        year, month, day = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3))
+        day = F.when(day == "", "1").otherwise(day)
+        # a day the month does not have gives NULL
+        return F.when(text.rlike(pattern), F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date"))
+
+    return F.coalesce(*[put_together(options[f]) for f in formats])
 
 
 def parse_month(c: Column | str, formats: tuple[str, ...] = MONTH_FORMATS) -> Column:
     """First day of the month written in ``c``; NULL when no format fits."""
-    text = as_column(c).cast("string")
-    parsed = F.coalesce(*[_try_format(text, f) for f in formats])
-    return F.trunc(parsed.cast("date"), "MM")
+    return F.trunc(parse_date(c, formats), "MM")
 
 
 def quarter_start(c: Column | str) -> Column:
@@ -50,9 +69,9 @@ def month_key(c: Column | str) -> Column:
 
 
 def parse_vintage(c: Column | str) -> Column:
-    """Lenient vintage: full date, ``2021Q3``/``2021-Q3``, ``2021-07``/``2021/07``."""
+    """Lenient vintage: full date (a time may follow), ``2021Q3``/``2021-Q3``, ``2021-07``/``2021/07``."""
     text = F.trim(as_column(c).cast("string"))
-    full = _try_format(text, "yyyy-MM-dd").cast("date")
+    full = parse_date(text, ("yyyy-MM-dd",))
 
     def first_of(pattern: str, month: Column) -> Column:
         year = parse_int(F.regexp_extract(text, pattern, 1))

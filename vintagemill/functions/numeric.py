@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vintagemill.functions.dates import as_column, parse_int, starts_like_a_number
+from vintagemill.functions.dates import as_column, looks_like_a_number, parse_int
 
 # Probability floor before a logit, and the bound on its argument.
 PROB_FLOOR = 1e-6
@@ -26,7 +26,7 @@ def to_double(c: Column | str) -> Column:
 def parse_double(c: Column | str) -> Column:
     """Number in a text column, else NULL (see :func:`parse_int` for the guard)."""
     text = F.trim(as_column(c))
-    return F.when(starts_like_a_number(text), text.try_cast("double"))
+    return F.when(looks_like_a_number(text), text.try_cast("double"))
 
 
 def delinquency_number(status: Column | str, bad_codes: Iterable[str] = (), bad_at: int = 3) -> Column:

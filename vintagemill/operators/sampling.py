@@ -13,11 +13,9 @@ from pyspark.sql import functions as F
 
 from vintagemill import session
 from vintagemill.operators import joins
-from vintagemill.operators.ordered import keep_known
 
-# Largest sample that a top-k may hold in one task.
-TOP_K_LIMIT = 10_000
-_PREFIX = 4  # hex digits: 65,536 groups of equal expected size
+# Hex digits of the hash that are counted: first 65,536 parts, then each of the cut parts in 65,536 again.
+_PREFIXES = (4, 8)
 
 
 def sample_order(key: str, seed: int) -> Column:
@@ -26,39 +24,45 @@ def sample_order(key: str, seed: int) -> Column:
 
 def sample_rows(df: DataFrame, k: int, key: str = "loan_id", seed: int = 13) -> DataFrame:
     """Exactly ``min(k, rows)`` rows."""
-    if k <= TOP_K_LIMIT:
-        return df.orderBy(sample_order(key, seed), key).limit(k)
     return first_by_budget(df, F.lit(k), key, seed)
 
 
 def first_by_budget(
     df: DataFrame, budget: Column, key: str, seed: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """The first ``budget`` rows per ``by`` group in sample order.
+    """The first ``budget`` rows per ``by`` group in sample order; NULL is a group like any other.
 
     ``budget`` may be a literal or any expression that is constant within a
-    group.  Rows are counted per hash prefix; prefixes wholly inside the budget
-    pass unsorted, and only the one prefix per group that the budget cuts through
-    is ranked row by row.
+    group.  Rows are counted per hash prefix, which tells the one prefix per group
+    that the budget cuts through; its rows alone are counted by a longer prefix.
+    What is left to be ranked is one part in four thousand million of a group.
     """
     by = list(by)
-    hashed = df.withColumn("_budget", budget).withColumn("_order", sample_order(key, seed))
-    hashed = keep_known(hashed.withColumn("_prefix", F.substring("_order", 1, _PREFIX)), by)
-    running = W.partitionBy(*by).orderBy("_prefix").rowsBetween(W.unboundedPreceding, 0)
-    prefixes = (
-        hashed.groupBy(*by, "_prefix")
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_budget").alias("_take"))
-        .withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-        .filter(F.col("_before") < F.col("_take"))
-    )
-    # At most 65,536 short rows per group; once written, their real size picks the join.
-    prefixes = session.materialise(prefixes, "prefixes")
-    joined = hashed.join(prefixes, [*by, "_prefix"])
-    fits = F.col("_before") + F.col("_n") <= F.col("_take")
-    rank = F.row_number().over(W.partitionBy(*by, "_prefix").orderBy("_order", key))
-    cut = joined.filter(~fits).withColumn("_rank", rank)
-    cut = cut.filter(F.col("_rank") <= F.col("_take") - F.col("_before")).drop("_rank")
-    return joined.filter(fits).unionByName(cut).select(*df.columns)
+    groups = [f"_by{i}" for i in range(len(by))]
+    # a struct of the value alone is never NULL, so groups compare as equal
+    hashed = df.withColumns({g: F.struct(F.col(c).alias("v")) for g, c in zip(groups, by)})
+    hashed = hashed.withColumn("_budget", budget.cast("bigint")).withColumn("_order", sample_order(key, seed))
+    cut = hashed.select(*groups, "_order", "_budget")
+    taken = None
+    for digits in _PREFIXES:
+        prefix = F.substring("_order", 1, digits)
+        running = W.partitionBy(*groups).orderBy("_prefix").rowsBetween(W.unboundedPreceding, 0)
+        counted = cut.groupBy(*groups, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"), F.max("_budget").alias("_left"))
+        counted = counted.withColumn("_upto", F.sum("_n").over(running))
+        # the part that holds the last row of the budget, and what is left for it
+        ends = counted.filter((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left")))
+        ends = ends.select(*groups, "_prefix", (F.col("_left") - (F.col("_upto") - F.col("_n"))).alias("_rest"))
+        # at most one short row per group
+        taken = session.materialise(ends, "prefixes")
+        cut = hashed.select(*groups, "_order", key).withColumn("_prefix", prefix).join(taken, [*groups, "_prefix"])
+        cut = cut.withColumn("_budget", F.col("_rest")).drop("_prefix", "_rest")
+    rank = F.row_number().over(W.partitionBy(*groups).orderBy("_order", key))
+    last = cut.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_budget"))
+    last = session.materialise(last.select(*groups, F.struct("_order", F.col(key).alias("_key")).alias("_last")), "cutoffs")
+    # groups without a cutoff are within their budget
+    kept = hashed.join(last, groups, "left") if groups else hashed.withColumn("_last", last.select("_last").scalar())
+    within = F.coalesce(F.struct("_order", F.col(key).alias("_key")) <= F.col("_last"), F.lit(True))
+    return kept.filter(within & (F.col("_budget") > 0)).select(*df.columns)
 
 
 def downsample_negatives(
@@ -66,7 +70,7 @@ def downsample_negatives(
 ) -> DataFrame:
     """All positives, and at most ``int(ratio * max(1, positives))`` negatives, per group.
 
-    Rows without a label are left out.  A ratio of 0 keeps everything.
+    Rows without a label are left out.  A ratio of 0 keeps everything.  NULL is a group.
     """
     if ratio <= 0:
         return df
@@ -77,8 +81,10 @@ def downsample_negatives(
     bads = df.groupBy(*by).agg(F.count_if(is_bad).alias("_pos"))
     negatives = df.filter(~is_bad)
     if by:
-        # A written, counted table: the many negatives of one group are never shuffled by group.
-        negatives = joins.lookup_join(negatives, session.materialise(bads, "bads"), by, "positives")
+        # One short row per group; a struct of the value alone is never NULL, so groups compare as equal.
+        same = {f"_g{i}": F.struct(F.col(c).alias("v")) for i, c in enumerate(by)}
+        bads = session.materialise(bads.withColumns(same).select(*same, "_pos"), "bads")
+        negatives = joins.lookup_join(negatives.withColumns(same), bads, list(same), "positives").drop(*same)
     else:
         negatives = negatives.withColumn("_pos", bads.scalar())
     kept = first_by_budget(negatives, take, key, seed, by)

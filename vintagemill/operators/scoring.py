@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from vintagemill.functions import codes, numeric
 from vintagemill.operators import columns, features
 
-# Nodes up to which trees become one generated expression.
-EXPRESSION_NODES = 2_000
-
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, default_left boolean, "
     "missing string, value double"
@@ -55,7 +52,7 @@ class TreeEnsemble:
         node = tree[at]
         if node.feature is None:
             return F.lit(float(node.value))
-        x = F.col(node.feature)
+        x = numeric.to_double(node.feature)  # NaN is missing, as in the vectorised form
         if node.missing == "zero":
             goes_left = F.coalesce(x, F.lit(0.0)) <= node.threshold
         else:
@@ -64,14 +61,14 @@ class TreeEnsemble:
         return F.when(goes_left, self._walk(tree, node.left)).otherwise(self._walk(tree, node.right))
 
     def raw_expression(self) -> Column:
-        """Sum of the trees as nested conditions, evaluated inside the JVM."""
+        """Sum of the trees as nested conditions, evaluated inside the JVM: for one or two small trees."""
         total = F.lit(0.0)
         for tree, root in zip(self.trees, self.roots):
             total = total + self._walk(tree, root)
         return total
 
     def raw_vectorised(self) -> Column:
-        """The same sum over Arrow batches, for ensembles too large for one expression."""
+        """The same sum over Arrow batches; its cost grows with the depth of the trees, not their nodes."""
         names = list(self.features)
         position = {f: i for i, f in enumerate(names)}
         packed = []
@@ -112,9 +109,9 @@ class TreeEnsemble:
 
         return evaluate(F.struct(*[F.col(f).cast("double").alias(f) for f in names]))
 
-    def probability(self, method: str = "auto") -> Column:
-        if method == "auto":
-            method = "expression" if self.size <= EXPRESSION_NODES else "vectorised"
+    def probability(self, method: str = "vectorised") -> Column:
+        if method not in ("vectorised", "expression"):
+            raise ValueError(f"unknown method {method!r}")
         raw = self.raw_expression() if method == "expression" else self.raw_vectorised()
         return numeric.sigmoid(F.lit(self.slope) * raw, bound=None)
 
@@ -182,7 +179,7 @@ def read_tree_file(spark: SparkSession, path: str) -> TreeEnsemble:
 
 def score_cohort(
     df: DataFrame, model: TreeEnsemble, medians: Mapping[str, float], keep: Sequence[str] = ("loan_id", "orig_date", "msa"),
-    method: str = "auto",
+    method: str = "vectorised",
 ) -> DataFrame:
     """Raw probability of a cohort: conform, coerce, impute, predict; keys travel along."""
     kept = [k for k in keep if k in df.columns]

@@ -12,8 +12,11 @@ from vintagemill.schemas import POLICY_SCHEMA
 
 
 def write_document(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write a one-row table as one JSON document."""
-    df.limit(1).coalesce(1).write.mode(mode).json(path)
+    """Write a one-row table as one JSON document; any other number of rows is an error."""
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"a document is one row, not {'none' if not rows else 'several'}")
+    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode(mode).json(path)
 
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
