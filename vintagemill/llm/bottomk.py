@@ -26,7 +26,10 @@ BLOCK = 2_000
 
 def words_of(text: Column) -> Column:
     """A-Z lower-cased, cut at space and \\t to \\r."""
-    lower = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    text = F.coalesce(text, F.lit(""))
+    # the same for either kind of text; without other letters the plain function is faster
+    lower = (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
+             .otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase)))
     return F.array_remove(F.split(lower, r"[ \t-\r]+"), "")
 
 
@@ -85,6 +88,9 @@ def spanning_links(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray,
     values they share.  Pairs already connected are not compared, and with two blocks
     (``side`` 0 and 1) neither are pairs within one: other steps compare those.
     """
+    if len(sets) == 2 and 100 * sizes.min() >= PERCENT * sizes.max():
+        shared = np.array([len(np.intersect1d(sets[0], sets[1], assume_unique=True))])
+        return [(0, 1)] if alike(0, np.array([1]), shared)[0] and (side[0] != side[1] or not side[0]) else []
     flat, begins, n_values = _dense(sets)
     groups, links = Groups(len(sets)), []
     mark = np.zeros(n_values, bool)
@@ -103,23 +109,27 @@ def spanning_links(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray,
     return links
 
 
-def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Rows of one key at a time, from batches sorted by key."""
-    held: list[pd.DataFrame] = []
+def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of the rows of one key at a time, from batches sorted by key."""
+    held: dict[str, np.ndarray] | None = None
     for batch in batches:
         if not len(batch):
             continue
-        k = batch[keys].to_numpy()
-        cuts = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
-        edges = [0, *cuts.tolist(), len(batch)]
+        columns = {c: batch[c].to_numpy() for c in batch.columns}
+        new = np.zeros(len(batch), bool)
+        for k in keys:
+            new[1:] |= columns[k][1:] != columns[k][:-1]
+        edges = [0, *np.flatnonzero(new).tolist(), len(batch)]
         for a, b in zip(edges[:-1], edges[1:]):
-            part = batch.iloc[a:b]
-            if held and tuple(held[0][keys].iloc[0]) != tuple(part[keys].iloc[0]):
-                yield held[0] if len(held) == 1 else pd.concat(held)
-                held = []
-            held.append(part)
-    if held:
-        yield held[0] if len(held) == 1 else pd.concat(held)
+            part = {c: v[a:b] for c, v in columns.items()}
+            if held is not None and all(held[k][0] == part[k][0] for k in keys):
+                held = {c: np.concatenate([v, part[c]]) for c, v in held.items()}
+            else:
+                if held is not None:
+                    yield held
+                held = part
+    if held is not None:
+        yield held
 
 
 def in_blocks(df: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
@@ -143,8 +153,8 @@ def _links_by_step(df: DataFrame, key: str, member: str, values: str, make_alike
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple[int, int]] = []
         for group in _grouped(batches, keys):
-            if len(group) > 1:
-                ids, sizes, side = group[member].to_numpy(), group["n_shingles"].to_numpy(), group["_side"].to_numpy()
+            if len(group[key]) > 1:
+                ids, sizes, side = group[member], group["n_shingles"], group["_side"]
                 sets = list(group[values])
                 out += [(ids[i], ids[j]) for i, j in spanning_links(sets, sizes, side, make_alike(sets, sizes))]
             if len(out) > 10_000:
@@ -180,8 +190,11 @@ def candidate_links(reps: DataFrame, percent: int = PERCENT, sketch: int = SKETC
     least = F.when(F.col("n_shingles") > math.ceil(sketch * percent / 100), F.least(F.lit(least_full), F.ceil(held * percent / 100))).otherwise(F.ceil(held * percent / 100))
     take = held - least + 1 - (held - F.size("_listed"))
     listed = shared.select("node", F.explode(F.slice("_listed", 1, F.greatest(take, F.lit(0)).cast("int"))).alias("_v")).select("node", "_v.value")
-    again = listed.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
-    listed = listed.join(again, "value").join(reps.select("node", "n_shingles", "sketch"), "node")
+    # two near-duplicates stand together in many lists; lists with the same members are compared once
+    members = [F.count("*").alias("_n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_a"),
+               F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("_b"), F.min("node").alias("_c")]
+    again = listed.groupBy("value").agg(*members).where("_n > 1").groupBy("_n", "_a", "_b", "_c").agg(F.min("value").alias("value"))
+    listed = materialise(listed.join(again.select("value"), "value", "left_semi"), "lists")
     accept = least_full / sketch
 
     def make_alike(sets: list[np.ndarray], sizes: np.ndarray) -> Callable:
@@ -197,7 +210,8 @@ def candidate_links(reps: DataFrame, percent: int = PERCENT, sketch: int = SKETC
 
         return alike
 
-    links = _links_by_step(in_blocks(listed, "value", "node"), "value", "node", "sketch", make_alike)
+    steps = in_blocks(listed, "value", "node").join(reps.select("node", "n_shingles", "sketch"), "node")
+    links = _links_by_step(steps, "value", "node", "sketch", make_alike)
     return links.distinct()
 
 
@@ -206,13 +220,15 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int = WORDS, pe
 
     ``clusters`` has node, component, and the doc_id and class of the text.
     """
-    texts = _with_shingles(docs.select("doc_id", "text").join(clusters, "doc_id"), "_set", words)
-    sets = texts.where("_class = class").select("node", "component", F.size("_set").cast("long").alias("n_shingles"), "_set")
+    steps = in_blocks(clusters, "component", "node")
+    texts = _with_shingles(docs.select("doc_id", "text").join(steps, "doc_id"), "_set", words)
+    # a doc_id may have several texts; written as an equality, this would be taken for a key of the join above
+    sets = texts.where(F.instr("_class", F.col("class")) > 0).withColumn("n_shingles", F.size("_set").cast("long"))
 
     def make_alike(sets: list[np.ndarray], sizes: np.ndarray) -> Callable:
         return lambda i, rows, shared: 100 * shared >= percent * (sizes[i] + sizes[rows] - shared)
 
-    return _links_by_step(in_blocks(sets, "component", "node"), "component", "node", "_set", make_alike)
+    return _links_by_step(sets, "component", "node", "_set", make_alike)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch: int = SKETCH) -> DataFrame:

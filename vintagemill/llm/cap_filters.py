@@ -97,9 +97,9 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _grouped(batches, keys):
-            if len(group) < 2:
+            if len(group["node"]) < 2:
                 continue
-            units, side = unit(np.array(group["vector"].tolist(), np.float64)), group["_side"].to_numpy()
+            units, side = unit(np.array(group["vector"].tolist(), np.float64)), group["_side"]
             linked = units @ units.T >= cosine
             np.fill_diagonal(linked, False)
             if side.any():  # pairs within a block meet in the block's own step
@@ -108,9 +108,9 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
             if not len(some):
                 continue
             linked = linked[np.ix_(some, some)]
-            node, copies = group["node"].to_numpy()[some], group["copies"].to_numpy()[some]
-            here = group["filter"].iloc[0] & ((1 << 40) - 1)
-            before = [f[f < here] for f in group["filters"].to_numpy()[some]]
+            node, copies = group["node"][some], group["copies"][some]
+            here = group["filter"][0] & ((1 << 40) - 1)
+            before = [f[f < here] for f in group["filters"][some]]
             known, flat = np.unique(np.concatenate(before), return_inverse=True)
             has = np.zeros((len(some), max(1, len(known))), np.float32)
             has[np.repeat(np.arange(len(some)), [len(f) for f in before]), flat] = 1
