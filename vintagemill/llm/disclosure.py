@@ -143,10 +143,10 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT
     pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("text_key").alias("texts")).where(F.col("texts") >= support)
     pairs = materialise(pairs, "candidates")
     held = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_docs"))
-    terms = pairs.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all("text", F.lit(r"(\p{L}{4,})"), F.lit(1)), F.lower))).alias("term"))
-    often = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("term_docs"))
+    # counted before the join, so that a frequent term is one row when it meets its candidates
+    often = words.groupBy("term").agg(F.count("*").alias("term_docs"))
     n = scanned.count()
     info = -F.log(F.col("entity_docs") / n)
     reveals = F.log((F.col("both") / F.greatest("term_docs", "both")) * n / F.col("entity_docs"))
