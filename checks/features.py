@@ -69,7 +69,7 @@ def _(spark, folder):
     return audit.top_values(abt(spark, folder))
 
 
-_NUMERIC = ["fico", "orig_upb", "orig_rate", "ltv", "dti", "loan_term"]
+_NUMERIC = ["fico", "orig_upb", "orig_rate", "ltv", "cltv", "dti", "msa", "loan_term", "num_units"]
 
 
 @query("a33_numeric_summary", oracle(" UNION ALL ".join(
@@ -90,7 +90,7 @@ def _(spark, folder):
 
 # --- drift and bins
 
-_DRIFT = ["fico", "ltv", "cltv", "dti", "orig_rate"]
+_DRIFT = ["fico", "ltv", "cltv", "dti", "orig_rate", "orig_upb"]
 
 
 def _psi_sql(f: str) -> str:
@@ -399,7 +399,8 @@ def _(spark, folder):
 def _(spark, folder):
     path = session.fresh_path(spark, "hpi")
     hpi = macro_frames(spark, folder)[1]
-    tables.write_report(hpi.toDF(" Date", "State ", "HPI index"), path, single_file=False)
+    shuffled = hpi.toDF(" Date", "State ", "HPI index").select("HPI index", "State ", " Date")
+    tables.write_report(shuffled, path, single_file=False)
     assert tables.read_optional_report(spark, session.fresh_path(spark, "absent")) is None
     return tables.read_optional_report(spark, path, HPI_SCHEMA)
 

@@ -291,9 +291,9 @@ def _(spark, folder):
 
 
 @query("a5_largest_states", oracle(f"""
-SELECT state, COUNT(*) AS n, {RATE} FROM abt GROUP BY 1 ORDER BY n DESC, state LIMIT 20""", "abt"))
+SELECT state, COUNT(*) AS n, {RATE} FROM abt GROUP BY 1 ORDER BY n DESC, state LIMIT 25""", "abt"))
 def _(spark, folder):
-    return rounded(summaries.largest_groups(abt(spark, folder), "state", 20), "bad_rate")
+    return rounded(summaries.largest_groups(abt(spark, folder), "state", 25), "bad_rate")
 
 
 @query("a6_channel_purpose", oracle(f"SELECT channel, purpose, COUNT(*) AS n, {RATE} FROM abt GROUP BY 1, 2", "abt"))

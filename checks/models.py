@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import scores
-from checks.features import _CLEAN, _DRIFT, _S, _psi_sql, split_abt
+from checks.features import _CLEAN, _DRIFT, _HPI, _ORIG, _S, _psi_sql, macro_frames, split_abt
 from checks.loans import RATE, abt, dataset, rounded
 from checks.registry import query
 from checks.scores import BAD, T, preds
@@ -181,16 +181,17 @@ def _(spark, folder):
     return rounded(scoring.score_cohort(df.filter("split = 'recent'"), model, medians), "pd_raw")
 
 
-_TERMS = {"fico": (-0.01, 570.0), "ltv": (0.03, 77.0), "dti": (0.02, 36.0), "orig_rate": (0.25, 5.0)}
+_TERMS = {"fico": (-0.01, 570.0), "ltv": (0.03, 77.0), "dti": (0.02, 36.0), "orig_rate": (0.25, 5.0), "cltv": (0.015, 84.0),
+          "orig_upb": (-0.000001, 150000.0), "loan_term": (0.001, 270.0), "num_units": (0.05, 3.0), "msa": (0.00001, 12000.0)}
 
 
 @query("m15_reason_codes", oracle("""
 SELECT loan_id, CAST(row_number() OVER (PARTITION BY loan_id ORDER BY -abs(contribution), feature) AS INT) AS rank, feature, value,
        ROUND(contribution, 6) AS contribution FROM (""" + " UNION ALL ".join(
-    f"SELECT loan_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, COALESCE({c}E0 * ({f} - {m}E0), 0) AS contribution FROM abt"
-    for f, (c, m) in _TERMS.items()) + ") QUALIFY rank <= 3", "abt"))
+    f"SELECT loan_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, COALESCE({c:.7f}E0 * ({f} - {m}E0), 0) AS contribution FROM abt"
+    for f, (c, m) in _TERMS.items()) + ") QUALIFY rank <= 8", "abt"))
 def _(spark, folder):
-    return rounded(scoring.reason_codes(abt(spark, folder), _TERMS, k=3), "contribution")
+    return rounded(scoring.reason_codes(abt(spark, folder), _TERMS), "contribution")
 
 
 _APPS = """
@@ -238,16 +239,21 @@ def _(spark, folder):
     return spark.read.option("header", True).schema("feature string, count_flagged bigint").csv(f"{out}/outlier_flags")
 
 
-@query("c4_macro_job", oracle("""
-SELECT a.loan_id, a.orig_rate - r.pmms_30y AS rate_spread FROM abt a LEFT JOIN macro_rate r
-  ON strftime(a.first_payment_date - INTERVAL 1 MONTH, '%Y-%m') = strftime(r.month, '%Y-%m')""", "abt", "macro_rate"))
+@query("c4_macro_job", oracle(f"""
+SELECT a.loan_id, {_ORIG} AS orig_month, u.unemp_rate, h.hpi_index, ROUND(h.chg, 6) AS hpi_12m_chg, r.pmms_30y,
+       ROUND(a.orig_rate - r.pmms_30y, 6) AS rate_spread
+FROM abt a LEFT JOIN macro_unemp u ON a.state = u.state AND {_ORIG} = strftime(u.month, '%Y-%m')
+LEFT JOIN hpi h ON a.state = h.state AND {_ORIG} = h.m LEFT JOIN macro_rate r ON {_ORIG} = strftime(r.month, '%Y-%m')""",
+    "abt", "macro_unemp", "macro_hpi", "macro_rate", hpi=_HPI))
 def _(spark, folder):
-    from checks.features import macro_frames
-    path = session.fresh_path(spark, "pmms")
-    tables.write_report(macro_frames(spark, folder)[2], path)
+    paths = [session.fresh_path(spark, "series") for _ in range(3)]
+    for frame, path in zip(macro_frames(spark, folder), paths):
+        # full dates, and the columns in another order than the schema's
+        tables.write_report(frame.withColumn("date", F.concat("date", F.lit("-01"))).select(*reversed(frame.columns)), path)
     out = session.fresh_path(spark, "abt-plus")
-    jobs.add_macro(spark, saved(abt(spark, folder), "abt"), out, mortgage_rate=path, hpi=session.fresh_path(spark, "absent"))
-    return tables.read_dataset(spark, out, ["loan_id", "rate_spread"])
+    jobs.add_macro(spark, saved(abt(spark, folder), "abt"), out, *paths)
+    names = ["loan_id", "orig_month", "unemp_rate", "hpi_index", "hpi_12m_chg", "pmms_30y", "rate_spread"]
+    return rounded(tables.read_dataset(spark, out, names), "hpi_12m_chg", "rate_spread")
 
 
 @query("c5_splits_job", oracle("""
@@ -311,7 +317,7 @@ def _(spark, folder):
     return rounded(tables.read_dataset(spark, f"{out}/slice_metrics"), "bad_rate", "auc", "pr_auc", "ks")
 
 
-@query("c11_exploration_job", oracle(" UNION ALL ".join(_psi_sql(f) for f in [*_DRIFT, "orig_upb"]), "abt", s=_S))
+@query("c11_exploration_job", oracle(" UNION ALL ".join(_psi_sql(f) for f in _DRIFT), "abt", s=_S))
 def _(spark, folder):
     out = session.fresh_path(spark, "eda")
     jobs.explore(spark, saved(abt(spark, folder), "abt"), out, SPLIT_YEARS)

@@ -107,3 +107,12 @@ def test_codes(spark):
     got = values(spark, ["Texas", "Atlantis", None], codes.code_of("v", codes.STATE_CODES), "string")
     assert got == ["TX", None, None]
     assert values(spark, ["P", None], codes.one_hot("v", "purpose", ["P"])[0], "string") == [1.0, 0.0]
+
+
+def test_numbers_and_dates_in_all_written_forms(spark):
+    got = values(spark, ["720.0", "720.6", "7e2", " 45 ", "-3", "junk", "", None, "99999999999", "+", "1e999"], dates.parse_int("v"), "string")
+    assert got == [720, 721, 700, 45, -3, None, None, None, None, None, None]
+    got = values(spark, ["2019-3-1", " 201903", "2019-03-01 ", "2019-02-30", "20193", "2019-03-01 00:00:00"], dates.parse_month("v"), "string")
+    march = dt.date(2019, 3, 1)
+    assert got == [march, march, march, None, None, march]
+    assert values(spark, ["2021-07-01 00:00:00"], dates.parse_vintage("v"), "string") == [dt.date(2021, 7, 1)]

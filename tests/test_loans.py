@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from vintagemill import session
 from vintagemill.operators import audit, joins, loans, macro, sampling, summaries
 from vintagemill.plans import jobs
-from vintagemill.schemas import ABT_COLUMNS, ABT_SCHEMA, PERF_WIDTH
-from vintagemill.sources import raw, tables
+from vintagemill.schemas import ABT_COLUMNS, ABT_SCHEMA, HPI_SCHEMA, PERF_WIDTH
+from vintagemill.sources import documents, raw, tables
 
 D = dt.date
 
@@ -101,7 +101,12 @@ def test_short_lines_are_padded(spark, tmp_path):
 def test_layout_profile_spots_delimiter_and_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("fico,date,x\n700,201901,1\n710,201902\n")
     (tmp_path / "b.txt").write_text("700|201901|a,b|1\n710|201902|c|2\n")
-    got = {r["file"]: r for r in raw.layout_profile(spark, str(tmp_path)).collect()}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "b.txt").write_text("loan,month\n")
+    (tmp_path / "d.txt").write_text("id|state\nA-one|CA\nB7|TX\n")
+    found = raw.layout_profile(spark, str(tmp_path)).collect()
+    got = {r["file"].split(str(tmp_path) + "/")[1]: r for r in found}
+    assert len(found) == 4 and not got["c/b.txt"]["header_likely"] and got["d.txt"]["header_likely"]
     assert (got["a.csv"]["delimiter"], got["a.csv"]["header_likely"]) == ("comma", True)
     assert (got["a.csv"]["min_fields"], got["a.csv"]["max_fields"]) == (2, 3)
     assert (got["b.txt"]["delimiter"], got["b.txt"]["header_likely"], got["b.txt"]["max_fields"]) == ("pipe", False, 4)
@@ -152,7 +157,7 @@ def test_lookup_join_needs_unique_keys(spark):
 
 
 def test_lookup_beyond_the_broadcast_bound_is_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 1)
     fact = spark.createDataFrame([("CA", 1), ("TX", 3)], "state string, x int")
     lookup = session.materialise(spark.createDataFrame([("CA", 5.0), ("TX", 6.0)], "state string, v double"))
     joined = joins.lookup_join(fact, lookup, ["state"])
@@ -168,6 +173,36 @@ def test_one_to_one_slices(spark):
     assert joins.attach_slices(preds, meta, ["channel"]).count() == 2
     with pytest.raises(ValueError, match="missing columns"):
         joins.align_by_key(preds.drop("loan_id"), meta)
+    with pytest.raises(ValueError, match="not unique"):
+        joins.attach_slices(preds, meta.union(meta), ["channel"])
+    with pytest.raises(ValueError, match="no partner"):
+        joins.align_by_key(preds.union(spark.createDataFrame([("z", 0.3), (None, 0.4)], preds.schema)), meta)
+
+
+def test_reports_are_read_by_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("State, Date,hpi index,more\nCA,2019-01-01,x,1\nTX,2019-02-01,7.5,2\n")
+    got = tables.read_report(spark, str(tmp_path / "r.csv"), HPI_SCHEMA).collect()
+    assert [(r["date"], r["state"], r["hpi_index"]) for r in got] == [("2019-01-01", "CA", None), ("2019-02-01", "TX", 7.5)]
+    (tmp_path / "s.csv").write_text("date,state\n2019-01-01,CA\n")
+    with pytest.raises(ValueError, match="hpi_index"):
+        tables.read_report(spark, str(tmp_path / "s.csv"), HPI_SCHEMA)
+
+
+def test_documents_are_one_row(spark, tmp_path):
+    two = spark.createDataFrame([(1,), (2,)], "a int")
+    for df in (two, two.limit(0)):
+        with pytest.raises(ValueError, match="one row"):
+            documents.write_document(df, str(tmp_path / "doc"))
+
+
+def test_samples_with_null_groups_and_whole_budgets(spark):
+    rows = [(i, None if i % 3 == 0 else "a", int(i % 10 == 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, "loan_id long, g string, y int")
+    kept = sampling.downsample_negatives(df, "y", 2.0, by=["g"]).collect()
+    assert sum(r["y"] for r in kept) == 30 and len(kept) == 90 and sum(r["g"] is None for r in kept) == 30
+    order = [r["loan_id"] for r in df.orderBy(sampling.sample_order("loan_id", 13), "loan_id").collect()]
+    for k in (0, 1, 7, 299, 300, 500):
+        assert sorted(r["loan_id"] for r in sampling.sample_rows(df, k).collect()) == sorted(order[:k])
 
 
 def test_house_price_change_over_gaps(spark):

@@ -31,9 +31,13 @@ def stability_index(
     """(feature, psi) of ``compare`` against ``base``, largest first.
 
     Bins are the base deciles, left-closed, the last one closed.  Values outside
-    the base range are in no bin; shares are of the binned rows.
+    the base range are in no bin; shares are of the binned rows.  A feature without base
+    values has no bins and a NULL index.
     """
     edges = decile_edges(base, features, parts)
+    empty = [f for f in features if not edges[f]]
+    if len(empty) == len(features):
+        return base.sparkSession.createDataFrame([(f, None) for f in sorted(empty)], "feature string, psi double")
 
     def placed(df: DataFrame, side: str) -> DataFrame:
         entries = F.array(*[
@@ -59,7 +63,11 @@ def stability_index(
         return (b - c) * F.log(b / c)
 
     psi = F.aggregate(F.transform("cells", term), F.lit(0.0), lambda total, x: total + x)
-    return per_feature.select("feature", psi.alias("psi")).orderBy(F.desc("psi"), "feature")
+    found = per_feature.select("feature", psi.alias("psi"))
+    if empty:
+        names = F.explode(F.array(*map(F.lit, empty))).alias("feature")
+        found = found.unionByName(base.sparkSession.range(1).select(names, F.lit(None).cast("double").alias("psi")))
+    return found.orderBy(F.desc_nulls_last("psi"), "feature")
 
 
 def quantile_bins(df: DataFrame, column: str, parts: int = 10) -> list[float]:

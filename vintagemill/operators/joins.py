@@ -43,7 +43,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, keys: Sequence[str], name: s
     keys = list(keys)
     require_columns(fact, keys, "fact")
     rows = require_unique(lookup, keys, name)
-    if rows <= session.BROADCAST_ROWS:
+    if session.may_broadcast(rows, lookup.schema):
         lookup = F.broadcast(keep_known(lookup, keys))
     return fact.join(lookup, keys, "left")
 
@@ -53,13 +53,15 @@ def attach_slices(
 ) -> DataFrame:
     """Slice columns of the loans joined to the predictions on the loan key.
 
-    Slice columns already in the predictions win; key names may differ.
+    Slice columns already in the predictions win; key names may differ.  A loan key that
+    occurs twice is an error, as it would multiply predictions; a prediction without a
+    loan has NULL slices.
     """
     require_columns(preds, [pred_key], "predictions")
     require_columns(loans, [loan_key], "loans")
     wanted = [c for c in slices if c in loans.columns and c not in preds.columns]
     meta = loans.select(F.col(loan_key).alias(pred_key), *wanted)
-    return preds.join(meta, pred_key, "left")
+    return lookup_join(preds, meta, [pred_key], "loans")
 
 
 def attach_slices_one_to_one(
@@ -70,7 +72,6 @@ def attach_slices_one_to_one(
     if any(c in preds.columns for c in slices):
         return preds
     require_unique(preds, [key], "predictions")
-    require_unique(loans, [key], "loans")
     return attach_slices(preds, loans, slices, key, key)
 
 
@@ -78,12 +79,16 @@ def align_by_key(left: DataFrame, right: DataFrame, key: str = "loan_id") -> Dat
     """Two tables about the same loans, side by side.
 
     Rows meet by key, never by position.  Columns present on both sides are taken
-    from the left.
+    from the left.  The right key must be unique, and every left row must have its
+    partner: otherwise rows would vanish or multiply, which is an error.
     """
     require_columns(left, [key], "left")
     require_columns(right, [key], "right")
     extra = [c for c in right.columns if c not in left.columns]
-    return left.join(right.select(key, *extra), key)
+    unmatched = left.join(right.select(key), key, "left_anti").count()
+    if unmatched:
+        raise ValueError(f"{unmatched} rows have no partner on {key!r}")
+    return lookup_join(left, right.select(key, *extra), [key], "right")
 
 
 def missing_cells(panel: DataFrame, rows: DataFrame, columns: DataFrame) -> DataFrame:

@@ -54,19 +54,21 @@ def with_macro(
     """Loans with unemployment, house prices and the market rate at origination.
 
     Every series is optional.  Each must have unique keys, so the join can never
-    multiply loans.
+    multiply loans.  Months may be written as months or as full dates.
     """
     df = origination_month(loans)
+    month = dates.parse_month("date", ("yyyy-MM", "yyyy-MM-dd", "yyyyMM"))
+    key = dates.month_key(month).alias("orig_month")
     if unemployment is not None:
-        un = unemployment.select(F.col("date").alias("orig_month"), "state", "unemp_rate")
+        un = unemployment.select(key, "state", "unemp_rate")
         df = joins.lookup_join(df, un, ["state", "orig_month"], "unemployment")
     if hpi is not None:
-        dated = hpi.withColumn("date", dates.parse_month(F.col("date"), ("yyyy-MM", "yyyy-MM-dd")))
+        dated = hpi.withColumn("date", month)
         changed = yearly_change(dated).select(
             "state", dates.month_key("date").alias("orig_month"), "hpi_index", "hpi_12m_chg")
         df = joins.lookup_join(df, session.materialise(changed, "hpi"), ["state", "orig_month"], "hpi")
     if mortgage_rate is not None:
-        rate = mortgage_rate.select(F.col("date").alias("orig_month"), "pmms_30y")
+        rate = mortgage_rate.select(key, "pmms_30y")
         df = joins.lookup_join(df, rate, ["orig_month"], "mortgage_rate")
         df = df.withColumn("rate_spread", F.col("orig_rate") - F.col("pmms_30y"))
     return df

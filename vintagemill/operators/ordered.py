@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 from vintagemill import session
 from vintagemill.functions import numeric
 
-MAX_BUCKETS = 2_000
-
-
 def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows in which none of the columns is NULL.
 
@@ -37,7 +34,7 @@ def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def default_buckets(df: DataFrame) -> int:
     """A few buckets per shuffle partition, so that hashing them spreads evenly."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKETS, 4 * partitions))
+    return max(2, 4 * partitions)
 
 
 def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -105,7 +102,7 @@ def exact_quantiles(
     out.
     """
     by = list(by)
-    buckets = buckets or max(default_buckets(df), min(MAX_BUCKETS, len(probabilities)))
+    buckets = buckets or max(default_buckets(df), len(probabilities))
     slim = keep_known(df, by).select(*by, *[numeric.to_double(c).alias(c) for c in columns])
     bucketed = with_buckets(slim, bucket_edges(slim, columns, buckets))
     entries = F.array(*[
@@ -134,7 +131,7 @@ def exact_quantiles(
     wanted = session.materialise(wanted, "ranks")
     holders = wanted.select(*group, "bucket").distinct()
     each_value = [*group, "bucket", "value"]
-    if wanted.count() <= session.BROADCAST_ROWS:
+    if session.may_broadcast(wanted.count(), holders.schema):
         # The usual case: drop all other buckets during the scan.
         held = long.join(F.broadcast(holders), [*group, "bucket"], "left_semi")
         values = held.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))

@@ -56,13 +56,8 @@ def build_loans(
     sample_out: str | None = None,
 ) -> DataFrame:
     """Raw files to labelled loans, written by vintage; returns volume and bad rate."""
-
-    def scan(folder: str, width: int) -> DataFrame:
-        files = raw.list_raw_files(spark, folder, years)
-        return raw.read_headerless(spark, files if years else folder, width, sep)
-
-    acq = raw.project_acquisition(scan(acq_folder, ACQ_WIDTH))
-    perf = raw.project_performance(scan(perf_folder, PERF_WIDTH))
+    acq = raw.project_acquisition(raw.scan_folder(spark, acq_folder, ACQ_WIDTH, sep, years))
+    perf = raw.project_performance(raw.scan_folder(spark, perf_folder, PERF_WIDTH, sep, years))
     tables.write_dataset(loans.label_loans(acq, perf).select(*ABT_COLUMNS), out, ["vintage_q"])
     written = tables.read_dataset(spark, out).select(*ABT_COLUMNS)
     if sample_out:
@@ -217,10 +212,15 @@ def set_policy_by_approval(spark: SparkSession, preds_path: str, out: str, targe
 def run_backtest(
     spark: SparkSession, abt_path: str, preds_path: str, policy_path: str, out: str, score: str = "pd_cal"
 ) -> DataFrame:
-    """Stored policy on a later cohort: approval and observed bad rate by vintage."""
+    """Stored policy on a later cohort: approval and observed bad rate by vintage.
+
+    A cohort without a vintage is one row; without labels the bad rates are NULL.
+    """
     t = policy_threshold(spark, policy_path, score)
     preds = tables.read_dataset(spark, preds_path).select("loan_id", score)
-    cohort = tables.read_dataset(spark, abt_path, ["loan_id", "vintage_q", LABEL])
+    cohort = tables.read_dataset(spark, abt_path)
+    absent = {c: F.lit(None).cast(kind) for c, kind in (("vintage_q", "date"), (LABEL, "int")) if c not in cohort.columns}
+    cohort = cohort.withColumns(absent).select("loan_id", "vintage_q", LABEL)
     table = policy.backtest(joins.align_by_key(preds, cohort), score, t, LABEL).orderBy("vintage_q")
     tables.write_report(table, out)
     return tables.read_report(spark, out, table.schema)

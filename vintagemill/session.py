@@ -6,9 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-# Tables up to this many (narrow) rows are broadcast; beyond it they are shuffled.
-BROADCAST_ROWS = 200_000
+# Tables up to this size are broadcast; beyond it they are shuffled.
+BROADCAST_BYTES = 16 << 20
+# What a value is taken to need: text and nested values have no width of their own.
+_WIDE_VALUE = 128
 
 _local_folders: dict[str, str] = {}
 
@@ -31,6 +34,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def may_broadcast(rows: int, schema: T.StructType) -> bool:
+    """Whether so many rows of this schema are small enough to broadcast."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    width = sum(8 if isinstance(f.dataType, fixed) else _WIDE_VALUE for f in schema)
+    return rows * width <= BROADCAST_BYTES
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return f"{shared_folder(spark)}/vintagemill/{name}-{uuid.uuid4().hex}"

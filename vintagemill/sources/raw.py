@@ -42,6 +42,22 @@ def list_raw_files(spark: SparkSession, folder: str, years: Sequence[str] | None
     return files
 
 
+def scan_folder(spark: SparkSession, folder: str, width: int, sep: str = "|", years: Sequence[str] | None = None) -> DataFrame:
+    """All raw files below ``folder``, those of the given years only, as one scan; none is an error.
+
+    Files are chosen by a condition on their path, so no list of them is built here.
+    """
+    df = read_headerless(spark, folder, width, sep)
+    if years:
+        path, chosen = F.col("_metadata.file_path"), F.lit(False)
+        for year in years:
+            chosen = chosen | path.contains(str(year).strip())
+        df = df.filter(chosen)
+    if df.isEmpty():
+        raise FileNotFoundError(f"no raw rows under {folder} (years={years})")
+    return df
+
+
 def file_table(spark: SparkSession, folder: str, years: Sequence[str] | None = None) -> DataFrame:
     """One row per non-empty raw file: its path below ``folder`` and its line count."""
     lines = _lines(spark, list_raw_files(spark, folder, years))
@@ -71,24 +87,27 @@ def read_headerless(spark: SparkSession, paths: str | Sequence[str], width: int,
 
 
 def layout_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Per file: delimiter guess, field counts and whether a header seems present.
+    """Per file (full path): delimiter guess, field counts and whether a header seems present.
 
-    The delimiter is the one that occurs most often on a line.  A first field of
-    which some value is not a number or a date, while all others are, hints at a
-    header line; the layout is read in one pass over the text.
+    The delimiter is the one that occurs most often on a line.  A header is a first line
+    whose fields are all worded (letters, no digits) above lines of which some field has a digit;
+    a file of one line has none.  The layout is read in one pass over the text.
     """
     counts = {name: F.length("value") - F.length(F.replace("value", F.lit(d))) for d, name in DELIMITERS.items()}
     lines = _lines(spark, paths).select(
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
+        F.col("_metadata.file_path").alias("file"),
+        # splits of a file are numbered by their start, lines within a task by the order they are read in
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line")).alias("place"),
         *[c.alias(name) for name, c in counts.items()],
-        F.regexp_extract("value", r"^[^|,\t]*", 0).alias("first_field"),
+        F.col("value").rlike(r"^[^0-9]*[A-Za-z][^0-9]*$").alias("worded"),
+        F.col("value").rlike("[0-9]").alias("numbered"),
     )
-    worded = F.col("first_field").rlike("[A-Za-z_]")
     profile = lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_lines"),
         *[F.max(name).alias(f"max_{name}") for name in DELIMITERS.values()],
         *[F.min(name).alias(f"min_{name}") for name in DELIMITERS.values()],
-        F.count_if(worded).alias("worded_lines"),
+        F.min_by("worded", "place").alias("first_worded"),
+        F.count_if("numbered").alias("numbered_lines"),
     )
     top = F.greatest(*[F.col(f"max_{n}") for n in DELIMITERS.values()])
 
@@ -107,7 +126,7 @@ def layout_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         delimiter.otherwise(F.lit("pipe")).alias("delimiter"),
         (of_winner("min") + 1).alias("min_fields"),
         (of_winner("max") + 1).alias("max_fields"),
-        (F.col("worded_lines") == 1).alias("header_likely"),
+        (F.col("first_worded") & (F.col("numbered_lines") > 0)).alias("header_likely"),
     )
 
 

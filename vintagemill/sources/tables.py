@@ -54,10 +54,19 @@ def clean_names(names: Sequence[str]) -> list[str]:
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; names are stripped, lowered and joined by underscores."""
-    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-    df = reader.schema(schema).csv(path) if schema else reader.csv(path)
-    return df.toDF(*clean_names(df.columns))
+    """CSV with a header; names are stripped, lowered and joined by underscores.
+
+    With a schema, columns are found by name, wherever they stand, and cast; a value
+    that does not fit is NULL, a column that is not there is an error.
+    """
+    df = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).csv(path)
+    df = df.toDF(*clean_names(df.columns))
+    if schema is None:
+        return df
+    missing = [n for n in schema.names if n not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_optional_report(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
