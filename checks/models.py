@@ -181,8 +181,9 @@ def _(spark, folder):
     return rounded(scoring.score_cohort(df.filter("split = 'recent'"), model, medians), "pd_raw")
 
 
-_TERMS = {"fico": (-0.01, 570.0), "ltv": (0.03, 77.0), "dti": (0.02, 36.0), "orig_rate": (0.25, 5.0), "cltv": (0.015, 84.0),
-          "orig_upb": (-0.000001, 150000.0), "loan_term": (0.001, 270.0), "num_units": (0.05, 3.0), "msa": (0.00001, 12000.0)}
+# means that no value meets, so that no contribution is a signed zero
+_TERMS = {"fico": (-0.01, 570.5), "ltv": (0.03, 77.5), "dti": (0.02, 36.5), "orig_rate": (0.25, 5.1), "cltv": (0.015, 84.5),
+          "orig_upb": (-0.0000013, 150000.25), "loan_term": (0.001, 270.5), "num_units": (0.05, 3.5), "msa": (0.00001, 12000.5)}
 
 
 @query("m15_reason_codes", oracle("""
