@@ -171,6 +171,54 @@ for _name, _method in (("m10_tree_ensemble", "expression"), ("m10_tree_ensemble_
 _MED = "(SELECT quantile_cont(dti, 0.5) FROM s WHERE split = 'train')"
 
 
+# a stored model of 40 trees with 600 nodes, made by rule, so that SQL can follow it
+_FILE_FEATURES = {"fico": (420.5, 23.0), "ltv": (40.5, 4.0), "dti": (6.5, 3.0), "orig_rate": (2.6, 0.25)}
+_FILE_TREES = 40
+
+
+def _split_of(tree: int, node: int) -> tuple[int, str, float]:
+    at = (tree + node) % len(_FILE_FEATURES)
+    name, (low, step) = list(_FILE_FEATURES.items())[at]
+    return at, name, low + (tree * 13 + node * 7) % 18 * step
+
+
+def _leaf_of(tree: int, leaf: int) -> float:
+    return ((tree * 5 + leaf * 3) % 11 - 6) / 64
+
+
+def _tree_text() -> str:
+    """Seven inner nodes a tree, numbered from the root by level, and eight leaves."""
+    blocks = []
+    for t in range(_FILE_TREES):
+        splits = [_split_of(t, n) for n in range(7)]
+        child = [[2 * n + side if n < 3 else -(2 * (n - 3) + side) for n in range(7)] for side in (1, 2)]
+        lines = {"num_leaves": [8], "num_cat": [0], "split_feature": [i for i, _, _ in splits], "threshold": [v for _, _, v in splits],
+                 "decision_type": [2] * 7, "left_child": child[0], "right_child": child[1], "leaf_value": [_leaf_of(t, k) for k in range(8)]}
+        blocks.append(f"Tree={t}\n" + "\n".join(f"{k}={' '.join(map(str, v))}" for k, v in lines.items()))
+    head = "tree\nobjective=binary sigmoid:1\nfeature_names=" + " ".join(_FILE_FEATURES)
+    return "\n\n".join([head, *blocks, "end of trees"])
+
+
+def _tree_sql() -> str:
+    def walk(t: int, n: int) -> str:
+        if n > 6:
+            return f"{_leaf_of(t, n - 7)!r}E0"
+        _, name, value = _split_of(t, n)
+        return f"CASE WHEN {name} <= {value!r}E0 THEN {walk(t, 2 * n + 1)} ELSE {walk(t, 2 * n + 2)} END"
+
+    return " + ".join(walk(t, 0) for t in range(_FILE_TREES))
+
+
+@query("c7_score_with_tree_file", oracle(f"""
+SELECT loan_id, ROUND(1 / (1 + exp(-({_tree_sql()}))), 6) AS pd_raw
+FROM (SELECT loan_id, fico, ltv, orig_rate, COALESCE(dti, {_MED}) AS dti FROM s WHERE split = 'recent')""", "abt", s=_S))
+def _(spark, folder):
+    model, table_, out = (session.fresh_path(spark, n) for n in ("tree-file", "splits", "scored"))
+    spark.createDataFrame([(_tree_text(),)], "value string").coalesce(1).write.text(model)
+    tables.write_dataset(split_abt(spark, folder), table_, ["split"])
+    return rounded(jobs.score_with_tree_file(spark, model, table_, out).select("loan_id", "pd_raw"), "pd_raw")
+
+
 @query("m9_score_cohort", oracle(f"""
 SELECT loan_id, orig_date, msa, ROUND({_trees('fico', f'COALESCE(dti, {_MED})', 'ltv', 'orig_rate')}, 6) AS pd_raw
 FROM s WHERE split = 'recent'""", "abt", s=_S))
@@ -271,6 +319,20 @@ def _(spark, folder):
     return jobs.train_trees(spark, feature_path(spark, folder), session.fresh_path(spark, "run"), MODEL_NUMERIC, **SMALL)
 
 
+_POS, _NEG = "COUNT(CASE WHEN default_within_24m THEN 1 END)", "COUNT(CASE WHEN NOT default_within_24m THEN 1 END)"
+
+
+@query("c6_baseline_job", oracle(f"""
+SELECT m.model, split, CAST(pos + CASE WHEN split = 'valid' THEN LEAST(neg, GREATEST(1, pos)) ELSE neg END AS BIGINT) AS n, pos AS positives
+FROM (SELECT split, {_POS} AS pos, {_NEG} AS neg FROM s WHERE split IN ('valid', 'test') GROUP BY 1),
+     (SELECT UNNEST(['logistic', 'trees']) AS model) m""", "abt", s=_S))
+def _(spark, folder):
+    """One negative per positive on train and valid; the number of rounds is an argument of the job, few here."""
+    out = session.fresh_path(spark, "baseline")
+    metrics = jobs.train_baseline(spark, feature_path(spark, folder), out, MODEL_NUMERIC, negatives_per_positive=1.0, **SMALL)
+    return metrics.select("model", "split", F.col("n").cast("bigint").alias("n"), F.col("positives").cast("bigint").alias("positives"))
+
+
 @query("c7_score_and_calibrate_job")
 def _(spark, folder):
     run = session.fresh_path(spark, "run")

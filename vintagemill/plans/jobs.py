@@ -15,6 +15,7 @@ from vintagemill.functions import numeric
 from vintagemill.operators import (
     audit,
     calibration,
+    columns,
     drift,
     features,
     joins,
@@ -24,6 +25,7 @@ from vintagemill.operators import (
     policy,
     ranking,
     sampling,
+    scoring,
     summaries,
     training,
 )
@@ -121,17 +123,87 @@ def train_trees(
     run folder; returns the metrics."""
     train, valid, test = (split_of(spark, features_path, s) for s in ("train", "valid", "test"))
     model = training.fit_boosted_trees(train, valid, numeric_columns, **params)
-    model.save(spark, f"{out}/model")
-    carried = [c for c in SLICES if c != "vintage_q"]
-    for name, rows in (("valid", valid), ("test", test)):
-        scored = training.predictions(model, rows, keys=["loan_id", "vintage_q", *carried])
-        tables.write_dataset(scored, f"{out}/{name}_predictions")
+    _save_run(spark, model, {"valid": valid, "test": test}, out)
     metrics = ranking.evaluate(tables.read_dataset(spark, f"{out}/test_predictions"), "y_pred", "y_true")
     documents.write_document(metrics, f"{out}/metrics")
     tables.write_report(training.feature_importance(model), f"{out}/feature_importance")
     return spark.read.schema(metrics.schema).json(f"{out}/metrics")
 
 
+def _save_run(spark: SparkSession, model: training.CreditModel, splits: Mapping[str, DataFrame], out: str) -> None:
+    """A model and its predictions of each split."""
+    model.save(spark, f"{out}/model")
+    for name, rows in splits.items():
+        carried = [c for c in SLICES if c != "vintage_q" and c in rows.columns]
+        tables.write_dataset(training.predictions(model, rows, keys=["loan_id", "vintage_q", *carried]), f"{out}/{name}_predictions")
+
+
+def _run_metrics(spark: SparkSession, runs: Mapping[str, str], names: Sequence[str]) -> DataFrame:
+    """(model, split, metrics...) of stored predictions."""
+    parts = None
+    for model, path in runs.items():
+        for name in names:
+            row = ranking.evaluate(tables.read_dataset(spark, f"{path}/{name}_predictions"), "y_pred", "y_true")
+            row = row.select(F.lit(model).alias("model"), F.lit(name).alias("split"), *row.columns)
+            parts = row if parts is None else parts.unionByName(row)
+    return parts
+
+
+def train_baseline(
+    spark: SparkSession, features_path: str, out: str, numeric_columns: Sequence[str] | None = None,
+    negatives_per_positive: float = 10.0, seed: int = 42, **params,
+) -> DataFrame:
+    """Logistic and boosted baselines side by side; returns their metrics on valid and test.
+
+    Negatives of train and valid are downsampled, those of test never are.  Models,
+    predictions, metrics and importance are written under ``out``.
+    """
+    train, valid, test = (split_of(spark, features_path, s) for s in ("train", "valid", "test"))
+    fewer = []
+    for name, rows in (("train", train), ("valid", valid)):
+        tables.write_dataset(sampling.downsample_negatives(rows, LABEL, negatives_per_positive, seed=seed), f"{out}/{name}_sample")
+        fewer.append(tables.read_dataset(spark, f"{out}/{name}_sample"))
+    runs = {"logistic": f"{out}/logistic", "trees": f"{out}/trees"}
+    logistic = training.fit_logistic(fewer[0], *([numeric_columns] if numeric_columns else []))
+    trees = training.fit_boosted_trees(*fewer, numeric_columns, **params)
+    for name, model in (("logistic", logistic), ("trees", trees)):
+        _save_run(spark, model, {"valid": fewer[1], "test": test}, runs[name])
+    tables.write_report(training.feature_importance(trees), f"{out}/feature_importance")
+    metrics = _run_metrics(spark, runs, ["valid", "test"])
+    tables.write_report(metrics, f"{out}/metrics")
+    return tables.read_report(spark, f"{out}/metrics", metrics.schema)
+
+
+def train_tuned(
+    spark: SparkSession, features_path: str, out: str, numeric_columns: Sequence[str] | None = None, draws: int = 30,
+    seed: int = 42, drop: Sequence[str] = ("msa",), **fixed,
+) -> DataFrame:
+    """Random search; the best model, its metrics, importance and predictions, and all draws are written.
+
+    ``drop`` names numeric columns the tuned model does without.  Returns its metrics on valid and test.
+    """
+    train, valid, test = (split_of(spark, features_path, s) for s in ("train", "valid", "test"))
+    names = [c for c in numeric_columns or columns.numeric_features(train) if c not in drop]
+    model, log = training.random_search(train, valid, draws, seed, numeric=names, **fixed)
+    _save_run(spark, model, {"valid": valid, "test": test}, out)
+    tables.write_report(log, f"{out}/draws")
+    tables.write_report(training.feature_importance(model), f"{out}/feature_importance")
+    metrics = _run_metrics(spark, {"tuned": out}, ["valid", "test"])
+    tables.write_report(metrics, f"{out}/metrics")
+    return tables.read_report(spark, f"{out}/metrics", metrics.schema)
+
+
+def score_with_tree_file(
+    spark: SparkSession, model_file: str, features_path: str, out: str, split: str = "recent", train_split: str = "train"
+) -> DataFrame:
+    """Raw probabilities of a split from a stored boosted-tree text file; gaps take the training medians."""
+    model = scoring.read_tree_file(spark, model_file)
+    medians = features.median_values(split_of(spark, features_path, train_split), model.features)
+    scored = scoring.score_cohort(split_of(spark, features_path, split), model, medians, ("loan_id", "msa", *SLICES))
+    tables.write_dataset(scored, out)
+    return tables.read_dataset(spark, out)
+
+
 def score_recent(spark: SparkSession, run: str, features_path: str, out: str) -> None:
     """Raw probabilities of the recent split from a saved model."""
     model = training.CreditModel.load(spark, f"{run}/model")
