@@ -128,10 +128,11 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, positive
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"kind": batch["kind"], "x": list(feature_table(batch["text"].tolist()))})
+            yield pd.DataFrame({"kind": batch["kind"], "x": [x.tobytes() for x in feature_table(batch["text"].tolist())]})
 
-    sample = rows.mapInPandas(features, "kind int, x array<double>").toPandas()
-    x, kind = np.array(sample["x"].tolist()).reshape(-1, FEATURES), sample["kind"].to_numpy()
+    # bounded by the sample size: some 300 bytes a row
+    sample = rows.mapInPandas(features, "kind int, x binary").toPandas()
+    x, kind = np.frombuffer(b"".join(sample["x"])).reshape(-1, FEATURES), sample["kind"].to_numpy()
     # rows arrive in any order; a fixed one makes the sums, and so the model, the same each time
     order = np.lexsort([*x.T, kind])
     x, kind = x[order], kind[order]
