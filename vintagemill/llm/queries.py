@@ -13,6 +13,7 @@ from vintagemill.llm import (
     cap_filters,
     disclosure,
     merge_dropout,
+    oracles,
     order_minhash,
     packing,
     pu_quality,
@@ -32,7 +33,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_table(spark, URL_RULES))
+    judged = url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,4 +90,9 @@ QUERIES: dict[str, Query] = {
     "op10_merge_dropout": op10_merge_dropout,
 }
 
-ORACLES: dict[str, str] = {}
+#: The other operators have no SQL form: tokenizers, sketches in text order, patterns with checksums, a fitted model.
+ORACLES: dict[str, str] = {
+    "op1_url_filter": oracles.url_filter(URL_RULES),
+    "op6_bottomk_near_dedup": oracles.near_duplicates(bottomk.WORDS, bottomk.PERCENT),
+    "op9_cap_filters": oracles.near_vectors(cap_filters.COSINE),
+}
