@@ -172,7 +172,7 @@ def brute_groups(rows):
 
 @pytest.mark.parametrize("block", [2_000, 3])
 def test_near_duplicates(spark, frame, monkeypatch, block):
-    monkeypatch.setattr(bottomk.in_blocks, "__defaults__", (block,))
+    monkeypatch.setattr(bottomk.in_blocks, "__defaults__", (block, None))
     rng = random.Random(9)
     rows = some_texts()
     base = [rng.choice(["p", "q", "r", "s"]) + str(rng.randrange(60)) for _ in range(120)]

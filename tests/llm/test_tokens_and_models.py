@@ -270,7 +270,7 @@ def test_quality_of_odd_tables(spark, frame):
 
 @pytest.mark.parametrize("block", [2_000, 7])
 def test_near_vectors(spark, frame, monkeypatch, block):
-    monkeypatch.setattr(cap_filters.in_blocks, "__defaults__", (block,))
+    monkeypatch.setattr(cap_filters.in_blocks, "__defaults__", (block, None))
     rng = np.random.default_rng(4)
     vectors = [rng.normal(size=16) for _ in range(60)]
     for i in range(8):

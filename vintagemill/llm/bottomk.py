@@ -20,8 +20,8 @@ PERCENT = 75
 SKETCH = 48
 #: Standard deviations by which a sketch may understate what two sets share.
 SLACK = 5.5
-#: Members compared in one step; longer lists and larger clusters are dealt to pairs of blocks.
-BLOCK = 2_000
+#: Members, and values they hold, in one step; longer lists and larger clusters are dealt to pairs of blocks.
+BLOCK, BLOCK_VALUES = 2_000, 4_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -132,13 +132,15 @@ def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[
         yield held
 
 
-def in_blocks(df: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
+def in_blocks(df: DataFrame, key: str, member: str, block: int = BLOCK, weight: str | None = None) -> DataFrame:
     """Adds _a, _b, _side: each pair of members of a key meets in some (_a, _b).
 
-    A key of up to ``block`` members is one step; the members of a larger one are dealt to
-    blocks by hash, and each block visits the steps it shares with every other.
+    A key of up to ``block`` members, which hold up to BLOCK_VALUES values by ``weight``, is
+    one step; the members of a larger one are dealt to blocks by hash, and each block
+    visits the steps it shares with every other.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(f"_n > {block}").withColumn("_n", F.ceil(F.col("_n") / block).cast("int"))
+    parts = F.ceil(F.greatest(F.count("*") / block, F.sum(weight or F.lit(0)) / BLOCK_VALUES)).cast("int")
+    sizes = df.groupBy(key).agg(parts.alias("_n")).where("_n > 1")
     dealt = df.join(sizes, key, "left").withColumn("_own", F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.xxhash64(member), F.col("_n")).cast("int")))
     steps = F.transform(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1), lambda j: F.struct(
         F.least(F.col("_own"), j).alias("_a"), F.greatest(F.col("_own"), j).alias("_b"), (F.col("_own") > j).cast("int").alias("_side")))
@@ -218,9 +220,9 @@ def candidate_links(reps: DataFrame, percent: int = PERCENT, sketch: int = SKETC
 def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(u, v) that connect all near-duplicates among the nodes of each cluster, on their full sets.
 
-    ``clusters`` has node, component, and the doc_id and class of the text.
+    ``clusters`` has node, component, n_shingles, and the doc_id and class of the text.
     """
-    steps = in_blocks(clusters, "component", "node")
+    steps = in_blocks(clusters, "component", "node", weight="n_shingles")
     texts = _with_shingles(docs.select("doc_id", "text").join(steps, "doc_id"), "_set", words)
     # a doc_id may have several texts; written as an equality, this would be taken for a key of the join above
     sets = texts.where(F.instr("_class", F.col("class")) > 0).withColumn("n_shingles", F.size("_set").cast("long"))
@@ -251,7 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # written, so that the numbers stay as they are
     reps = materialise(linkable.join(least, ["class", "doc_id"], "left_semi").dropDuplicates(["class"])
                        .withColumn("node", F.monotonically_increasing_id()), "representatives")
-    clusters = connected(candidate_links(reps, percent, sketch)).join(reps.select("node", "class", "doc_id"), "node")
+    clusters = connected(candidate_links(reps, percent, sketch)).join(reps.select("node", "class", "doc_id", "n_shingles"), "node")
     groups = connected(confirmed_links(docs, materialise(clusters, "clusters"), words, percent))
     of_class = reps.select("node", "class", F.col("doc_id").alias("rep")).join(groups, "node", "left")
     smallest = of_class.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
