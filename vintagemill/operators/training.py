@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vintagemill import session
 from vintagemill.functions.numeric import ratio
 from vintagemill.operators import columns, features, ranking
 from vintagemill.schemas import CATEGORY_COLUMNS, LABEL, MODEL_NUMERIC, MONOTONE_DIRECTIONS
@@ -174,16 +175,22 @@ def fit_boosted_trees(
     categorical: Sequence[str] = (),
     label: str = LABEL,
     positive_weight: float | None = None,
+    medians: Mapping[str, float] | None = None,
+    stop_gain: float = 0.01,
     **params,
 ) -> CreditModel:
-    """Gradient-boosted trees, stopping early on the validation rows when given."""
+    """Gradient-boosted trees, stopping early on the validation rows when given.
+
+    ``stop_gain`` is the relative gain in validation error under which no more trees
+    are added; ``medians`` spares fits on the same rows the search for them.
+    """
     numeric = list(numeric or columns.numeric_features(train))
     categorical = tuple(c for c in categorical if c in train.columns)
-    model = CreditModel(None, numeric, features.median_values(train, numeric), categorical)
+    model = CreditModel(None, numeric, dict(medians) if medians is not None else features.median_values(train, numeric), categorical)
     frame = _training_frame(train, valid, model, label, positive_weight)
     settings = dict(
         maxIter=100, maxDepth=6, stepSize=0.03, subsamplingRate=0.85, featureSubsetStrategy="0.85",
-        minInstancesPerNode=100, seed=42, maxBins=64,
+        minInstancesPerNode=100, seed=42, maxBins=64, validationTol=stop_gain,
     ) | params
     indexers = []
     if categorical:
@@ -249,11 +256,14 @@ def random_search(
     """Best model by validation KS, and the table of all draws."""
     base = class_weights(train, label).first()["odds_weight"]
     evaluator = KolmogorovSmirnov()
+    numeric = list(numeric or columns.numeric_features(train))
+    medians = features.median_values(train, numeric)
     best, best_ks, log = None, float("-inf"), []
     for i, settings in enumerate(sample_settings(space, draws, seed), 1):
         scale = settings.pop("weight_scale", 1.0)
-        model = fit_boosted_trees(train, valid, numeric, (), label, base * scale, **{**settings, **fixed})
-        scored = predictions(model, valid, label)
+        model = fit_boosted_trees(train, valid, numeric, (), label, base * scale, medians, **{**settings, **fixed})
+        # written, as the metric reads it twice
+        scored = session.materialise(predictions(model, valid, label), "draw")
         ks = evaluator.evaluate(scored)
         log.append((i, str({**settings, "weight_scale": scale}), float(ks)))
         if ks > best_ks:
