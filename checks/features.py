@@ -19,6 +19,7 @@ from vintagemill.operators import (
     joins,
     macro,
     monitoring,
+    ordered,
     policy,
     ranking,
     sampling,
@@ -469,7 +470,7 @@ def _(spark, folder):
 @query("p31_complete_rows", oracle("""
 SELECT loan_id, dti, msa FROM abt WHERE dti IS NOT NULL AND msa IS NOT NULL""", "abt"))
 def _(spark, folder):
-    return abt(spark, folder).select("loan_id", "dti", "msa").dropna()
+    return ordered.keep_known(abt(spark, folder).select("loan_id", "dti", "msa"), ["dti", "msa"])
 
 
 # --- stability and KPI history
