@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from checks.views import SPLIT_YEARS, oracle, table
 from vintagemill import session
 from vintagemill.operators import features, scoring, training
 from vintagemill.plans import jobs
-from vintagemill.schemas import AUDIT_RULES, MODEL_NUMERIC, MONOTONE_DIRECTIONS
+from vintagemill.schemas import AUDIT_RULES, LABEL, MODEL_NUMERIC, MONOTONE_DIRECTIONS
 from vintagemill.sources import tables
 
 
@@ -126,6 +127,40 @@ def _(spark, folder):
     return spark.createDataFrame(rows, "feature string, direction int, coefficient double")
 
 
+def _optimality(train: DataFrame, directions: dict[str, int]) -> DataFrame:
+    """Per feature: has the coefficient its sign, and is the penalised likelihood stationary there?
+
+    The slope of the balanced log-likelihood less half the squared coefficients must be
+    zero where a coefficient is free; where it rests on its bound of zero, the slope may
+    only point beyond the bound.
+    """
+    model = training.fit_logistic(train, directions=directions)
+    ready = model.prepare(train.withColumn("_y", F.col(LABEL).cast("double")), ["_y"])
+    rows = model.pipeline.transform(ready).select(
+        "_y", vector_to_array("features").alias("z"), F.element_at(vector_to_array("probability"), 2).alias("p"))
+    n, pos = rows.agg(F.count("*"), F.sum("_y")).first()
+    push = F.when(F.col("_y") == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos))) * (F.col("_y") - F.col("p"))
+    sums = rows.agg(*[F.sum(push * F.get("z", F.lit(j))) for j in range(len(model.numeric))]).first()
+    found = []
+    for feature, total, b in zip(model.numeric, sums, map(float, model.pipeline.stages[2].coefficients)):
+        slope, d = (total - b) / n, directions.get(feature, 0)
+        found.append((feature, d * b >= 0, abs(slope) <= 1e-3 or (d != 0 and b == 0 and d * slope <= 0)))
+    return train.sparkSession.createDataFrame(found, "feature string, sign_kept boolean, stationary boolean")
+
+
+_ALL_TRUE = f"SELECT UNNEST({MODEL_NUMERIC!r}) AS feature, true AS sign_kept, true AS stationary"
+
+
+@query("m1_logistic_optimality", _ALL_TRUE)
+def _(spark, folder):
+    return _optimality(split(spark, folder, "train"), {})
+
+
+@query("m5_sign_bounded_optimality", _ALL_TRUE)
+def _(spark, folder):
+    return _optimality(split(spark, folder, "train"), MONOTONE_DIRECTIONS)
+
+
 @query("m6_feature_importance")
 def _(spark, folder):
     model = training.fit_boosted_trees(split(spark, folder, "train"), split(spark, folder, "valid"), **SMALL)
