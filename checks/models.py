@@ -15,7 +15,7 @@ from checks.views import SPLIT_YEARS, oracle, table
 from vintagemill import session
 from vintagemill.operators import features, scoring, training
 from vintagemill.plans import jobs
-from vintagemill.schemas import AUDIT_RULES, LABEL, MODEL_NUMERIC, MONOTONE_DIRECTIONS
+from vintagemill.schemas import ABT_COLUMNS, AUDIT_RULES, CATEGORY_COLUMNS, LABEL, MODEL_NUMERIC, MONOTONE_DIRECTIONS
 from vintagemill.sources import tables
 
 
@@ -314,13 +314,32 @@ def _(spark, folder):
 
 # --- composite jobs
 
-@query("c3_audit_job", oracle(" UNION ALL ".join(
-    f"SELECT '{c}' AS feature, COUNT(CASE WHEN {c} < {lo} OR {c} > {hi} OR {c} IS NULL THEN 1 END) AS count_flagged FROM abt"
-    for c, (lo, hi) in AUDIT_RULES.items()), "abt"))
+_HEADER = {"rows": "COUNT(*)", "unique_keys": "COUNT(DISTINCT loan_id)", "duplicates": "COUNT(*) - COUNT(DISTINCT loan_id)",
+           "label_nulls": "COUNT(CASE WHEN default_within_24m IS NULL THEN 1 END)"}
+
+
+@query("c3_audit_job", oracle(" UNION ALL ".join([
+    *[f"SELECT 'outlier_flags' AS output, '{c}' AS key, COUNT(CASE WHEN {c} < {lo} OR {c} > {hi} OR {c} IS NULL THEN 1 END) AS n FROM abt"
+      for c, (lo, hi) in AUDIT_RULES.items()],
+    *[f"SELECT 'missing', '{c}', COUNT(*) - COUNT({c}) FROM abt" for c in ABT_COLUMNS],
+    *[f"SELECT 'audit_header', '{name}', {sql} FROM abt" for name, sql in _HEADER.items()],
+    *[f"""SELECT 'top_values', '{c} ' || rank || ' ' || COALESCE(CAST(v AS VARCHAR), ''), n FROM (
+        SELECT {c} AS v, COUNT(*) AS n, row_number() OVER (ORDER BY COUNT(*) DESC, {c} ASC NULLS LAST) AS rank FROM abt GROUP BY 1) WHERE rank <= 10"""
+      for c in CATEGORY_COLUMNS]]), "abt"))
 def _(spark, folder):
+    """All four outputs of the job in one long table."""
     out = session.fresh_path(spark, "audit")
     jobs.audit_loans(spark, saved(abt(spark, folder), "abt"), out)
-    return spark.read.option("header", True).schema("feature string, count_flagged bigint").csv(f"{out}/outlier_flags")
+    read = {n: spark.read.option("header", True).csv(f"{out}/{n}") for n in ("outlier_flags", "missing", "top_values")}
+    header = spark.read.json(f"{out}/audit_header").select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("key"), F.col(n).cast("bigint").alias("n")) for n in _HEADER])))
+    value = F.concat_ws(" ", "col", "rank", F.coalesce("val", F.lit("")))
+    parts = {
+        "outlier_flags": read["outlier_flags"].select(F.col("feature").alias("key"), F.col("count_flagged").alias("n")),
+        "missing": read["missing"].select(F.col("col").alias("key"), F.col("nulls").alias("n")),
+        "top_values": read["top_values"].select(value.alias("key"), "n"), "audit_header": header}
+    longs = [rows.select(F.lit(name).alias("output"), "key", F.col("n").cast("bigint").alias("n")) for name, rows in parts.items()]
+    return longs[0].unionByName(longs[1]).unionByName(longs[2]).unionByName(longs[3])
 
 
 @query("c4_macro_job", oracle(f"""
