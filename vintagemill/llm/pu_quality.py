@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vintagemill.llm.batches import bound_batches
 
 #: Expected numbers of fitted rows; more labels or documents are thinned by a hash of doc_id.
-POSITIVES, UNLABELLED = 20_000, 40_000
+POSITIVES, UNLABELLED = 10_000, 20_000
 HIDDEN, EPOCHS, RATE, SEED = 16, 400, 0.02, 7
 
 _UPPER, _LOWER, _DIGIT = slice(65, 91), slice(97, 123), slice(48, 58)
