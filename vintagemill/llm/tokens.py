@@ -8,7 +8,7 @@ from functools import lru_cache
 from unicodedata import category
 
 #: Words kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 1_400_000
+MEMORY = 1_800_000
 
 # byte-level vocabularies write a byte that is no printable Latin-1 sign as the next sign from U+0100 on
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -54,7 +54,7 @@ class WordMemory:
         other = []
         model, sign = self.tokenizer.model, lead.translate(_BYTE_SIGNS)
         for word in ({w[:-1] for w in ended} | words - ended).difference(known):
-            if word.isalpha() and max(word) < "\u0250":  # one pre-token without composed forms: the model alone decides
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one pre-token without composed forms: the model alone decides
                 form = word.lower() if self.lowers else word
                 spelled = sign + (form if form.isascii() else form.encode().decode("latin-1").translate(_BYTE_SIGNS))
                 known[word] = array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
@@ -79,7 +79,7 @@ class WordMemory:
                 ids[0] = first.get(words[0])
                 if None in ids:
                     found = [(later if i else first, words[i], ids, i) for i, x in enumerate(ids) if x is None]
-                    if any(w.split() != [w] or category(w[0])[0] == "M" for _, w, _, _ in found):
+                    if any(not w.isalpha() and (w.split() != [w] or category(w[0])[0] == "M") for _, w, _, _ in found):
                         lines = None  # other white space, more of it in a row, or a mark on a space: the cuts may matter
                         break
                     holes += found
