@@ -307,6 +307,29 @@ def test_filters_of_vectors_at_the_threshold():
     assert set(a[0].tolist()) == set(np.argsort(-every)[: cap_filters.CAPS].tolist())
 
 
+@pytest.mark.parametrize("dim,vectors", [(64, 65_000), (64, 1_000_000), (64, 10_500_000), (64, 200_000_000), (16, 1_000_000), (8, 65_000), (8, 1_000_000), (2, 10_000)])
+def test_recall_at_the_threshold_does_not_fall(dim, vectors):
+    size, caps = cap_filters.settings(dim, vectors)
+    x, y = cap_filters.pairs_at(0.9, dim, 600, seed=99)
+    a, b = (cap_filters.filters_of(v, size, caps).tolist() for v in (x, y))
+    assert np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)]) >= 0.97
+
+
+@pytest.mark.parametrize("size,dim", [(32, 64), (57, 64), (128, 64), (8, 16)])
+def test_recall_of_given_code_sizes(size, dim):
+    caps = cap_filters.caps_for(size, dim, 0.9)
+    x, y = cap_filters.pairs_at(0.9, dim, 600, seed=98)
+    a, b = (np.vstack([cap_filters.filters_of(v[lo: lo + 100], size, caps) for lo in range(0, 600, 100)]).tolist() for v in (x, y))
+    assert np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)]) >= 0.97
+
+
+def test_sets_that_share_a_value():
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(9000, rng.integers(0, 90), replace=False) for _ in range(60)]
+    assert cap_filters._share(sets).tolist() == [[i == j and len(p) > 0 and bool(set(p) & set().union(*sets[:i], *sets[i + 1:])) or i != j and bool(set(p) & set(q))
+                                                  for j, q in enumerate(sets)] for i, p in enumerate(sets)]
+
+
 def test_queries_are_registered():
     from vintagemill.llm.queries import ORACLES, QUERIES
 

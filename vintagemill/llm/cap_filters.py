@@ -12,17 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintagemill.llm.batches import bound_batches
-from vintagemill.llm.bottomk import Groups, _grouped, in_blocks
+from vintagemill.llm.bottomk import BLOCK, Groups, _grouped, in_blocks
 from vintagemill.llm.components import connected
 from vintagemill.session import materialise
 
 COSINE = 0.9
 PARTS = 4
-#: Filters a vector exceeds; more raise recall and cost alike.
+#: Share of the pairs at the threshold exactly that some filter holds both of, whatever the number of vectors and dimensions.
+RECALL = 0.99
+#: Filters a vector exceeds unless ``settings`` works out how many it takes.
 CAPS = 32
 SEED = 11
 
 _SMALLEST_CODE, _LARGEST_CODE = 8, 128
+_CODES = (2, 3, 4, 6, 8, 11, 16, 23, 32, 45, 64, 91, 128)
+#: Most filters a vector may be in, and random pairs that recall is measured on.
+_MOST_CAPS, _PAIRS = 512, 1_000
 
 
 def code_size(vectors: int) -> int:
@@ -53,6 +58,19 @@ def filters_of(units: np.ndarray, size: int, caps: int, seed: int = SEED) -> np.
     vector in a thin region is in as many filters as any other.  Decoding joins the
     scores of two parts each: of either list only the best ``caps`` can be in the result.
     """
+    return np.sort(_ranked_filters(units, size, caps, seed), axis=1)
+
+
+@lru_cache(maxsize=64)
+def _ladder(caps: int, left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in two lists, best first, whose sums may be among the best ``caps``: of any other, as many are better."""
+    i, j = np.divmod(np.arange(left * right), right)
+    some = (i + 1) * (j + 1) <= caps
+    return i[some], j[some]
+
+
+def _ranked_filters(units: np.ndarray, size: int, caps: int, seed: int = SEED) -> np.ndarray:
+    """As ``filters_of``, best first: the first filters are those of smaller ``caps``."""
     n, dim = units.shape
     padded = np.zeros((n, -(-dim // PARTS) * PARTS))
     padded[:, :dim] = units
@@ -60,36 +78,106 @@ def filters_of(units: np.ndarray, size: int, caps: int, seed: int = SEED) -> np.
     scores = np.einsum("npd,pcd->npc", (padded @ rotation).reshape(n, PARTS, -1), words)
 
     def best(s: np.ndarray) -> np.ndarray:
-        return np.argpartition(-s, min(caps, s.shape[1]) - 1, axis=1)[:, :caps]
+        some = np.argpartition(-s, min(caps, s.shape[1]) - 1, axis=1)[:, :caps]
+        return np.take_along_axis(some, np.argsort(-np.take_along_axis(s, some, 1), axis=1, kind="stable"), 1)
 
     left = (scores[:, 0, :, None] + scores[:, 1, None, :]).reshape(n, -1)
     right = (scores[:, 2, :, None] + scores[:, 3, None, :]).reshape(n, -1)
     a, b = best(left), best(right)
-    sums = (np.take_along_axis(left, a, 1)[:, :, None] + np.take_along_axis(right, b, 1)[:, None, :]).reshape(n, -1)
-    at = best(sums)
-    i, j = np.divmod(at, b.shape[1])
-    return np.sort(np.take_along_axis(a, i, 1) * size * size + np.take_along_axis(b, j, 1), axis=1)
+    i, j = _ladder(caps, a.shape[1], b.shape[1])
+    at = best(np.take_along_axis(left, a, 1)[:, i] + np.take_along_axis(right, b, 1)[:, j])
+    return np.take_along_axis(a, i[at], 1) * size * size + np.take_along_axis(b, j[at], 1)
+
 
+def pairs_at(cosine: float, dim: int, pairs: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors in random directions, and for each another at this cosine exactly."""
+    rng = np.random.default_rng([seed, dim, pairs])
+    x, noise = unit(rng.normal(size=(pairs, dim))), rng.normal(size=(pairs, dim))
+    noise = unit(noise - (noise * x).sum(1, keepdims=True) * x)
+    return x, cosine * x + math.sqrt(1 - cosine**2) * noise
 
-def _rows_by_filter(vectors: DataFrame, size: int, caps: int) -> DataFrame:
-    """One row for each vector and filter: filter, node, copies, vector, and all filters of the vector."""
+
+@lru_cache(maxsize=1024)
+def caps_for(size: int, dim: int, cosine: float, recall: float = RECALL) -> int | None:
+    """Filters each vector must be in so that a pair at ``cosine`` shares one with probability ``recall``; None if it takes too many.
+
+    Measured on random pairs with the code that is used.  The code is turned at random,
+    so no pair is worse off than another in expectation, wherever the vectors lie.
+    """
+    if dim < 2 or cosine >= 1:
+        return None
+    needed = []
+    for lo in range(0, _PAIRS, 100):
+        x, y = (_ranked_filters(v[lo: lo + 100], size, _MOST_CAPS) for v in pairs_at(cosine, dim, _PAIRS))
+        for p, q in zip(x.tolist(), y.tolist()):
+            place = {f: r for r, f in enumerate(p)}
+            needed.append(min((max(r, place[f]) for r, f in enumerate(q) if f in place), default=_MOST_CAPS))
+    caps = int(np.sort(needed)[math.ceil(recall * _PAIRS) - 1]) + 1
+    return caps if caps <= min(_MOST_CAPS, size**PARTS) else None
+
+
+def settings(dim: int, vectors: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
+    """Code words a part and filters a vector for this recall, at least cost in microseconds a vector.
+
+    More filters are emptier, but each vector must be in more of them.  One filter for
+    all is exact; it is taken for few vectors, and where no code reaches the recall.
+    """
+    if vectors <= BLOCK:
+        return 1, 1
+
+    def cost(size: int, caps: int) -> float:
+        members = vectors * caps / size**PARTS
+        rows = caps * math.ceil(members / BLOCK)
+        return rows * (6 + 0.01 * (2 * caps + 4 * dim)) + caps * members * (0.005 + 0.0004 * dim) + 0.02 * size * size
+
+    found = [(1, 1)]
+    for size in _CODES:
+        caps = caps_for(size, dim, cosine, recall) if size <= 2 * code_size(vectors) else None
+        if caps is None:  # larger codes take more filters still
+            break
+        found.append((size, caps))
+    return min(found, key=lambda x: cost(*x))
+
+
+def _rows_by_filter(vectors: DataFrame, chosen: dict[int, tuple[int, int]]) -> DataFrame:
+    """One row for each vector and filter: filter, node, copies, vector, and the vector's filters of smaller numbers.
+
+    ``chosen`` has the code size and the filters a vector for each dimension; where it has none, one filter holds all.
+    """
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, same in batch.groupby(batch["vector"].map(len)):
+                size, caps = chosen.get(int(dim), (1, 1))
                 for lo in range(0, len(same), 500):
                     some = same.iloc[lo: lo + 500]
-                    found = filters_of(unit(np.array(some["vector"].tolist(), np.float64)), size, caps)
+                    found = filters_of(unit(np.array(some["vector"].tolist(), np.float64)), size, caps) if size > 1 else np.zeros((len(some), 1), np.int64)
                     at = np.repeat(np.arange(len(some)), [len(f) for f in found])
                     if len(at):
                         rows = some.iloc[at]
                         yield pd.DataFrame({"filter": (np.int64(dim) << 40) + np.concatenate(found), "node": rows["node"].to_numpy(),
                                             "copies": rows["copies"].to_numpy(), "vector": rows["vector"].to_numpy(),
-                                            "filters": [found[i].astype(np.int32) for i in at]})
+                                            "filters": [f[:k].astype(np.int32) for f in found for k in range(len(f))]})
 
     kind = vectors.schema["vector"].dataType.simpleString()
     return vectors.mapInPandas(decode, f"filter long, node long, copies long, vector {kind}, filters array<int>")
 
 
+def _share(sets: list[np.ndarray]) -> np.ndarray:
+    """Which sets have a value in common, by a bounded number of values at a time."""
+    known, flat, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, number = np.repeat(np.arange(len(sets)), [len(f) for f in sets]), np.cumsum(often > 1) - 1
+    row, flat = row[often[flat] > 1], number[flat[often[flat] > 1]]
+    order = np.argsort(flat, kind="stable")
+    row, flat = row[order], flat[order]
+    share = np.zeros((len(sets), len(sets)), bool)
+    for lo in range(0, int(flat[-1]) + 1 if len(flat) else 0, 2048):
+        a, b = np.searchsorted(flat, [lo, lo + 2048])
+        has = np.zeros((len(sets), 2048), np.float32)
+        has[row[a:b], flat[a:b] - lo] = 1
+        share |= has @ has.T > 0
+    return share
+
+
 def _links(rows: DataFrame, cosine: float) -> DataFrame:
     """(node, n, other): how many vectors each node is linked with, counted in the first filter of a pair only,
     and edges that connect all linked nodes."""
@@ -109,12 +197,7 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
                 continue
             linked = linked[np.ix_(some, some)]
             node, copies = group["node"][some], group["copies"][some]
-            here = group["filter"][0] & ((1 << 40) - 1)
-            before = [f[f < here] for f in group["filters"][some]]
-            known, flat = np.unique(np.concatenate(before), return_inverse=True)
-            has = np.zeros((len(some), max(1, len(known))), np.float32)
-            has[np.repeat(np.arange(len(some)), [len(f) for f in before]), flat] = 1
-            n = (linked & ~(has @ has.T > 0)) @ copies
+            n = (linked & ~_share(list(group["filters"][some]))) @ copies
             groups, edges = Groups(len(some)), []
             for i in range(len(some)):
                 edges += [(i, j) for j in groups.join(i, np.flatnonzero(linked[i]))]
@@ -125,12 +208,13 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
     return dealt.mapInPandas(verify, "node long, n long, other long")
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE, caps: int = CAPS) -> DataFrame:
+def near_vectors(embeddings: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector.
 
     Two vectors are linked if some filter holds both and their cosine, in double
     precision, is at least ``cosine``; there are no false links, and a pair near the
-    threshold is missed only if no filter holds both.  Equal vectors are one node with
+    threshold is missed only if no filter holds both, which at the threshold exactly
+    befalls one in a hundred by ``recall``, and none where there are few vectors.  Equal vectors are one node with
     a number of copies: n_links counts the other vectors, copies too.  component_id is
     the smallest vec_id reachable by links; that vector is kept.  Each pair is counted
     in its first common filter, so no pairs leave the tasks.
@@ -146,7 +230,9 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, caps: int = CAPS
     valid = rows.where(F.coalesce(fine, F.lit(False))).withColumn("vector", F.transform("embedding", lambda x: x + F.lit(0).cast("float")))
     nodes = materialise(valid.groupBy("vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("rep"))
                         .withColumn("node", F.monotonically_increasing_id()), "vectors")
-    found = materialise(_links(_rows_by_filter(nodes, code_size(nodes.count()), caps), cosine), "vector-links")
+    many = nodes.groupBy(F.size("vector").alias("dim")).count().where(F.col("count") > BLOCK).collect()
+    chosen = {r["dim"]: settings(r["dim"], r["count"], cosine, recall) for r in many}
+    found = materialise(_links(_rows_by_filter(nodes, chosen), cosine), "vector-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     groups = connected(found.select(F.col("node").alias("u"), F.col("other").alias("v")).distinct())
     of_node = nodes.join(counts, "node", "left").join(groups, "node", "left")
