@@ -225,6 +225,18 @@ def test_disclosing_terms(spark, frame):
     assert disclosure.digest(disclosure.find_personal_data(frame([], DOCS))).count() == 0
 
 
+def test_terms_of_any_length_anywhere_in_the_text(spark, frame):
+    rng = random.Random(9)
+    fill = lambda n: " ".join(rng.choice(["river", "stone", "light", "paper", "green", "house"]) for _ in range(n))
+    rows = [(i, f"Li {fill(40)} 7741 {fill(30)} li@firm{i % 2}.org") for i in range(8)]  # far from the address, short, a number
+    rows += [(10 + i, f"Bob Dialtone {fill(30)} +49 30 555 {1000 + i} {fill(3)}") for i in range(8)]  # each value in one text only
+    rows += [(100 + i, fill(40)) for i in range(300)]
+    found = {r.doc_id: r for r in disclosure.digest(disclosure.find_personal_data(frame(rows, DOCS))).collect()}
+    for i, text in rows:
+        places = {m.span() for m in re.finditer("Li|7741|Bob|Dialtone", text)}
+        assert {tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s.startswith("term")} == places
+
+
 def test_overlapping_spans_are_replaced_whole():
     base = [{"kind": 3, "start": 2, "end": 10}, {"kind": 2, "start": 4, "end": 14}]
     assert disclosure.replaced("ab+123456789012xy", base, [{"start": 15, "end": 17, "gone": True}]) == "ab[PHONE]2"

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,12 +17,10 @@ from vintagemill.session import materialise
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: Words on either side of an entity that count as its context.
-CONTEXT = 10
-#: Different texts in which a term must stand by an entity before it can disclose it.
-SUPPORT = 3
-#: Share of an entity's information that a term may reveal; terms from REMOVE on go, others are generalised.
+#: Share of a subject's information that a term may reveal; terms from REMOVE on go, others are generalised.
 DISCLOSURE, REMOVE = 0.8, 0.999
+#: Chance that any pair of unrelated subject and term in the whole corpus is taken for related.
+LEVEL = 0.05
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -31,7 +29,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = regex.compile(r"\p{L}{4,}")
+_WORD = r"[\p{L}\p{M}\p{N}]+"
+_TERM = regex.compile(_WORD)
 _SPAN = "array<struct<kind: int, start: int, end: int>>"
 
 
@@ -82,85 +81,124 @@ def _entity(kind: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{plain}".encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], width: int = CONTEXT) -> list[tuple[int, str, list[int]]]:
-    """(entity, term, starts): the terms within ``width`` words of an entity, and where in the text they stand.
+def _subjects(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """What the spans of a text are about: each value, each kind, and the domain of each e-mail address."""
+    found = set()
+    for kind, a, b in spans:
+        value = text[a:b]
+        found |= {_entity(kind, value), _entity(len(KINDS), str(kind))}
+        if kind == 0:
+            found.add(_entity(len(KINDS), "@" + "".join(value.lower().partition("@")[2])))
+    return sorted(found)
+
+
+def term_places(text: str, spans: list[tuple[int, int, int]]) -> dict[str, list[int]]:
+    """Where each term of a text starts.
 
-    Terms are runs of four or more letters, lower-cased; those inside a span are not looked at.
+    Terms are runs of letters and digits of any length, lower-cased; those that touch a span are not looked at.
     """
     taken = sorted((a, b) for _, a, b in spans)
-    words, skip = [], 0
+    reach, ends = 0, []
+    for _, b in taken:
+        reach = max(reach, b)
+        ends.append(reach)
+    places: dict[str, list[int]] = {}
+    skip = 0
     for m in _TERM.finditer(text):
-        while skip < len(taken) and taken[skip][1] <= m.start():
+        while skip < len(taken) and ends[skip] <= m.start():
             skip += 1
         word = m.group().lower()
         # a word whose lower case is longer has no place of its own length
         if (skip == len(taken) or taken[skip][0] >= m.end()) and len(word) == m.end() - m.start():
-            words.append((m.start(), word))
-    starts = [a for a, _ in words]
-    places: dict[str, list[int]] = {}
-    for a, word in words:
-        places.setdefault(word, []).append(a)
-    found = set()
-    for kind, a, b in spans:
-        entity, left, right = _entity(kind, text[a:b]), bisect_left(starts, a), bisect_left(starts, b)
-        found.update((entity, word) for _, word in words[max(0, left - width): left] + words[right: right + width])
-    return [(entity, word, places[word]) for entity, word in sorted(found)]
+            places.setdefault(word, []).append(m.start())
+    return places
+
 
+def scan(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, base (spans), subjects, words (each term's places) of every document.
 
-def scan(docs: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """doc_id, text_key, base (spans), entities, contexts of every document."""
+    Subjects and words are empty where there are no spans, and neither is longer than the text.
+    """
     bound_batches(docs.sparkSession)
-    schema = (f"doc_id long, text_key string, base {_SPAN}, entities array<long>, "
-              "contexts array<struct<entity: long, term: string, starts: array<int>>>")
-    names = ["doc_id", "text_key", "base", "entities", "contexts"]
+    schema = f"doc_id long, text_key string, base {_SPAN}, subjects array<long>, words array<struct<term: string, starts: array<int>>>"
+    names = ["doc_id", "text_key", "base", "subjects", "words"]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc_id, key, text in zip(batch["doc_id"].tolist(), batch["text_key"].tolist(), batch["text"].tolist()):
                 spans = personal_spans(text)
-                near = contexts(text, spans, width) if spans else []
-                out.append((doc_id, key, [{"kind": k, "start": a, "end": b} for k, a, b in spans],
-                            sorted({_entity(k, text[a:b]) for k, a, b in spans}),
-                            [{"entity": e, "term": t, "starts": s} for e, t, s in near]))
+                places = term_places(text, spans) if spans else {}
+                out.append((doc_id, key, [{"kind": k, "start": a, "end": b} for k, a, b in spans], _subjects(text, spans),
+                            [{"term": t, "starts": s} for t, s in places.items()]))
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", text.alias("text"), F.md5(text).alias("text_key")).mapInPandas(rows, schema)
 
 
-def disclosing_terms(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, share): terms that reveal at least ``threshold`` of an entity's information.
+def _alike(df: DataFrame, name: str) -> DataFrame:
+    """(name, class, docs, texts): values that stand in two texts or more; those of the same texts are one class."""
+    sums = [F.sum(F.xxhash64("text_key", F.lit(i)).cast("decimal(38,0)")).alias(f"_s{i}") for i in (0, 1)]
+    each = df.groupBy(name).agg(F.sum("copies").alias("docs"), F.count("*").alias("texts"), *sums).where("texts > 1")
+    return each.withColumn("class", F.xxhash64("docs", "texts", "_s0", "_s1")).drop("_s0", "_s1")
+
+
+def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float = DISCLOSURE, level: float = LEVEL) -> DataFrame:
+    """(text_key, term, share): terms that reveal at least ``threshold`` of the information of a subject of their text.
+
+    Over all documents, with p(s) the share that holds the subject and p(s|t) the share of
+    those with the term that hold it too, anywhere: the term reveals log(p(s|t) / p(s)),
+    and the subject's information is -log p(s).  Counts are of documents, copies too, so
+    that copying changes neither share.  A term in a subject of every document reveals
+    nothing.
 
-    Over all documents, with p(e) the share that holds the entity and p(e|t) the share of
-    those with the term in which it stands by the entity: the term reveals
-    log(p(e|t) / p(e)), and the entity's information is -log p(e).  Counts are of
-    documents, copies too, so that copying changes neither share; ``support`` counts
-    different texts, so that copies of one text are no evidence.  A term by an entity of
-    every document reveals nothing.
+    Evidence is counted in different texts: by Hoeffding's bound on the tail of the
+    hypergeometric distribution, times the number of subjects and of terms, the chance of
+    meeting so often must be ``level`` at most.  In one text everything stands with
+    everything, so a value in one text only is judged by its kind and domain.
     """
-    pairs = scanned.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.entity", "c.term")
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("text_key").alias("texts")).where(F.col("texts") >= support)
-    pairs = materialise(pairs, "candidates")
-    held = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    copies = scanned.where(F.size("subjects") > 0).groupBy("text_key").agg(F.count("*").alias("copies"))
+    first = scanned.where(F.size("subjects") > 0).dropDuplicates(["text_key"])
+    texts = materialise(first.join(copies, "text_key").select("text_key", "copies", "subjects", F.col("words.term").alias("terms")), "personal-texts")
+    of_text = {name: texts.select("text_key", "copies", F.explode(f"{name}s").alias(name)) for name in ("subject", "term")}
+    subjects = materialise(_alike(of_text["subject"], "subject"), "subjects")
+    terms = _alike(of_text["term"], "term")
     words = docs.select(F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all("text", F.lit(r"(\p{L}{4,})"), F.lit(1)), F.lower))).alias("term"))
+        F.regexp_extract_all("text", F.lit(f"({_WORD})"), F.lit(1)), F.lower))).alias("term"))
     # counted before the join, so that a frequent term is one row when it meets its candidates
     often = words.groupBy("term").agg(F.count("*").alias("term_docs"))
+    terms = terms.join(often, "term", "left").withColumn("term_docs", F.greatest("term_docs", "docs"))
+    terms = materialise(terms.withColumn("class", F.xxhash64("class", "term_docs")), "terms")
     n = scanned.count()
-    info = -F.log(F.col("entity_docs") / n)
-    reveals = F.log((F.col("both") / F.greatest("term_docs", "both")) * n / F.col("entity_docs"))
-    share = F.when(info > 0, reveals / info).otherwise(0.0)
-    return (pairs.join(held, "entity").join(often, "term").select("entity", "term", share.alias("share"))
-            .where(F.col("share") >= threshold))
+    n_texts = scanned.select("text_key").distinct().count()
+    tests = max(1, subjects.count() * terms.count())
+
+    # only terms rare enough for the threshold, whatever they meet, are paired
+    left = of_text["subject"].join(subjects.select("subject", F.col("class").alias("of"), F.col("docs").alias("held"), F.col("texts").alias("held_texts")), "subject")
+    left = left.select("text_key", "copies", "of", "held", "held_texts").distinct()
+    right = of_text["term"].join(terms.select("term", "class", "term_docs"), "term").select("text_key", "class", "term_docs").distinct()
+    most = F.col("held") * F.pow(n / F.col("held"), F.lit(1 - threshold)) * (1 + 1e-9)
+    met = materialise(left.join(right, "text_key").where((F.col("held") < n) & (F.col("term_docs") <= most)), "met")
+    pairs = met.groupBy("of", "class").agg(
+        F.sum("copies").alias("both"), F.count("*").alias("both_texts"), *[F.first(c).alias(c) for c in ("held", "held_texts", "term_docs")])
+    info = -F.log(F.col("held") / n)
+    share = F.log((F.col("both") / F.col("term_docs")) * n / F.col("held")) / info
+    # documents with the term but not the subject are taken to differ, which overstates the term's texts
+    k, m, p = F.col("both_texts"), F.col("both_texts") + F.col("term_docs") - F.col("both"), F.least(F.col("held_texts") / n_texts, F.lit(1 - 1e-12))
+    a = k / m
+    tail = m * (a * F.log(a / p) + F.when(a < 1, (1 - a) * F.log((1 - a) / (1 - p))).otherwise(0.0))
+    kept = pairs.withColumn("share", share).where((k > 1) & (F.col("share") >= threshold) & (a > p) & (tail >= math.log(tests / level)))
+    found = met.join(kept.select("of", "class", "share"), ["of", "class"]).groupBy("text_key", "class").agg(F.max("share").alias("share"))
+    own = of_text["term"].join(terms.select("term", "class"), "term").select("text_key", "term", "class")
+    return own.join(found, ["text_key", "class"]).select("text_key", "term", "share")
 
 
 def term_spans(scanned: DataFrame, terms: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """(text_key, terms): where the disclosing terms of each text's own entities stand."""
-    texts = scanned.where(F.size("contexts") > 0).dropDuplicates(["text_key"])
-    each = texts.select("text_key", F.inline("contexts")).join(terms, ["entity", "term"])
+    """(text_key, terms): where the disclosing terms of each text's own subjects stand."""
+    texts = scanned.where(F.size("words") > 0).dropDuplicates(["text_key"])
+    each = texts.select("text_key", F.inline("words")).join(terms, ["text_key", "term"])
     each = each.select("text_key", F.explode("starts").alias("start"), F.char_length("term").alias("n"), (F.col("share") >= remove).alias("gone"))
-    each = each.groupBy("text_key", "start", "n").agg(F.bool_or("gone").alias("gone"))
     span = F.struct(F.col("start"), (F.col("start") + F.col("n")).alias("end"), F.col("gone"))
     return each.groupBy("text_key").agg(F.array_sort(F.collect_list(span)).alias("terms"))
 
@@ -171,15 +209,15 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
 
 
-def find_personal_data(docs: DataFrame, width: int = CONTEXT, support: int = SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
+def find_personal_data(docs: DataFrame, threshold: float = DISCLOSURE, level: float = LEVEL) -> DataFrame:
     """doc_id, text_key, base, terms of every document; spans are of whole texts.
 
     One row per input row; a NULL text counts as empty; an empty table gives an empty
     table; other columns than doc_id and text are not looked at.  Spans of different
     kinds may overlap, terms overlap nothing.
     """
-    scanned = materialise(scan(docs, width), "personal-data")
-    terms = disclosing_terms(docs.select("text"), scanned, support, threshold)
+    scanned = materialise(scan(docs), "personal-data")
+    terms = disclosing_terms(docs.select("text"), scanned, threshold, level)
     found = term_spans(scanned, terms)
     empty = F.array().cast("array<struct<start: int, end: int, gone: boolean>>")
     return scanned.join(found, "text_key", "left").select("doc_id", "text_key", "base", F.coalesce("terms", empty).alias("terms"))
@@ -210,9 +248,9 @@ def replaced(text: str, base: list, terms: list) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, width: int = CONTEXT, support: int = SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = DISCLOSURE, level: float = LEVEL) -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in text; all rows and columns stay, as do clean texts."""
-    found = find_personal_data(docs, width, support, threshold)
+    found = find_personal_data(docs, threshold, level)
     dirty = found.where("size(base) + size(terms) > 0").select(
         F.col("text_key").alias("_key"), F.col("base").alias("_base"), F.col("terms").alias("_terms")).dropDuplicates(["_key"])
     dirty = materialise(dirty, "replacements")
