@@ -237,6 +237,13 @@ def test_terms_of_any_length_anywhere_in_the_text(spark, frame):
         assert {tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s.startswith("term")} == places
 
 
+def test_scan_of_a_contact_list_grows_with_the_text(spark, frame):
+    lines = 3_000
+    text = "\n".join(f"Phone: +49 30 {1000000 + i}" for i in range(lines))
+    row = disclosure.scan(frame([(1, text)], DOCS)).first()
+    assert len(row.base) == lines and sum(len(w.starts) for w in row.words) == lines and len(row.subjects) == lines + 1
+
+
 def test_overlapping_spans_are_replaced_whole():
     base = [{"kind": 3, "start": 2, "end": 10}, {"kind": 2, "start": 4, "end": 14}]
     assert disclosure.replaced("ab+123456789012xy", base, [{"start": 15, "end": 17, "gone": True}]) == "ab[PHONE]2"
