@@ -180,6 +180,30 @@ def test_merge_dropout_round_trip(spark, frame):
     assert merge_dropout.encode(frame([], DOCS)).count() == 0
 
 
+def test_occurrences_vary_within_a_line_and_keep_the_rate():
+    pieces = merge_dropout.MergePieces(tokenizer_path("piece_bpe_32k.model"))
+    segmenter = merge_dropout.Segmenter(pieces, 0.1, 17)
+    n, word = 20_000, "international"
+    text = " ".join([word] * n)
+    cut = "".join(chr(x) for x in np.frombuffer(segmenter.encode([text], ["1"])[0], "<u4")).split(chr(pieces.ids["▁international"]))
+    # as often whole as by independent keys
+    assert abs((len(cut) - 1) / n - np.mean([len(pieces.segment("▁" + word, key, 0.1, True)) == 1 for key in range(5000)])) < 0.03
+    assert len(set(cut)) > 20
+    by_name = segmenter.encode([text[:500]] * 8, list("abcdefgh"))
+    assert len(set(by_name)) == 8 and by_name == merge_dropout.Segmenter(pieces, 0.1, 17).encode([text[:500]] * 8, list("abcdefgh"))
+    long = "international" * 9
+    assert len({segmenter.encode([long], [str(i)]).pop() for i in range(20)}) > 15
+
+
+def test_segmentations_by_numbers_equal_one_by_one():
+    pieces = merge_dropout.MergePieces(tokenizer_path("piece_bpe_32k.model"))
+    rng = random.Random(7)
+    words = ["▁" + "".join(rng.choice(["the", "ation", "er", "é", "x", "漢"]) for _ in range(rng.randint(0, 6))) for _ in range(300)]
+    paths = [tuple(sorted(rng.sample(range(12), rng.randint(0, 3)))) for _ in words]
+    found = pieces.segment_all_by(words, [True] * len(words), paths)
+    assert [(np.frombuffer(x, "<u4").tolist(), t) for x, t in found] == [pieces.segment_by(w, True, set(p).__contains__) for w, p in zip(words, paths)]
+
+
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
@@ -18,10 +20,8 @@ from vintagemill.llm.tokens import tokenizer_path
 
 WORD_START = "▁"
 DROPOUT, SEED = 0.1, 17
-#: Keys a seed has; a line of a document draws one, so a word has up to as many segmentations.
-VARIANTS = 4
-#: Segmented words kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 1_400_000
+#: Segmentations kept a Python worker; beyond it the memory starts anew, which changes no ids.
+MEMORY = 800_000
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _WORD = (1 << 64) - 1
@@ -79,6 +79,36 @@ class MergePieces:
             at += 1 if part is None else len(part)
         return out
 
+    def segment_by(self, word: str, spaced: bool, skips: Callable[[int], bool]) -> tuple[list[int], int]:
+        """As ``segment``, with the pairs whose number ``skips`` names, as they come up, skipped; and how many came up."""
+        signs = [c if c in self.ids and (c != WORD_START or spaced and not i) else None for i, c in enumerate(word)]
+        tries = itertools.count()
+        at, out = 0, []
+        for part in self._agenda(word, signs, lambda a, b, end: skips(next(tries))):
+            out += [self.bytes[x] for x in word[at].encode()] if part is None else [self.ids[part]]
+            at += 1 if part is None else len(part)
+        return out, next(tries)
+
+    def segment_all_by(self, words: list[str], spaced: list[bool], paths: list[tuple[int, ...]]) -> list[tuple[bytes, int]]:
+        """As ``segment_by`` for each word, with the pairs skipped whose numbers its path names."""
+        out: dict[int, tuple[bytes, int]] = {}
+        stepped = []
+        for i, (word, lead, path) in enumerate(zip(words, spaced, paths)):
+            if 0 < len(word) <= _IN_STEP and WORD_START not in word[lead:] and all(c in self.ids for c in word):
+                stepped.append(i)
+            else:
+                ids, tries = self.segment_by(word, lead, set(path).__contains__)
+                out[i] = np.array(ids, np.uint32).tobytes(), tries
+        for lo in range(0, len(stepped), 20_000):
+            some = stepped[lo: lo + 20_000]
+            skipped = np.full((len(some), max(1, max(len(paths[i]) for i in some))), -1, np.int64)
+            for row, i in enumerate(some):
+                skipped[row, : len(paths[i])] = paths[i]
+            tries = np.zeros(len(some), np.int64)
+            ids = self._in_step([words[i] for i in some], 0, 0.0, skipped, tries)
+            out.update(zip(some, zip(ids, tries.tolist())))
+        return [out[i] for i in range(len(words))]
+
     def _agenda(self, word: str, signs: list[str | None], skips: Callable | None) -> list[str | None]:
         """The agenda as a heap; stale pairs are passed over when they come up."""
         n = len(signs)
@@ -145,7 +175,8 @@ class MergePieces:
             out.update(zip(some, self._in_step([words[i] for i in some], key, dropout)))
         return [out[i] for i in range(len(words))]
 
-    def _in_step(self, words: list[str], key: int, dropout: float) -> list[bytes]:
+    def _in_step(self, words: list[str], key: int, dropout: float, skipped: np.ndarray | None = None, tries: np.ndarray | None = None) -> list[bytes]:
+        """``skipped`` names the pairs to skip by their number instead; ``tries`` takes how many came up."""
         lengths = np.array([len(w) for w in words])
         n, width = len(words), int(lengths.max())
         column = np.arange(width)
@@ -172,7 +203,10 @@ class MergePieces:
                 h = (h ^ h >> np.uint64(33)) * odd[1]
                 h = (h ^ h >> np.uint64(29)) * odd[0]
                 merging = (h ^ h >> np.uint64(32)) >= limit
-                ranks[rows[~merging], a[~merging]] = np.inf
+            elif skipped is not None:
+                merging = (skipped[rows] != tries[rows, None]).all(1)
+                tries[rows] += 1
+            ranks[rows[~merging], a[~merging]] = np.inf
             r, a, b, end = rows[merging], a[merging], b[merging], end[merging]
             piece[r, a] = self._pair(piece[r, a], piece[r, b])[0]
             follow[r, a], alive[r, b], ranks[r, b] = end, False, np.inf
@@ -194,46 +228,102 @@ class MergePieces:
 
 
 class Segmenter:
-    """Segments texts by the words between spaces and line ends, each distinct word once a key."""
+    """Segments texts by the words between spaces and line ends; each occurrence of a word skips merges of its own.
+
+    Pairs come up one after the other, and each is skipped with probability ``dropout``,
+    so the number of pairs up to the next skipped one is drawn at once.  A word and the
+    numbers of its skipped pairs fix the segmentation: these are kept, not the draws.
+    An occurrence in which no further pair is skipped is done.
+    """
 
     def __init__(self, pieces: MergePieces, dropout: float, seed: int):
         self.pieces, self.dropout, self.seed = pieces, dropout, seed
-        self.keys = VARIANTS if dropout else 1
         self.line_end = np.array(pieces.segment("\n", 0, 0, False), np.uint32).tobytes()
         self._forget()
 
     def _forget(self) -> None:
-        self.first: list[dict[str, bytes]] = [{} for _ in range(self.keys)]
-        self.later: list[dict[str, bytes]] = [{} for _ in range(self.keys)]
+        self.whole: dict[str, int] = {}
+        self.after: dict[int, int] = {}
+        self.words: list[str] = []
+        self.paths: list[tuple[int, ...]] = []
+        self.ids: list[bytes] = []
+        self.tries = np.zeros(1024, np.int64)
+
+    def _learn(self, words: list[str], paths: list[tuple[int, ...]]) -> range:
+        """Numbers of new segmentations."""
+        n, line_start = len(self.ids), [w.startswith("\n") for w in words]
+        found = self.pieces.segment_all_by([w[1:] if s else WORD_START + w for w, s in zip(words, line_start)], [not s for s in line_start], paths)
+        self.words += words
+        self.paths += paths
+        self.ids += [self.line_end + ids if s else ids for s, (ids, _) in zip(line_start, found)]
+        if len(self.ids) > len(self.tries):
+            self.tries = np.concatenate([self.tries, np.zeros(max(len(self.tries), len(self.ids)), np.int64)])
+        self.tries[n: len(self.ids)] = [t for _, t in found]
+        return range(n, len(self.ids))
+
+    def _kept(self, at: np.ndarray, depth: int) -> np.ndarray:
+        """Pairs kept before the next skipped one, for words whose hashes these are: geometric, from the upper 53 bits."""
+        h = at ^ np.uint64((depth + 1) * _ODD[2] & _WORD)
+        h = (h ^ h >> np.uint64(33)) * np.uint64(_ODD[1])
+        h = (h ^ h >> np.uint64(29)) * np.uint64(_ODD[0])
+        u = ((h ^ h >> np.uint64(32)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        if self.dropout >= 1:
+            return np.zeros(len(at), np.int64)
+        return np.minimum(np.log1p(-u) / math.log1p(-self.dropout), 2.0**31).astype(np.int64)
 
     def encode(self, texts: list[str], names: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; its name and a line's number draw the line's key."""
-        if sum(map(len, self.later)) + sum(map(len, self.first)) > MEMORY:
-            self._forget()
-        out: list[list[list[bytes]]] = []
-        holes: dict[tuple[int, bool], list[tuple[str, list[bytes], int]]] = {}
+        """Ids of each text as little-endian unsigned 32-bit integers; its name and a word's place in it draw what is skipped."""
+        out = []
         for text, name in zip(texts, names):
-            drawn, lines = xxhash.xxh64_intdigest(name, self.seed), []
-            for number, line in enumerate(text.split("\n")):
-                key = (((drawn + number * _ODD[0]) & _WORD) >> 40) % self.keys
-                words = line.split(" ")
-                if number == 0:  # the text's first word has a space before it, as every word after a space has
-                    words.insert(0, "")
-                ids = list(map(self.later[key].get, words))
-                ids[0] = self.first[key].get(words[0]) if words[0] else b""
-                if None in ids:
-                    for i, x in enumerate(ids):
-                        if x is None:
-                            holes.setdefault((key, i > 0), []).append((words[i], ids, i))
-                lines.append(ids)
-            out.append(lines)
-        for (key, spaced), found in holes.items():
-            known, lead = (self.later if spaced else self.first)[key], WORD_START if spaced else ""
-            new = list({w for w, _, _ in found})
-            known.update(zip(new, self.pieces.segment_many([lead + w for w in new], self.seed * VARIANTS + key, self.dropout, spaced)))
-            for word, ids, i in found:
-                ids[i] = known[word]
-        return [self.line_end.join(map(b"".join, lines)) for lines in out]
+            if len(self.ids) > MEMORY:
+                self._forget()
+            # a word at the start of a line takes the line end along and has no space before it; the text's first word has one
+            words = text.replace("\n", " \n").split(" ")
+            drawn = xxhash.xxh64_intdigest(name, self.seed)
+            out.append(b"".join([self._encode(words[lo: lo + 200_000], drawn, lo) for lo in range(0, len(words), 200_000)]))
+        return out
+
+    def _encode(self, words: list[str], drawn: int, begin: int) -> bytes:
+        new = [w for w in dict.fromkeys(words) if w not in self.whole]
+        long = [w for w in new if len(w) > _IN_STEP]
+        if long:  # not kept: each occurrence of a long word goes by itself
+            new = [w for w in new if len(w) <= _IN_STEP]
+        if new:
+            self.whole.update(zip(new, self._learn(new, [()] * len(new))))
+        node = np.array([self.whole.get(w, -1) for w in words] if long else list(map(self.whole.__getitem__, words)), np.int64)
+        place = np.arange(begin, begin + len(words), dtype=np.uint64)
+        at = np.uint64(drawn) ^ place * np.uint64(_ODD[0])
+        if self.dropout:
+            open_, last, depth = np.flatnonzero(node >= 0), np.full(len(words), -1, np.int64), 0
+            while len(open_):
+                skip = last[open_] + 1 + self._kept(at[open_], depth)
+                some = skip < self.tries[node[open_]]
+                open_, skip = open_[some], skip[some]
+                last[open_] = skip
+                keys = (node[open_] << 16 | skip).tolist()
+                missing = [k for k in dict.fromkeys(keys) if k not in self.after]
+                if missing:
+                    parents = [(k >> 16, k & 0xFFFF) for k in missing]
+                    self.after.update(zip(missing, self._learn([self.words[p] for p, _ in parents], [(*self.paths[p], s) for p, s in parents])))
+                node[open_] = list(map(self.after.__getitem__, keys))
+                depth += 1
+        if not long:
+            return b"".join(map(self.ids.__getitem__, node.tolist()))
+        return b"".join([self.ids[k] if k >= 0 else self._long(w, at[i: i + 1]) for i, (k, w) in enumerate(zip(node.tolist(), words))])
+
+    def _long(self, word: str, at: np.ndarray) -> bytes:
+        state = [int(self._kept(at, 0)[0]) if self.dropout else -1, 0]
+
+        def skips(number: int) -> bool:
+            if number != state[0]:
+                return False
+            state[1] += 1
+            state[0] += 1 + int(self._kept(at, state[1])[0])
+            return True
+
+        line_start = word.startswith("\n")
+        ids, _ = self.pieces.segment_by(word[1:] if line_start else WORD_START + word, not line_start, skips)
+        return (self.line_end if line_start else b"") + np.array(ids, np.uint32).tobytes()
 
 
 @lru_cache(maxsize=2)
