@@ -311,6 +311,20 @@ def test_quality_of_odd_tables(spark, frame):
     assert pu_quality.quality(frame([], DOCS), frame([], schema)).count() == 0
 
 
+def test_quality_sample_is_bounded_when_one_id_has_most_rows(spark, frame, monkeypatch):
+    rows, _, labels = quality_tables(frame, 60)
+    rows += [(3000, f"many texts of one id {i} {i * i}") for i in range(600)] + [(None, f"no id {i}") for i in range(600)] + [(4, "again and again")] * 600
+    labels += [(3000, 1, 0)]
+    assert zlib.crc32(b"3000") % 3 != 1
+    sizes = []
+    monkeypatch.setattr(pu_quality, "fit_nnpu", lambda p, u, prior: sizes.append((len(p), len(u))))
+    for wanted in (100, 100_000):
+        pu_quality.fit(frame(rows, DOCS), frame(labels, "doc_id long, quality int, toxic int"), positives=wanted, unlabelled=wanted)
+    assert 50 < sizes[0][0] < 150 and 50 < sizes[0][1] < 150
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1
+    assert sizes[1][1] == len({r for r in rows if not held(r[0])})
+
+
 @pytest.mark.parametrize("block", [2_000, 7])
 def test_near_vectors(spark, frame, monkeypatch, block):
     monkeypatch.setattr(cap_filters.in_blocks, "__defaults__", (block, None))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vintagemill.llm.batches import bound_batches
 
-#: Expected numbers of fitted rows; more labels or documents are thinned by a hash of doc_id.
+#: Expected numbers of fitted rows; more are thinned by a hash of doc_id and text, and repeated rows count once.
 POSITIVES, UNLABELLED = 10_000, 20_000
 HIDDEN, EPOCHS, RATE, SEED = 16, 400, 0.02, 7
 
@@ -97,18 +97,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def _thinned(df: DataFrame, wanted: int, salt: int) -> DataFrame:
-    """About ``wanted`` rows by a hash of doc_id, or all of a smaller table."""
-    total = df.count()
+def _thinned(df: DataFrame, keys: DataFrame, wanted: int, salt: int) -> DataFrame:
+    """About ``wanted`` of the (doc_id, text_hash) in ``keys`` by a hash of both, or all: the rows of ``df`` that have them."""
+    total = keys.count()
     if total <= wanted:
         return df
-    return df.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(wanted / total * (1 << 30)))
+    return df.where(F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(salt)), F.lit(1 << 30)) < int(wanted / total * (1 << 30)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fits on documents labelled good (quality 1, not held out) against unlabelled documents.
 
-    The sample is bounded: about ``positives`` and ``unlabelled`` rows.  Unlabelled rows
+    The sample is bounded: about ``positives`` and ``unlabelled`` different rows of doc_id
+    and text, however often a doc_id or a row is repeated.  Unlabelled rows
     are any documents not held out, their labels unseen.  The class prior is estimated
     as the share of good ones among the labelled rows not held out, within 0.05 to 0.95;
     with no such row it is 0.5.  A doc_id with conflicting labels is left out.  Without
@@ -120,18 +121,22 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, positive
     n, good = known.agg(F.count("*"), F.sum("high")).first()
     if prior is None:
         prior = min(0.95, max(0.05, good / n)) if n else 0.5
-    chosen = _thinned(known.where("high = 1").select("doc_id"), positives, 1).withColumn("kind", F.lit(1))
-    texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    # the positives' ids are bounded by the sample size
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("kind", "text").union(
-        _thinned(texts, unlabelled, 2).select(F.lit(0).alias("kind"), "text"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).where(~held_out(F.col("doc_id")))
+    keys = texts.select("doc_id", "text_hash").distinct()
+    labelled = keys.join(known.where("high = 1").select("doc_id"), "doc_id")
+    chosen = _thinned(labelled, labelled, positives, 1)
+    # the positives' keys are bounded by the sample size
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"]).select(F.lit(1).alias("kind"), "doc_id", "text_hash", "text").union(
+        _thinned(texts, keys, unlabelled, 2).select(F.lit(0).alias("kind"), "doc_id", "text_hash", "text"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"kind": batch["kind"], "x": [x.tobytes() for x in feature_table(batch["text"].tolist())]})
+            yield pd.DataFrame({"kind": batch["kind"], "doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"],
+                                "x": [x.tobytes() for x in feature_table(batch["text"].tolist())]})
 
     # bounded by the sample size: some 300 bytes a row
-    sample = rows.mapInPandas(features, "kind int, x binary").toPandas()
+    once = rows.mapInPandas(features, "kind int, doc_id long, text_hash long, x binary").distinct()
+    sample = once.select("kind", "x").toPandas()
     x, kind = np.frombuffer(b"".join(sample["x"])).reshape(-1, FEATURES), sample["kind"].to_numpy()
     # rows arrive in any order; a fixed one makes the sums, and so the model, the same each time
     order = np.lexsort([*x.T, kind])
