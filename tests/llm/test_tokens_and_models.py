@@ -34,8 +34,12 @@ def test_word_memory_gives_the_library_ids(name, monkeypatch):
     texts = ODD + ["".join(rng.choice(["ab", "\xe9", " ", " ", "\n", ",", ".", "7", "'s", "B"]) for _ in range(40)) for _ in range(300)]
     expected = [np.array(e.ids, "<u4").tobytes() for e in memory.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert memory.encode(texts) == expected and memory.encode(texts) == expected
-    monkeypatch.setattr("vintagemill.llm.tokens.MEMORY", 3)
+    led = [np.array(e.ids, "<u4").tobytes() for e in memory.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert memory.encode(texts, after_space=True) == led
+    monkeypatch.setattr("vintagemill.llm.tokens.MEMORY_BYTES", 4000)
+    memory = WordMemory(tokenizer_path(name))
     assert [memory.encode([t])[0] for t in texts] == expected
+    assert memory.first.held <= 4000 and memory.later.held <= 4000 and max(map(len, memory.later.known)) <= 64
 
 
 def test_codes_round_trip_and_random_access():

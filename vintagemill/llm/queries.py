@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vintagemill.llm import (
     addressable_codes,
+    alignment,
     bottomk,
     cap_filters,
     disclosure,
@@ -17,8 +18,10 @@ from vintagemill.llm import (
     order_minhash,
     packing,
     pu_quality,
+    tree_bpe,
     trie_counts,
     url_filter,
+    whitening,
 )
 from vintagemill.session import fresh_path
 
@@ -77,6 +80,21 @@ def op10_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, folder, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_segment_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded and decoded again: the second digest is of the decoded text."""
+    back = tree_bpe.decode(tree_bpe.encode(table(spark, folder, "documents")))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_order_minhash": op2_order_minhash,
@@ -88,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_pu_quality": op8_pu_quality,
     "op9_cap_filters": op9_cap_filters,
     "op10_merge_dropout": op10_merge_dropout,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_whitening": op12_whitening,
+    "op13_segment_tree_bpe": op13_segment_tree_bpe,
 }
 
 #: The other operators have no SQL form: tokenizers, sketches in text order, patterns with checksums, a fitted model.

@@ -7,8 +7,7 @@ from array import array
 from functools import lru_cache
 from unicodedata import category
 
-#: Words kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 1_800_000
+from vintagemill.llm.memory import MEMORY_BYTES, ByteMemory
 
 # byte-level vocabularies write a byte that is no printable Latin-1 sign as the next sign from U+0100 on
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -43,53 +42,57 @@ class WordMemory:
         self.lowers = self._whole("A") == self._whole("a")
         self.line_end = array("I", self._whole("\n")).tobytes()
         self.ends = {c: array("I", self._whole(c)).tobytes() for c in ",."}
-        self.first: dict[str, bytes] = {}  # ids of a word at the start of a text
-        self.later: dict[str, bytes] = {}  # ids of a word after a space
+        self.first = ByteMemory(MEMORY_BYTES // 8)  # ids of a word at the start of a line
+        self.later = ByteMemory(MEMORY_BYTES - MEMORY_BYTES // 8)  # ids of a word after a space
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+    def _learn(self, words: set[str], lead: str) -> dict[str, bytes]:
         ended = {w for w in words if w[-1:] in self.ends and w[-2:-1].isalpha()}
-        other = []
+        other, found = [], {}
         model, sign = self.tokenizer.model, lead.translate(_BYTE_SIGNS)
-        for word in ({w[:-1] for w in ended} | words - ended).difference(known):
+        for word in {w[:-1] for w in ended} | words - ended:
             if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one pre-token without composed forms: the model alone decides
                 form = word.lower() if self.lowers else word
                 spelled = sign + (form if form.isascii() else form.encode().decode("latin-1").translate(_BYTE_SIGNS))
-                known[word] = array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
+                found[word] = array("I", [t.id for t in model.tokenize(spelled)]).tobytes()
             else:
                 other.append(word)
         encoded = self.tokenizer.encode_batch_fast([lead + w for w in other], add_special_tokens=False)
-        known.update(zip(other, [array("I", e.ids).tobytes() for e in encoded]))
-        known.update((w, known[w[:-1]] + self.ends[w[-1]]) for w in ended)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.first) + len(self.later) > MEMORY:
-            self.first, self.later = {}, {}
-        first, later = self.first, self.later
+        found.update(zip(other, [array("I", e.ids).tobytes() for e in encoded]))
+        found.update((w, found[w[:-1]] + self.ends[w[-1]]) for w in ended)
+        return found
+
+    def encode(self, texts: list[str], after_space: bool = False) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; with a space put before it if ``after_space``."""
+        memories = (self.first, self.later)
+        first, later = self.first.known, self.later.known
         out: list[list[list[bytes]] | None] = []  # for each text the ids of its lines' words
-        holes: list[tuple[dict[str, bytes], str, list[bytes], int]] = []
+        holes: list[tuple[int, str, list[bytes], int]] = []
         for text in texts:
             lines = []
             for line in text.split("\n"):
                 words = line.split(" ")
                 ids = list(map(later.get, words))
-                ids[0] = first.get(words[0])
+                led = after_space and not lines
+                if not led:
+                    ids[0] = first.get(words[0])
                 if None in ids:
-                    found = [(later if i else first, words[i], ids, i) for i, x in enumerate(ids) if x is None]
+                    found = [(int(led or i > 0), words[i], ids, i) for i, x in enumerate(ids) if x is None]
                     if any(not w.isalpha() and (w.split() != [w] or category(w[0])[0] == "M") for _, w, _, _ in found):
                         lines = None  # other white space, more of it in a row, or a mark on a space: the cuts may matter
                         break
                     holes += found
                 lines.append(ids)
             out.append(lines)
-        self._learn(first, {w for known, w, _, _ in holes if known is first}, "")
-        self._learn(later, {w for known, w, _, _ in holes if known is later}, self.lead)
-        for known, word, ids, i in holes:
-            ids[i] = known[word]
-        return [array("I", self._whole(text)).tobytes() if lines is None else self.line_end.join(map(b"".join, lines))
+        learned = [self._learn({w for side, w, _, _ in holes if side == of}, lead) for of, lead in enumerate(("", self.lead))]
+        for side, word, ids, i in holes:
+            ids[i] = learned[side][word]
+        for memory, found in zip(memories, learned):
+            memory.keep(found)
+        space = " " if after_space else ""
+        return [array("I", self._whole(space + text)).tobytes() if lines is None else self.line_end.join(map(b"".join, lines))
                 for text, lines in zip(texts, out)]
 
 
