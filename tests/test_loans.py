@@ -272,3 +272,19 @@ def test_shared_folder(spark):
     assert local == session.shared_folder(fake("local[2]", None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(fake("spark://host", None))
+
+
+@pytest.mark.parametrize("in_order", [2_000_000, 0])
+def test_samples_of_repeated_keys_are_exact(spark, monkeypatch, in_order):
+    from vintagemill.operators import ordered
+
+    monkeypatch.setattr(ordered, "IN_ORDER", in_order)
+    rows = [(i % 10, i if i % 4 else 0, i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "loan_id long, v long, bad int").repartition(5)
+    for k in (0, 1, 5, 37, 99, 100, 150):
+        assert sampling.sample_rows(df, k).count() == min(k, 100)
+    fewer = sampling.downsample_negatives(df.filter("bad = 0 OR v < 13"), "bad", 3.0)
+    bads = sum(1 for r in rows if r[2] and r[1] < 13)
+    assert fewer.groupBy("bad").count().orderBy("bad").collect() == [(0, min(50, 3 * bads)), (1, bads)]
+    equal = spark.createDataFrame([(1, "x")] * 30 + [(2, None)] * 30, "loan_id long, s string")
+    assert sampling.sample_rows(equal, 7).count() == 7 and sampling.sample_rows(equal, 44).count() == 44

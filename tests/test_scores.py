@@ -51,14 +51,70 @@ def test_metrics_match_brute_force(scored, sample):
     assert ranking.evaluate(scored, two_sided_ks=False, metrics=["ks"]).first()["ks"] == pytest.approx(one_sided)
 
 
-def test_auc_survives_a_monotone_transform_and_any_bucket_count(scored):
+def test_auc_survives_a_monotone_transform(scored):
     plain = ranking.evaluate(scored, metrics=["auc", "ks"]).first()
     bent = ranking.evaluate(scored.withColumn("y_pred", F.exp(F.col("y_pred") * 3)), metrics=["auc", "ks"]).first()
     assert tuple(plain) == pytest.approx(tuple(bent))
-    for buckets in (2, 3, 50):
-        table = ranking.ranking_table(scored, "y_pred", "y_true", buckets=buckets)
-        again = table.agg(ranking.metric_columns()["auc"].alias("auc")).first()
-        assert again["auc"] == pytest.approx(plain["auc"])
+
+
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308,
+         float("inf"), float("-inf"), 1.0, 0.9999999999999999, 1.0000000000000002, 8.0, 7.999999999999999, 1e22, 0.1, 1e-300]
+
+
+def test_order_image_is_the_bits_of_the_number(spark):
+    rng = np.random.default_rng(12)
+    values = np.concatenate([EDGES, [math.ldexp(f, e) for e in range(-1074, 1024) for f in (1.0, 0.9999999999999999)],
+                             rng.integers(0, 0x7FEF << 48, 3000).view(np.float64) * rng.choice([-1, 1], 3000), rng.random(500)])
+    values = values[np.isfinite(values) | np.isinf(values)]
+    rows = spark.createDataFrame(pd.DataFrame({"i": range(len(values)), "v": values}))
+    got = numeric.with_order_image(rows, "v", {"image": 64}).orderBy("i").toPandas()["image"].to_numpy()
+    bits = np.abs(values).view(np.int64)
+    assert (got == np.where(values < 0, -bits, bits)).all()
+    assert numeric.with_order_image(spark.sql("SELECT CAST(NULL AS DOUBLE) AS v"), "v", {"image": 64}).first()["image"] is None
+
+
+def test_narrow_group_is_spread_over_tasks(spark):
+    """Groups of equal size, one on a thousandth of the range of the other."""
+    n = 20_000
+    rows = spark.range(2 * n).select(
+        F.when(F.col("id") < n, "wide").otherwise("narrow").alias("g"), (F.rand(3) * F.when(F.col("id") < n, 1.0).otherwise(0.001) + 0.3).alias("s"),
+        (F.rand(4) < 0.2).cast("int").alias("y"))
+    table = ranking.ranking_table(rows, "s", "y", ["g"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions would be joined to one task
+    try:
+        tasks = table.groupBy("g", F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for g in ("wide", "narrow"):
+        held = [r["count"] for r in tasks if r["g"] == g]
+        assert len(held) >= 3 and max(held) < 0.6 * n
+    found = {r["g"]: r["auc"] for r in ranking.evaluate(rows, "s", "y", ["g"]).collect()}
+    pdf = rows.toPandas()
+    for g, part in pdf.groupby("g"):
+        ranks = part.s.rank().to_numpy()
+        pos = (part.y == 1).to_numpy()
+        expected = (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+        assert found[g] == pytest.approx(expected)
+
+
+def test_quantiles_evaluate_their_input_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(float(i % 97), float(i), i % 2) for i in range(500)], "u double, v double, y int")
+    counted = df.mapInPandas(count, df.schema)
+    for run, times in (
+        (lambda: ordered.exact_quantiles(counted, ["u", "v"], [0.1, 0.5, 0.9]), 2),
+        (lambda: policy.quantile_policy_curve(counted, "u", "y", 11), 1),
+        (lambda: drift.calibration_table(counted, "u", "y"), 1),
+        (lambda: drift.stability_index(counted, df, ["u", "v"]), 1),
+    ):
+        before = seen.value
+        assert run().collect() and seen.value - before == times * 500
 
 
 def test_one_class_and_null_slices(spark):
@@ -77,7 +133,7 @@ def test_slices_add_up_to_the_whole(scored, sample):
 
 
 def test_running_totals_equal_the_plain_window(scored):
-    counts = ranking.score_counts(scored, "y_pred", "y_true", ["slice"], buckets=9)
+    counts = ranking.score_counts(scored, "y_pred", "y_true", ["slice"])
     fast = ordered.running_totals(counts, "score", ["pos"], ["slice"]).select("slice", "score", "run_pos")
     window = W.partitionBy("slice").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
     plain = counts.select("slice", "score", F.sum("pos").over(window).alias("run_pos"))
@@ -97,7 +153,9 @@ def test_quantiles_match_numpy(spark, data, probabilities):
     assert got == pytest.approx([float(np.quantile(known, q)) for q in probabilities], rel=1e-9, abs=1e-9)
 
 
-def test_grouped_quantiles_of_several_columns(spark):
+@pytest.mark.parametrize("in_order", [2_000_000, 10])
+def test_grouped_quantiles_of_several_columns(spark, monkeypatch, in_order):
+    monkeypatch.setattr(ordered, "IN_ORDER", in_order)
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.integers(0, 4, 900), "u": rng.random(900), "v": rng.integers(0, 5, 900).astype(float)})
     got = ordered.exact_quantiles(spark.createDataFrame(pdf), ["u", "v"], [0.1, 0.5], ["g"]).collect()

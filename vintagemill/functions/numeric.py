@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintagemill.functions.dates import as_column, looks_like_a_number, parse_int
@@ -23,6 +23,28 @@ def to_double(c: Column | str) -> Column:
     return F.nanvl(as_column(c).try_cast("double"), F.lit(None).cast("double"))
 
 
+def with_order_image(df: DataFrame, value: str, outs: Mapping[str, int]) -> DataFrame:
+    """Adds the upper bits, as many as ``outs`` says, of a long that orders as the doubles of ``value`` do.
+
+    The long is the bits of the number's size, with its sign; equal numbers have the same.  NULL
+    stays NULL; the column must not hold NaN (see :func:`to_double`).  Exponent and
+    fraction come from exact scalings by powers of two, and the exponent's estimate is
+    mended where the logarithm was rounded across a power.  Steps are projections of
+    their own, so that none is worked out twice.
+    """
+    size, power, part = F.abs(value), F.col("_power"), F.col("_part")
+    estimate = F.greatest(F.lit(-1022), F.least(F.lit(1023), F.coalesce(F.floor(F.log2(size)), F.lit(-1022))))
+    high, low = part >= 2, (part < 1) & (power > -1022)
+    fraction = F.when(high, part / 2).when(low, part * 2).otherwise(part)
+    steps = power + 1022 + F.when(high, 1).when(low, -1).otherwise(0)
+    bits = F.when(size == float("inf"), F.lit(2047 << 52)).otherwise(steps * F.lit(1 << 52) + (fraction * 2.0**52).cast("bigint"))
+    image = F.when(F.col(value) < 0, -bits).when(F.col(value).isNotNull(), bits)
+    names = df.columns
+    scaled = df.select(*names, estimate.cast("bigint").alias("_power")).select(*names, "_power", (size / F.pow(F.lit(2.0), power)).alias("_part"))
+    return scaled.select(*names, image.alias("_image")).select(
+        *names, *[(F.shiftright("_image", 64 - n).cast("int") if n <= 32 else F.shiftright("_image", 64 - n)).alias(c) for c, n in outs.items()])
+
+
 def parse_double(c: Column | str) -> Column:
     """Number in a text column, else NULL (see :func:`parse_int` for the guard)."""
     text = F.trim(as_column(c))

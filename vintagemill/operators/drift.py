@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.functions import bins
 from vintagemill.operators import ordered
 
@@ -32,8 +33,9 @@ def stability_index(
 
     Bins are the base deciles, left-closed, the last one closed.  Values outside
     the base range are in no bin; shares are of the binned rows.  A feature without base
-    values has no bins and a NULL index.
+    values has no bins and a NULL index.  The base's columns are written once.
     """
+    base = session.materialise(base.select(*features), "drift-base")
     edges = decile_edges(base, features, parts)
     empty = [f for f in features if not edges[f]]
     if len(empty) == len(features):
@@ -84,7 +86,8 @@ def with_quantile_bin(df: DataFrame, column: str, parts: int = 10, out: str = "b
 
 
 def calibration_table(df: DataFrame, score: str, label: str, parts: int = 10) -> DataFrame:
-    """Mean predicted against observed rate per score decile."""
+    """Mean predicted against observed rate per score decile; both columns are written once."""
+    df = session.materialise(df.select(score, label), "scores")
     return _reliability(with_quantile_bin(df, score, parts), score, label)
 
 
@@ -131,7 +134,8 @@ def histograms(df: DataFrame, features: Sequence[str] = tuple(DRIFT_FEATURES), p
 
 
 def monotonicity_check(df: DataFrame, feature: str, score: str, direction: int, parts: int = 10) -> DataFrame:
-    """Mean score per feature decile, flagging steps against the expected direction."""
+    """Mean score per feature decile, flagging steps against the expected direction; both columns are written once."""
+    df = session.materialise(df.select(*{feature, score}), "scores")
     means = with_quantile_bin(df, feature, parts).filter(F.col("bin").isNotNull()).groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"))
     step = F.col("mean_score") - F.lag("mean_score").over(W.orderBy("bin"))

@@ -1,11 +1,11 @@
-"""Global order without a global sort: buckets, running totals, exact quantiles.
+"""Global order without a global sort: radix prefixes, running totals, exact quantiles.
 
 A window over an unpartitioned order would move every row into one task.  Here a
-numeric column is first cut into buckets of about equal row count (edges from an
-approximate-percentile pass, at most a few thousand doubles).  Bucket totals are
-few, so running totals across buckets are cheap, and inside a bucket a normal
-window finishes the job.  Buckets depend on the value alone, so recomputed tasks
-always agree, and results are exact whatever the quality of the edges.
+number has a 64-bit image that orders as it does; its upper 16 or 28 bits are its
+bucket.  Totals of buckets are few, so running totals across them are cheap, and inside a
+bucket a normal window finishes the job.  Buckets depend on the value alone: no pass over the data looks for edges,
+a group whose values lie in a narrow band is spread as well as any other, and recomputed tasks
+always agree.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from vintagemill import session
 from vintagemill.functions import numeric
 
+# Rows of one 16-bit prefix that one task may put in order.
+IN_ORDER = 2_000_000
+
+
 def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows in which none of the columns is NULL.
 
@@ -31,20 +35,9 @@ def keep_known(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df
 
 
-def default_buckets(df: DataFrame) -> int:
-    """A few buckets per shuffle partition, so that hashing them spreads evenly."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, 4 * partitions)
-
-
-def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
-    """Distinct inner edges per column; one pass, a bounded sketch per column."""
-    buckets = buckets or default_buckets(df)
-    shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[
-        F.percentile_approx(numeric.to_double(c), shares, max(10_000, 10 * buckets)).alias(c) for c in columns
-    ]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+def with_prefixes(df: DataFrame, value: str, *bits: int) -> DataFrame:
+    """Adds ``prefix<n>``, the upper bits of the image of a column of doubles, for each number of bits."""
+    return numeric.with_order_image(df, value, {f"prefix{n}": n for n in bits})
 
 
 def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: str = "bucket_") -> DataFrame:
@@ -64,93 +57,81 @@ def with_buckets(df: DataFrame, edges: Mapping[str, Sequence[float]], prefix: st
     return df.withColumns(numbers).drop(*[f"_cut_{c}" for c in cut])
 
 
-def running_totals(
-    counts: DataFrame, order: str, measures: Sequence[str], by: Sequence[str] = (), bucket: str = "bucket"
-) -> DataFrame:
+def running_totals(counts: DataFrame, order: str, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Adds ``run_<m>`` (inclusive running total in ascending ``order``) and ``all_<m>``.
 
-    Expects one row per (``by``, ``order``) and a bucket that never decreases with
-    ``order``.  No window here spans more than one bucket or one list of buckets.
+    Expects one row per (``by``, ``order``) with its ``prefix28`` and no NULL group.  A window spans
+    the 28-bit prefixes of a group, which are 65,536 to a power of two at most, or the values of one of them.
     """
     by = list(by)
-    across = W.partitionBy(*by).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    across = W.partitionBy(*by).orderBy("prefix28").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*by)
-    totals = counts.groupBy(*by, bucket).agg(*[F.sum(m).alias(m) for m in measures])
-    offsets = totals.select(
-        *by,
-        bucket,
+    offsets = counts.groupBy(*by, "prefix28").agg(*[F.sum(m).alias(m) for m in measures]).select(
+        *by, "prefix28",
         *[F.coalesce(F.sum(m).over(across), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(m).over(whole).alias(f"all_{m}") for m in measures],
-    )
-    inside = W.partitionBy(*by, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    joined = counts.join(offsets, [*by, bucket])
+        *[F.sum(m).over(whole).alias(f"all_{m}") for m in measures])
+    inside = W.partitionBy(*by, "prefix28").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     runs = {f"run_{m}": F.col(f"_off_{m}") + F.sum(m).over(inside) for m in measures}
-    return joined.withColumns(runs).drop(*[f"_off_{m}" for m in measures])
+    return counts.join(offsets, [*by, "prefix28"]).withColumns(runs).drop("prefix28", *[f"_off_{m}" for m in measures])
+
+
+def _holding(counts: DataFrame, wanted: DataFrame, group: Sequence[str], part: str) -> DataFrame:
+    """Parts of the counted ones that hold a wanted rank of their group, with the ranks counted from their start."""
+    upto = W.partitionBy(*group).orderBy(part).rowsBetween(W.unboundedPreceding, 0)
+    placed = counts.withColumn("_upto", F.sum("n").over(upto)).withColumn("_from", F.col("_upto") - F.col("n"))
+    met = placed.join(wanted, group).filter((F.col("high") >= F.col("_from")) & (F.col("low") < F.col("_upto")))
+    ranks = [(F.col(c) - F.col("_from")).alias(c) for c in ("low", "high")]
+    return met.select(*group, part, "n", "q", *ranks, "share")
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    buckets: int | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (by..., feature, q, value).
 
-    Bucket counts locate the few buckets that hold the wanted ranks; only their
-    values are counted one by one.  NULL and NaN values, and NULL groups, are left
-    out.
+    The input is evaluated twice.  Counts of all columns' 16-bit prefixes, in one
+    aggregation, tell which few hold the wanted ranks; only their values are counted one
+    by one.  Where such a prefix has more than ``IN_ORDER`` rows, only its 28-bit prefixes
+    that are hit are put in order.  NULL and NaN values, and NULL groups, are left out.
     """
-    by = list(by)
-    buckets = buckets or max(default_buckets(df), len(probabilities))
-    slim = keep_known(df, by).select(*by, *[numeric.to_double(c).alias(c) for c in columns])
-    bucketed = with_buckets(slim, bucket_edges(slim, columns, buckets))
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"bucket_{c}").alias("bucket"))
-        for c in columns
-    ])
-    long = bucketed.select(*by, F.inline(entries)).filter(F.col("bucket") >= 0)
-
-    group = [*by, "feature"]
-    running = W.partitionBy(*group).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    per_bucket = (
-        long.groupBy(*group, "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(running) - F.col("n"))
-        .withColumn("total", F.sum("n").over(W.partitionBy(*group)))
-    )
-    position = (F.col("total") - 1) * F.col("q")
-    wanted = (
-        per_bucket.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("low", F.floor(position))
-        .withColumn("high", F.ceil(position))
-        .withColumn("part", position - F.col("low"))
-        .filter((F.col("high") >= F.col("before")) & (F.col("low") < F.col("before") + F.col("n")))
-        .select(*group, "bucket", "before", "q", "low", "high", "part")
-    )
-    wanted = session.materialise(wanted, "ranks")
-    holders = wanted.select(*group, "bucket").distinct()
-    each_value = [*group, "bucket", "value"]
-    if session.may_broadcast(wanted.count(), holders.schema):
-        # The usual case: drop all other buckets during the scan.
-        held = long.join(F.broadcast(holders), [*group, "bucket"], "left_semi")
+    by, spark = list(by), df.sparkSession
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), (numeric.to_double(c) + F.lit(0.0)).alias("value")) for c in columns])  # no negative zero
+    long = with_prefixes(keep_known(df, by).select(*by, F.inline(entries)).filter(F.col("value").isNotNull()), "value", 16, 28)
+    group, outer = [*by, "feature"], [*by, "feature", "prefix16"]
+    counts = long.groupBy(*outer).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(W.partitionBy(*group))
+    ranked = counts.withColumn("_total", total).select(
+        *outer, "n", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("q"),
+        ((F.col("_total") - 1) * F.col("q")).alias("_at"))
+    ranked = ranked.select(*group, "q", F.floor("_at").alias("low"), F.ceil("_at").alias("high"), (F.col("_at") - F.floor("_at")).alias("share"))
+    wanted = _holding(counts, ranked.distinct(), group, "prefix16")
+    if by:
+        wanted = session.materialise(wanted, "ranks")
+        rows, most = wanted.agg(F.count(F.lit(1)), F.max("n")).first()
+    else:  # at most two rows for each column and quantile
+        found = wanted.collect()
+        wanted = spark.createDataFrame(found, wanted.schema)
+        rows, most = len(found), max((r["n"] for r in found), default=0)
+    ranks, holders = wanted.drop("n"), wanted.select(*outer).distinct()
+    each_value = [*outer, "prefix28", "value"]
+    if session.may_broadcast(rows, holders.schema):
+        # The usual case: drop all other prefixes during the scan.
+        held = long.join(F.broadcast(holders), outer, "left_semi")
         values = held.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
     else:
         # Very many groups: combine equal values before anything is shuffled.
         values = long.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
-        values = values.join(holders, [*group, "bucket"], "left_semi")
-    inside = W.partitionBy(*group, "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    values = values.withColumn("upto", F.sum("n").over(inside))
-    upto = F.col("before") + F.col("upto")
-    at_low = (F.col("low") < upto) & (F.col("low") >= upto - F.col("n"))
-    at_high = (F.col("high") < upto) & (F.col("high") >= upto - F.col("n"))
-    found = values.join(wanted, [*group, "bucket"]).filter(at_low | at_high)
-    ends = found.groupBy(*group, "q").agg(
-        F.max(F.when(at_low, F.col("value"))).alias("a"),
-        F.max(F.when(at_high, F.col("value"))).alias("b"),
-        F.max("part").alias("part"),
-    )
-    return ends.select(*group, "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
+        values = values.join(holders, outer, "left_semi")
+    if (most or 0) <= IN_ORDER:
+        found = _holding(values.drop("prefix28"), ranks, outer, "value")
+    else:
+        inner = [*outer, "prefix28"]
+        values = session.materialise(values, "values")
+        fine = _holding(values.groupBy(*inner).agg(F.sum("n").alias("n")), ranks, outer, "prefix28").drop("n")
+        found = _holding(values.join(fine.select(*inner).distinct(), inner, "left_semi"), fine, inner, "value")
+    # the two ranks are neighbours: they hit one value, or two next to each other, be it in different prefixes
+    ends = found.groupBy(*group, "q").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max("share").alias("share"))
+    return ends.select(*group, "q", (F.col("a") + (F.col("b") - F.col("a")) * F.col("share")).alias("value"))
 
 
 def quantile_values(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vintagemill import session
 from vintagemill.functions import numeric
 from vintagemill.functions.numeric import approves, ratio
 from vintagemill.operators import ordered, ranking
@@ -131,7 +132,11 @@ def policy_curve(
 
 
 def quantile_policy_curve(df: DataFrame, score: str, label: str, points: int = 101) -> DataFrame:
-    """Curve over score quantiles, approving strictly below the threshold."""
+    """Curve over score quantiles, approving strictly below the threshold.
+
+    The two columns are written once: the quantiles and the counts read them from there.
+    """
+    df = session.materialise(df.select(score, label), "scores")
     shares = [i * (1.0 / (points - 1)) for i in range(points - 1)] + [1.0]
     thresholds = ordered.quantile_values(df, score, shares)
     counts = threshold_counts(df, score, label, thresholds)

@@ -17,32 +17,20 @@ from vintagemill.functions import numeric
 from vintagemill.operators import ordered
 
 
-def score_counts(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), buckets: int | None = None,
-    edges: Sequence[float] | None = None,
-) -> DataFrame:
-    """(by..., bucket, score, pos, neg): one row per distinct score.  Any ``edges`` will do, found or given."""
+def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., prefix28, score, pos, neg): one row per distinct score."""
     by = list(by)
     slim = df.select(
         *by, numeric.to_double(score).alias("score"), F.col(label).cast("int").alias("_y")
     )
     slim = ordered.keep_known(slim, slim.columns)
-    found = {"score": edges} if edges is not None else ordered.bucket_edges(slim, ["score"], buckets)
-    bucketed = ordered.with_buckets(slim, found)
-    return (
-        bucketed.withColumnRenamed("bucket_score", "bucket")
-        .groupBy(*by, "bucket", "score")
-        .agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
-    )
+    slim = ordered.with_prefixes(slim, "score", 28)
+    return slim.groupBy(*by, "prefix28", "score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
 
 
-def ranking_table(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), buckets: int | None = None,
-    edges: Sequence[float] | None = None,
-) -> DataFrame:
+def ranking_table(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Score counts plus running and total counts per class."""
-    counts = score_counts(df, score, label, by, buckets, edges)
-    return ordered.running_totals(counts, "score", ["pos", "neg"], by)
+    return ordered.running_totals(score_counts(df, score, label, by), "score", ["pos", "neg"], by)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -87,10 +75,9 @@ def evaluate(
     by: Sequence[str] = (),
     two_sided_ks: bool = True,
     metrics: Sequence[str] | None = None,
-    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """One row of metrics per group; ranking metrics are NULL where a class is missing."""
-    table = ranking_table(df, score, label, by, edges=edges)
+    table = ranking_table(df, score, label, by)
     available = metric_columns(two_sided_ks)
     return table.groupBy(*by).agg(*[available[m].alias(m) for m in metrics or available])
 
@@ -109,8 +96,7 @@ def evaluate_slices(
     entries = F.array(*[F.struct(F.lit(s).alias("slice"), F.col(s).cast("string").alias("value")) for s in slices])
     long = df.select(F.col(score), F.col(label), F.inline(entries)).filter(F.col("value").isNotNull())
     wanted = ["n", "bad_rate", "auc", "pr_auc", "ks"]
-    edges = ordered.bucket_edges(df, [score])[score]  # of the rows before they are multiplied by the slices
-    return evaluate(long, score, label, ["slice", "value"], two_sided_ks=False, metrics=wanted, edges=edges)
+    return evaluate(long, score, label, ["slice", "value"], two_sided_ks=False, metrics=wanted)
 
 
 def probability_errors(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact-size samples that do not depend on partitioning, engine or run.
 
-Rows are ordered by the MD5 of ``key:seed``.  ``key`` must identify a row.
+Rows are ordered by the MD5 of ``key:seed``.  Rows that share a key stand next to each
+other, in the order of a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vintagemill import session
-from vintagemill.operators import joins
+from vintagemill.operators import joins, ordered
 
-# Hex digits of the hash that are counted: first 65,536 parts, then each of the cut parts in 65,536 again.
+# Hex digits of the hash that are counted: first 65,536 parts, then the cut parts in 65,536 again where they are large.
 _PREFIXES = (4, 8)
 
 
@@ -33,36 +34,53 @@ def first_by_budget(
     """The first ``budget`` rows per ``by`` group in sample order; NULL is a group like any other.
 
     ``budget`` may be a literal or any expression that is constant within a
-    group.  Rows are counted per hash prefix, which tells the one prefix per group
-    that the budget cuts through; its rows alone are counted by a longer prefix.
-    What is left to be ranked is one part in four thousand million of a group.
+    group.  Hash, key and group are written once, and all counting reads them from there:
+    rows are counted per hash prefix, which tells the one prefix per group that the budget
+    cuts through, and its rows are ranked.  A second evaluation of the input keeps what
+    lies before the row found.  Only where the budget cuts through the rows of one
+    repeated key are these ranked by themselves.
     """
     by = list(by)
     groups = [f"_by{i}" for i in range(len(by))]
     # a struct of the value alone is never NULL, so groups compare as equal
-    hashed = df.withColumns({g: F.struct(F.col(c).alias("v")) for g, c in zip(groups, by)})
-    hashed = hashed.withColumn("_budget", budget.cast("bigint")).withColumn("_order", sample_order(key, seed))
-    cut = hashed.select(*groups, "_order", "_budget")
-    taken = None
+    hashed = df.withColumns({
+        **{g: F.struct(F.col(c).alias("v")) for g, c in zip(groups, by)}, "_budget": budget.cast("bigint"),
+        "_place": F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key"))})
+    narrow = session.materialise(hashed.select(*groups, "_place", "_budget"), "sample-order")
+    cut = narrow
     for digits in _PREFIXES:
-        prefix = F.substring("_order", 1, digits)
+        prefix = F.substring("_place.hash", 1, digits)
         running = W.partitionBy(*groups).orderBy("_prefix").rowsBetween(W.unboundedPreceding, 0)
         counted = cut.groupBy(*groups, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"), F.max("_budget").alias("_left"))
         counted = counted.withColumn("_upto", F.sum("_n").over(running))
         # the part that holds the last row of the budget, and what is left for it
         ends = counted.filter((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left")))
-        ends = ends.select(*groups, "_prefix", (F.col("_left") - (F.col("_upto") - F.col("_n"))).alias("_rest"))
         # at most one short row per group
-        taken = session.materialise(ends, "prefixes")
-        cut = hashed.select(*groups, "_order", key).withColumn("_prefix", prefix).join(taken, [*groups, "_prefix"])
-        cut = cut.withColumn("_budget", F.col("_rest")).drop("_prefix", "_rest")
-    rank = F.row_number().over(W.partitionBy(*groups).orderBy("_order", key))
-    last = cut.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_budget"))
-    last = session.materialise(last.select(*groups, F.struct("_order", F.col(key).alias("_key")).alias("_last")), "cutoffs")
+        taken = session.materialise(ends.select(*groups, "_prefix", "_n", (F.col("_left") - (F.col("_upto") - F.col("_n"))).alias("_rest")), "prefixes")
+        cut = narrow.drop("_budget").withColumn("_prefix", prefix).join(F.broadcast(taken) if not by else taken, [*groups, "_prefix"])
+        cut = cut.withColumn("_budget", F.col("_rest")).drop("_prefix", "_rest", "_n")
+        if (taken.agg(F.max("_n")).first()[0] or 0) <= ordered.IN_ORDER:
+            break
+    inside = W.partitionBy(*groups).orderBy("_place")
+    last = cut.withColumn("_rank", F.row_number().over(inside)).groupBy(*groups, "_place").agg(
+        F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_same"), F.max("_budget").alias("_rest"))
+    last = last.filter((F.col("_first") <= F.col("_rest")) & (F.col("_rest") < F.col("_first") + F.col("_same")))
+    last = last.select(*groups, F.col("_place").alias("_last"), "_same", (F.col("_rest") - F.col("_first") + 1).alias("_keep"))
+    last = session.materialise(last, "cutoffs")
+    excess = bool(last.filter("_keep < _same").limit(1).count())
     # groups without a cutoff are within their budget
-    kept = hashed.join(last, groups, "left") if groups else hashed.withColumn("_last", last.select("_last").scalar())
-    within = F.coalesce(F.struct("_order", F.col(key).alias("_key")) <= F.col("_last"), F.lit(True))
-    return kept.filter(within & (F.col("_budget") > 0)).select(*df.columns)
+    if groups:
+        kept = hashed.join(last, groups, "left")
+    else:
+        kept = hashed.withColumns({c: last.select(c).scalar() for c in ("_last", "_keep")})
+    kept = kept.filter(F.col("_budget") > 0)
+    if not excess:
+        return kept.filter(F.coalesce(F.col("_place") <= F.col("_last"), F.lit(True))).select(*df.columns)
+    before = kept.filter(F.coalesce(F.col("_place") < F.col("_last"), F.lit(True)))
+    plain = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    rank = F.row_number().over(W.partitionBy(*groups).orderBy(F.xxhash64(*plain)))
+    tied = kept.filter(F.col("_place") == F.col("_last")).withColumn("_rank", rank).filter(F.col("_rank") <= F.col("_keep"))
+    return before.select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def downsample_negatives(
