@@ -16,17 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintagemill.llm.batches import bound_batches
+from vintagemill.llm.memory import MEMORY_BYTES
 from vintagemill.llm.tokens import tokenizer_path
 
 WORD_START = "▁"
 DROPOUT, SEED = 0.1, 17
-#: Segmentations kept a Python worker; beyond it the memory starts anew, which changes no ids.
-MEMORY = 800_000
-
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _WORD = (1 << 64) - 1
 #: Words up to so many signs are merged in step with each other, longer ones by a heap, with equal results.
 _IN_STEP = 48
+#: Words are kept in tables of their length, so that short ones take little room.
+_WIDTHS = (6, 9, 12, 16, 24, 48)
+_NONE = np.iinfo(np.int32).max
+_WORDS_AT_ONCE, _ROWS_IN_STEP = 200_000, 100_000
+_ENTRY = 320  # what a word takes besides its spans
 
 
 def _skips(base: int, limit: int) -> Callable[[int, int, int], bool]:
@@ -227,43 +230,146 @@ class MergePieces:
         return b"".join([spelled[i] for i in ids.tolist()]).decode()[1:]
 
 
+class PieceTrie:
+    """The pieces as a trie whose steps are looked up for many places at once, in an open hash table."""
+
+    _BITS = 20
+
+    def __init__(self, pieces: MergePieces):
+        nodes: dict[str, int] = {"": 0}
+        for piece in pieces.ids:
+            for end in range(1, len(piece) + 1):
+                nodes.setdefault(piece[:end], len(nodes))
+        self.piece = np.zeros(len(nodes), np.int64)  # the id, plus one, of the piece that ends here
+        for piece, i in pieces.ids.items():
+            self.piece[nodes[piece]] = i + 1
+        bits = max(self._BITS, (4 * len(nodes)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys, self.nodes = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        for prefix, node in nodes.items():
+            if prefix:
+                key = nodes[prefix[:-1]] << 21 | ord(prefix[-1])
+                at = int(self._place(np.array([key]))[0])
+                while self.keys[at] >= 0:
+                    at = at + 1 & self.mask
+                self.keys[at], self.nodes[at] = key, node
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(_ODD[0]) >> self.shift).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The nodes that signs lead to; -1 where no piece begins so."""
+        keys = nodes << 21 | codes
+        at = self._place(keys)
+        found = self.keys[at]
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = at[open_] + 1 & self.mask
+            found[open_] = self.keys[at[open_]]
+            open_ = open_[(found[open_] != keys[open_]) & (found[open_] >= 0)]
+        return np.where(found == keys, self.nodes[at], -1)
+
+
+class SpanTable:
+    """Of words up to one length: the id of the piece, plus one, that each span of their signs spells."""
+
+    def __init__(self, width: int, kind: np.dtype):
+        self.width, self.kind, self.size = width, kind, 0
+        self.lengths = np.zeros(256, np.int64)
+        self.spans = np.zeros((256, width * (width + 1)), kind)
+        self.odd: dict[int, str] = {}  # words with signs that are no pieces
+
+    @property
+    def row_bytes(self) -> int:
+        return self.spans.shape[1] * self.spans.itemsize + 8
+
+    def add(self, words: list[str], trie: PieceTrie) -> range:
+        """Rows of new words."""
+        n, end = self.size, self.size + len(words)
+        if end > len(self.lengths):
+            size = max(end, len(self.lengths) * 3 // 2)
+            for name in ("lengths", "spans"):
+                old = getattr(self, name)
+                new = np.zeros((size, *old.shape[1:]), old.dtype)
+                new[:n] = old[:n]
+                setattr(self, name, new)
+        lengths = np.array(list(map(len, words)))
+        codes = np.zeros((len(words), self.width), np.int64)
+        codes[np.arange(self.width) < lengths[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        self.lengths[n:end], self.size = lengths, end
+        spans, odd = self.spans[n:end], np.zeros(len(words), bool)
+        for a in range(self.width):
+            rows = np.flatnonzero(lengths > a)
+            nodes = np.zeros(len(rows), np.int64)
+            for upto in range(a + 1, self.width + 1):
+                nodes = trie.step(nodes, codes[rows, upto - 1])
+                found = np.where(nodes >= 0, trie.piece[nodes], 0)
+                spans[rows, a * (self.width + 1) + upto] = found
+                if upto == a + 1:
+                    odd[rows[found == 0]] = True
+                some = (nodes >= 0) & (lengths[rows] > upto)
+                rows, nodes = rows[some], nodes[some]
+                if not len(rows):
+                    break
+        self.odd.update((n + i, words[i]) for i in np.flatnonzero(odd).tolist())
+        return range(n, end)
+
+
 class Segmenter:
     """Segments texts by the words between spaces and line ends; each occurrence of a word skips merges of its own.
 
     Pairs come up one after the other, and each is skipped with probability ``dropout``,
-    so the number of pairs up to the next skipped one is drawn at once.  A word and the
-    numbers of its skipped pairs fix the segmentation: these are kept, not the draws.
-    An occurrence in which no further pair is skipped is done.
+    so the number of pairs up to the next skipped one is drawn at once.  An occurrence in
+    which none is skipped is the word's own segmentation, which is kept.  The agendas of
+    all others advance in step, whatever text they are of; the pieces that spans of
+    a word spell are looked up once a word.
     """
 
     def __init__(self, pieces: MergePieces, dropout: float, seed: int):
         self.pieces, self.dropout, self.seed = pieces, dropout, seed
         self.line_end = np.array(pieces.segment("\n", 0, 0, False), np.uint32).tobytes()
+        order = sorted(set(pieces.rank.values()))
+        places = {r: i for i, r in enumerate(order)}
+        self.rank = np.full(len(pieces.spelled) + 1, _NONE, np.int32)
+        for piece, i in pieces.ids.items():
+            self.rank[i + 1] = places[pieces.rank[piece]]
+        self.trie = PieceTrie(pieces)
         self._forget()
 
     def _forget(self) -> None:
-        self.whole: dict[str, int] = {}
-        self.after: dict[int, int] = {}
-        self.words: list[str] = []
-        self.paths: list[tuple[int, ...]] = []
+        kind = np.dtype(np.uint16 if len(self.rank) <= 1 << 16 else np.uint32)
+        self.tables = [SpanTable(w, kind) for w in _WIDTHS]
+        self.number: dict[str, int] = {}
         self.ids: list[bytes] = []
-        self.tries = np.zeros(1024, np.int64)
-
-    def _learn(self, words: list[str], paths: list[tuple[int, ...]]) -> range:
-        """Numbers of new segmentations."""
-        n, line_start = len(self.ids), [w.startswith("\n") for w in words]
-        found = self.pieces.segment_all_by([w[1:] if s else WORD_START + w for w, s in zip(words, line_start)], [not s for s in line_start], paths)
-        self.words += words
-        self.paths += paths
-        self.ids += [self.line_end + ids if s else ids for s, (ids, _) in zip(line_start, found)]
-        if len(self.ids) > len(self.tries):
-            self.tries = np.concatenate([self.tries, np.zeros(max(len(self.tries), len(self.ids)), np.int64)])
-        self.tries[n: len(self.ids)] = [t for _, t in found]
-        return range(n, len(self.ids))
-
-    def _kept(self, at: np.ndarray, depth: int) -> np.ndarray:
+        self.tries, self.table, self.row = (np.zeros(1024, k) for k in (np.int32, np.int8, np.int32))
+        self.held = 0
+
+    def _spelled(self, word: str) -> str:
+        return word[1:] if word.startswith("\n") else WORD_START + word
+
+    def _learn(self, words: list[str]) -> None:
+        """Numbers new words of bounded length, and segments them with no pair skipped."""
+        by_table: dict[int, list[str]] = {}
+        for word in words:
+            length = len(self._spelled(word))
+            by_table.setdefault(next(i for i, w in enumerate(_WIDTHS) if length <= w), []).append(word)
+        for at, some in by_table.items():
+            table, n = self.tables[at], len(self.ids)
+            rows = table.add([self._spelled(w) for w in some], self.trie)
+            ids, tries = self._in_step(table, np.arange(rows.start, rows.stop))
+            end = n + len(some)
+            if end > len(self.tries):
+                for name in ("tries", "table", "row"):
+                    old = getattr(self, name)
+                    setattr(self, name, np.concatenate([old, np.zeros(max(len(old), end), old.dtype)]))
+            self.tries[n:end], self.table[n:end], self.row[n:end] = tries, at, rows
+            self.ids += [self.line_end + x if w.startswith("\n") else x for w, x in zip(some, ids)]
+            self.number.update(zip(some, range(n, end)))
+            self.held += len(some) * (table.row_bytes + _ENTRY) + sum(map(len, ids))
+
+    def _kept(self, at: np.ndarray, depth: np.ndarray | int) -> np.ndarray:
         """Pairs kept before the next skipped one, for words whose hashes these are: geometric, from the upper 53 bits."""
-        h = at ^ np.uint64((depth + 1) * _ODD[2] & _WORD)
+        h = at ^ (np.asarray(depth, np.uint64) + np.uint64(1)) * np.uint64(_ODD[2])
         h = (h ^ h >> np.uint64(33)) * np.uint64(_ODD[1])
         h = (h ^ h >> np.uint64(29)) * np.uint64(_ODD[0])
         u = ((h ^ h >> np.uint64(32)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
@@ -273,45 +379,114 @@ class Segmenter:
 
     def encode(self, texts: list[str], names: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; its name and a word's place in it draw what is skipped."""
-        out = []
-        for text, name in zip(texts, names):
-            if len(self.ids) > MEMORY:
-                self._forget()
+        words: list[str] = []
+        at: list[np.ndarray] = []
+        out: list[list[bytes]] = [[] for _ in texts]
+        spans: list[tuple[int, int]] = []  # text, and where its words end
+
+        def flush() -> None:
+            if words:
+                found, lo = self._encode(words, np.concatenate(at)), 0
+                for text, hi in spans:
+                    out[text] += found[lo:hi]
+                    lo = hi
+            for part in (words, at, spans):
+                part.clear()
+
+        for i, (text, name) in enumerate(zip(texts, names)):
             # a word at the start of a line takes the line end along and has no space before it; the text's first word has one
-            words = text.replace("\n", " \n").split(" ")
-            drawn = xxhash.xxh64_intdigest(name, self.seed)
-            out.append(b"".join([self._encode(words[lo: lo + 200_000], drawn, lo) for lo in range(0, len(words), 200_000)]))
+            own = text.replace("\n", " \n").split(" ")
+            drawn = np.uint64(xxhash.xxh64_intdigest(name, self.seed))
+            for lo in range(0, len(own), _WORDS_AT_ONCE):
+                part = own[lo: lo + _WORDS_AT_ONCE]
+                words.extend(part)
+                at.append(drawn ^ np.arange(lo, lo + len(part), dtype=np.uint64) * np.uint64(_ODD[0]))
+                spans.append((i, len(words)))
+                if len(words) >= _WORDS_AT_ONCE:
+                    flush()
+        flush()
+        return [b"".join(parts) for parts in out]
+
+    def _encode(self, words: list[str], at: np.ndarray) -> list[bytes]:
+        """Ids of each word; ``at`` draws what it skips."""
+        if self.held > 2 * MEMORY_BYTES:
+            self._forget()
+        number = list(map(self.number.get, words))
+        if None in number:
+            new = {w for w, x in zip(words, number) if x is None}
+            kept = [w for w in new if len(w) < _IN_STEP and WORD_START not in w]
+            self._learn(kept)
+            number = [self.number.get(w, -1) for w in words]
+        node = np.array(number, np.int64)
+        out = [self.ids[k] if k >= 0 else b"" for k in number]
+        for i in np.flatnonzero(node < 0).tolist():  # long words, and those that hold the word-start sign, go one by one
+            out[i] = self._alone(words[i], at[i: i + 1])
+        if self.dropout:
+            first = self._kept(at, 0)
+            open_ = np.flatnonzero((node >= 0) & (first < self.tries[np.maximum(node, 0)]))
+            tables = self.table[node[open_]]
+            for k, table in enumerate(self.tables):
+                own = open_[tables == k]
+                for lo in range(0, len(own), _ROWS_IN_STEP):
+                    some = own[lo: lo + _ROWS_IN_STEP]
+                    ids, _ = self._in_step(table, self.row[node[some]], at[some], first[some])
+                    for i, x in zip(some.tolist(), ids):
+                        out[i] = self.line_end + x if words[i].startswith("\n") else x
         return out
 
-    def _encode(self, words: list[str], drawn: int, begin: int) -> bytes:
-        new = [w for w in dict.fromkeys(words) if w not in self.whole]
-        long = [w for w in new if len(w) > _IN_STEP]
-        if long:  # not kept: each occurrence of a long word goes by itself
-            new = [w for w in new if len(w) <= _IN_STEP]
-        if new:
-            self.whole.update(zip(new, self._learn(new, [()] * len(new))))
-        node = np.array([self.whole.get(w, -1) for w in words] if long else list(map(self.whole.__getitem__, words)), np.int64)
-        place = np.arange(begin, begin + len(words), dtype=np.uint64)
-        at = np.uint64(drawn) ^ place * np.uint64(_ODD[0])
-        if self.dropout:
-            open_, last, depth = np.flatnonzero(node >= 0), np.full(len(words), -1, np.int64), 0
-            while len(open_):
-                skip = last[open_] + 1 + self._kept(at[open_], depth)
-                some = skip < self.tries[node[open_]]
-                open_, skip = open_[some], skip[some]
-                last[open_] = skip
-                keys = (node[open_] << 16 | skip).tolist()
-                missing = [k for k in dict.fromkeys(keys) if k not in self.after]
-                if missing:
-                    parents = [(k >> 16, k & 0xFFFF) for k in missing]
-                    self.after.update(zip(missing, self._learn([self.words[p] for p, _ in parents], [(*self.paths[p], s) for p, s in parents])))
-                node[open_] = list(map(self.after.__getitem__, keys))
-                depth += 1
-        if not long:
-            return b"".join(map(self.ids.__getitem__, node.tolist()))
-        return b"".join([self.ids[k] if k >= 0 else self._long(w, at[i: i + 1]) for i, (k, w) in enumerate(zip(node.tolist(), words))])
-
-    def _long(self, word: str, at: np.ndarray) -> bytes:
+    def _in_step(self, table: SpanTable, rows: np.ndarray, at: np.ndarray | None = None, skip: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
+        """Ids of words, and how many pairs came up; ``skip`` is the number of each one's first skipped pair."""
+        n, width, stride, rank = len(rows), table.width, table.width + 1, self.rank
+        spans, base = table.spans.reshape(-1), rows.astype(np.int64) * (width * stride)
+        lengths = table.lengths[rows]
+        alive = np.arange(width) < lengths[:, None]
+        # a sign that is no piece stands alone, as no span of one sign spells it
+        ranks = np.full((n, width), _NONE, np.int32)
+        first = np.arange(width - 1) * stride + np.arange(2, stride)
+        ranks[:, :-1] = rank[spans[base[:, None] + first]]
+        follow, before = np.tile(np.arange(1, width + 2), (n, 1)), np.tile(np.arange(-1, width), (n, 1))
+        tries, depth, active = np.zeros(n, np.int32), np.zeros(n, np.int64), np.arange(n)
+        skip = None if skip is None else skip.copy()
+        while len(active):
+            held = ranks[active]
+            a = held.argmin(1)
+            some = held[np.arange(len(active)), a] != _NONE
+            active, a = active[some], a[some]
+            r = active
+            if skip is not None:
+                skipped = tries[r] == skip[r]
+                gone = r[skipped]
+                ranks[gone, a[skipped]] = _NONE
+                depth[gone] += 1
+                skip[gone] += 1 + self._kept(at[gone], depth[gone])
+                tries[r] += 1
+                r, a = r[~skipped], a[~skipped]
+            else:
+                tries[r] += 1
+            b = follow[r, a]
+            end = follow[r, b]
+            follow[r, a], alive[r, b], ranks[r, b] = end, False, _NONE
+            inside = end < lengths[r]
+            before[r, end] = a
+            upto = follow[r, np.minimum(end, width)]
+            place = base[r] + a * stride
+            ranks[r, a] = np.where(inside, rank[spans[place + np.where(inside, upto, 0)]], _NONE)
+            left = before[r, a]
+            some = left >= 0
+            r, left, end = r[some], left[some], end[some]
+            ranks[r, left] = rank[spans[base[r] + left * stride + end]]
+        row, a = np.nonzero(alive)
+        ids = spans[base[row] + a * stride + follow[row, a]].astype(np.int64) - 1
+        flat, counts = ids.astype("<u4").tobytes(), 4 * alive.sum(1)
+        ends = np.cumsum(counts).tolist()
+        out = [flat[e - c: e] for e, c in zip(ends, counts.tolist())]
+        for i in np.unique(row[ids < 0]).tolist():  # signs that are no pieces become their bytes
+            word = table.odd[int(rows[i])]
+            own = [[x] if x >= 0 else [self.pieces.bytes[y] for y in word[k].encode()] for k, x in zip(a[row == i].tolist(), ids[row == i].tolist())]
+            out[i] = np.array(list(itertools.chain.from_iterable(own)), "<u4").tobytes()
+        return out, tries
+
+    def _alone(self, word: str, at: np.ndarray) -> bytes:
         state = [int(self._kept(at, 0)[0]) if self.dropout else -1, 0]
 
         def skips(number: int) -> bool:
@@ -322,7 +497,7 @@ class Segmenter:
             return True
 
         line_start = word.startswith("\n")
-        ids, _ = self.pieces.segment_by(word[1:] if line_start else WORD_START + word, not line_start, skips)
+        ids, _ = self.pieces.segment_by(self._spelled(word), not line_start, skips)
         return (self.line_end if line_start else b"") + np.array(ids, np.uint32).tobytes()
 
 
@@ -346,8 +521,8 @@ def encode(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", dropout: flo
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         segmenter = _segmenter(path, dropout, seed)
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                some = batch.iloc[lo: lo + 500]
+            for lo in range(0, len(batch), 2_000):
+                some = batch.iloc[lo: lo + 2_000]
                 doc_id = some["doc_id"].astype("Int64")
                 yield pd.DataFrame({"doc_id": doc_id, "ids": segmenter.encode(some["text"].tolist(), list(map(str, doc_id)))})
 
