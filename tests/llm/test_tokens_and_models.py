@@ -251,6 +251,9 @@ def test_disclosing_terms(spark, frame):
     assert all(clean[i].text == t for i, t in rows if "@" not in (t or "")) and len(clean) == len(rows)
     assert "[EMAIL]" in clean[0].text and "uixote" not in clean[0].text and "boss" not in clean[0].text
     assert disclosure.digest(disclosure.find_personal_data(frame([], DOCS))).count() == 0
+    own = frame([(1, "at 10.0.0.1", "kept", 7, None)], DOCS + ", _base string, _key0 long, _terms string")
+    row = disclosure.sanitise(own).select("text", "_base", "_key0", "_terms").first()
+    assert tuple(row) == ("at [IP]", "kept", 7, None)
 
 
 def test_terms_of_any_length_anywhere_in_the_text(spark, frame):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintagemill.llm.batches import bound_batches
-from vintagemill.session import materialise
+from vintagemill.session import materialise, may_broadcast
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -120,7 +120,7 @@ def scan(docs: DataFrame) -> DataFrame:
     Subjects and words are empty where there are no spans, and neither is longer than the text.
     """
     bound_batches(docs.sparkSession)
-    schema = f"doc_id long, text_key string, base {_SPAN}, subjects array<long>, words array<struct<term: string, starts: array<int>>>"
+    schema = f"doc_id long, text_key binary, base {_SPAN}, subjects array<long>, words array<struct<term: string, starts: array<int>>>"
     names = ["doc_id", "text_key", "base", "subjects", "words"]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,7 +134,12 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.md5(text).alias("text_key")).mapInPandas(rows, schema)
+    return docs.select("doc_id", text.alias("text"), text_key(text).alias("text_key")).mapInPandas(rows, schema)
+
+
+def text_key(text: Column) -> Column:
+    """Equal for equal texts: 16 bytes."""
+    return F.unhex(F.md5(text))
 
 
 def _alike(df: DataFrame, name: str) -> DataFrame:
@@ -167,17 +172,22 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float = DIS
     words = docs.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all("text", F.lit(f"({_WORD})"), F.lit(1)), F.lower))).alias("term"))
     # counted before the join, so that a frequent term is one row when it meets its candidates
+    terms = materialise(terms, "candidates")
+    n_terms, asked = terms.count(), terms.select("term")
+    if may_broadcast(n_terms, asked.schema):  # what is not asked for is not shuffled
+        words = words.join(F.broadcast(asked), "term", "left_semi")
     often = words.groupBy("term").agg(F.count("*").alias("term_docs"))
     terms = terms.join(often, "term", "left").withColumn("term_docs", F.greatest("term_docs", "docs"))
-    terms = materialise(terms.withColumn("class", F.xxhash64("class", "term_docs")), "terms")
+    terms = materialise(terms.withColumn("class", F.xxhash64("class", "term_docs")).select("term", "class", "term_docs"), "terms")
     n = scanned.count()
     n_texts = scanned.select("text_key").distinct().count()
-    tests = max(1, subjects.count() * terms.count())
+    tests = max(1, subjects.count() * n_terms)
+    terms = F.broadcast(terms) if may_broadcast(n_terms, terms.schema) else terms
 
     # only terms rare enough for the threshold, whatever they meet, are paired
     left = of_text["subject"].join(subjects.select("subject", F.col("class").alias("of"), F.col("docs").alias("held"), F.col("texts").alias("held_texts")), "subject")
     left = left.select("text_key", "copies", "of", "held", "held_texts").distinct()
-    right = of_text["term"].join(terms.select("term", "class", "term_docs"), "term").select("text_key", "class", "term_docs").distinct()
+    right = of_text["term"].join(terms, "term").select("text_key", "class", "term_docs").distinct()
     most = F.col("held") * F.pow(n / F.col("held"), F.lit(1 - threshold)) * (1 + 1e-9)
     met = materialise(left.join(right, "text_key").where((F.col("held") < n) & (F.col("term_docs") <= most)), "met")
     pairs = met.groupBy("of", "class").agg(
@@ -190,7 +200,7 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, threshold: float = DIS
     tail = m * (a * F.log(a / p) + F.when(a < 1, (1 - a) * F.log((1 - a) / (1 - p))).otherwise(0.0))
     kept = pairs.withColumn("share", share).where((k > 1) & (F.col("share") >= threshold) & (a > p) & (tail >= math.log(tests / level)))
     found = met.join(kept.select("of", "class", "share"), ["of", "class"]).groupBy("text_key", "class").agg(F.max("share").alias("share"))
-    own = of_text["term"].join(terms.select("term", "class"), "term").select("text_key", "term", "class")
+    own = of_text["term"].join(terms, "term").select("text_key", "term", "class")
     return own.join(found, ["text_key", "class"]).select("text_key", "term", "share")
 
 
@@ -249,19 +259,24 @@ def replaced(text: str, base: list, terms: list) -> str:
 
 
 def sanitise(docs: DataFrame, threshold: float = DISCLOSURE, level: float = LEVEL) -> DataFrame:
-    """``docs`` with personal data and disclosing terms replaced in text; all rows and columns stay, as do clean texts."""
+    """``docs`` with personal data and disclosing terms replaced in text; all rows and columns stay, as do clean texts.
+
+    A NULL text stays NULL; repeated rows stay; an empty table gives an empty table; columns of any name stay as they are.
+    """
     found = find_personal_data(docs, threshold, level)
+    # names that no column of the table has
+    key, base, terms = (next(x for x in (f"_{c}{i}" for i in range(len(docs.columns) + 1)) if x not in docs.columns) for c in ("key", "base", "terms"))
     dirty = found.where("size(base) + size(terms) > 0").select(
-        F.col("text_key").alias("_key"), F.col("base").alias("_base"), F.col("terms").alias("_terms")).dropDuplicates(["_key"])
+        F.col("text_key").alias(key), F.col("base").alias(base), F.col("terms").alias(terms)).dropDuplicates([key])
     dirty = materialise(dirty, "replacements")
 
     @F.pandas_udf("string")
     def clean(text: pd.Series, base: pd.Series, terms: pd.Series) -> pd.Series:
         return pd.Series([t if b is None else replaced(t, b, s) for t, b, s in zip(text, base, terms)], dtype=object)
 
-    joined = docs.withColumn("_key", F.md5("text")).join(dirty, "_key", "left")
-    found_any = F.col("_base").isNotNull()
+    joined = docs.withColumn(key, text_key(F.col("text"))).join(dirty, key, "left")
+    found_any = F.col(base).isNotNull()
     # clean texts do not visit Python
-    cleaned = F.when(found_any, clean(F.when(found_any, F.col("text")), "_base", "_terms")).otherwise(F.col("text"))
+    cleaned = F.when(found_any, clean(F.when(found_any, F.col("text")), base, terms)).otherwise(F.col("text"))
     names = [cleaned.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*names)

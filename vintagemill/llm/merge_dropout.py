@@ -369,7 +369,7 @@ class Segmenter:
 
     def _kept(self, at: np.ndarray, depth: np.ndarray | int) -> np.ndarray:
         """Pairs kept before the next skipped one, for words whose hashes these are: geometric, from the upper 53 bits."""
-        h = at ^ (np.asarray(depth, np.uint64) + np.uint64(1)) * np.uint64(_ODD[2])
+        h = at ^ (np.atleast_1d(np.asarray(depth, np.uint64)) + np.uint64(1)) * np.uint64(_ODD[2])
         h = (h ^ h >> np.uint64(33)) * np.uint64(_ODD[1])
         h = (h ^ h >> np.uint64(29)) * np.uint64(_ODD[0])
         u = ((h ^ h >> np.uint64(32)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
