@@ -194,3 +194,14 @@ def test_near_duplicates_of_odd_tables(spark, frame):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "A B C D E F"), (7, None), (8, "")]
     found = sorted((r.doc_id or 0, r.component_id, r.kept) for r in bottomk.near_duplicates(frame(rows, DOCS)).collect())
     assert found == [(0, None, True), (4, 4, True), (4, 4, True), (7, 7, True), (8, 8, True), (9, 4, False)]
+
+
+def test_rows_without_near_duplicates(spark, frame):
+    a = " ".join(f"w{i}" for i in range(30))
+    near, other = a + " end", " ".join(f"v{i}" for i in range(30))
+    rows = [(1, a), (1, a), (2, a), (2, other), (3, near), (None, a), (4, None), (4, None), (5, ""), (6, other)]
+    kept = bottomk.without_near_duplicates(frame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (2, other), (None, a), (4, None), (4, None), (5, "")], key=str)
+    own = frame([(1, a, "x", 9), (2, a, "y", 8)], "doc_id long, text string, _class0 string, _id0 long")
+    assert [(r.doc_id, r._class0, r._id0) for r in bottomk.without_near_duplicates(own).collect()] == [(1, "x", 9)]
+    assert bottomk.without_near_duplicates(frame([], "doc_id long, text string")).count() == 0

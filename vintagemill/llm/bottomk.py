@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vintagemill.llm.batches import bound_batches
 from vintagemill.llm.components import connected
-from vintagemill.session import materialise
+from vintagemill.session import materialise, may_broadcast
 
 WORDS = 5
 PERCENT = 75
@@ -233,8 +233,13 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int = WORDS, pe
     return _links_by_step(sets, "component", "node", "_set", make_alike)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document.
+def text_class(text: Column) -> Column:
+    """Equal for equal word sequences."""
+    return F.md5(F.array_join(words_of(text), " "))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sketch: int = SKETCH, with_class: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document [, class: its word sequence, NULL where it is linked with nothing].
 
     Two documents are linked if 100 * common >= percent * all shingles of both; component_id
     is the smallest doc_id reachable by links, and that document is kept.  Equal word
@@ -261,4 +266,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows = table.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
     component = F.coalesce("least", "doc_id")
     return (rows.join(of_class, "class", "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")))
+            .select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), *["class"] * with_class))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of near-duplicates, and all rows that are linked with nothing; all columns stay.
+
+    A row goes by its doc_id and text, so that another text of the same doc_id stays.  Of rows
+    that repeat the kept doc_id and text one stays.  NULL texts and doc_ids, and texts
+    without words, stay; an empty table gives an empty table; columns of any name stay as they are.
+    """
+    key, own = (next(x for x in (f"_{c}{i}" for i in range(len(docs.columns) + 1)) if x not in docs.columns) for c in ("class", "id"))
+    judged = materialise(near_duplicates(docs, words, percent, with_class=True), "judged").where("class is not null")
+    gone = judged.where("not kept").select(F.col("doc_id").alias(own), F.col("class").alias(key)).distinct()
+    again = judged.where("kept").groupBy(F.col("doc_id").alias(own), F.col("class").alias(key)).count().where("count > 1").drop("count")
+
+    def looked_up(table: DataFrame) -> tuple[DataFrame, int]:
+        written = materialise(table, "rows")
+        rows = written.count()
+        return (F.broadcast(written) if may_broadcast(rows, written.schema) else written), rows
+
+    (gone, _), (again, repeated) = looked_up(gone), looked_up(again)
+    named = docs.withColumns({own: F.col("doc_id"), key: text_class(F.col("text"))})
+    kept = named.join(gone, [own, key], "left_anti")
+    if repeated:
+        kept = kept.join(again, [own, key], "left_anti").unionByName(kept.join(again, [own, key], "left_semi").dropDuplicates([own, key]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
