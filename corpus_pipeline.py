@@ -14,26 +14,42 @@ from vintagemill.session import fresh_path
 
 
 def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier scores at least 0.5; a NULL text scores as an empty one."""
+    """Documents the quality classifier scores at least 0.5.
+
+    A NULL text scores as an empty one; repeated rows have one score; NULL doc_ids stay; an
+    empty table gives an empty table; columns of any name stay as they are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = pu_quality.score(docs, pu_quality.fit(docs, labels), "text", "_quality")
-    return scored.where("_quality >= 0.5").select(*docs.columns)
+    quality = next(x for x in (f"_quality{i}" for i in range(len(docs.columns) + 1)) if x not in docs.columns)
+    scored = pu_quality.score(docs, pu_quality.fit(docs, labels), "text", quality)
+    return scored.where(f"{quality} >= 0.5").select(*[f"`{c}`" for c in docs.columns])
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group, and all that are in none."""
-    gone = bottomk.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest doc_id of each near-duplicate group, and all that are in none.
+
+    Rows go by doc_id and text; of repeated rows one stays, unless they have no words; NULL
+    texts and doc_ids stay; an empty table gives an empty table; columns of any name stay as they are.
+    """
+    return bottomk.without_near_duplicates(docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data and terms that disclose it replaced; n_chars follows the text."""
+    """All documents, personal data and terms that disclose it replaced; n_chars follows the text.
+
+    NULL texts stay NULL with their n_chars; repeated rows and NULL doc_ids stay; an empty
+    table gives an empty table; columns of any name stay as they are.
+    """
     clean = disclosure.sanitise(docs)
     return clean.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
+    """Every piece of every document with its sequence and offset.
+
+    A NULL text is packed as an empty one; repeated rows are packed each by themselves; an
+    empty table gives an empty table; other columns than doc_id and text are not looked at.
+    """
     return packing.pack(docs)
 
 
