@@ -28,7 +28,7 @@ _IN_STEP = 48
 #: Words are kept in tables of their length, so that short ones take little room.
 _WIDTHS = (6, 9, 12, 16, 24, 48)
 _NONE = np.iinfo(np.int32).max
-_WORDS_AT_ONCE, _ROWS_IN_STEP = 200_000, 100_000
+_WORDS_AT_ONCE, _ROWS_IN_STEP = 100_000, 50_000
 _ENTRY = 320  # what a word takes besides its spans
 
 
@@ -409,7 +409,7 @@ class Segmenter:
 
     def _encode(self, words: list[str], at: np.ndarray) -> list[bytes]:
         """Ids of each word; ``at`` draws what it skips."""
-        if self.held > 2 * MEMORY_BYTES:
+        if self.held > MEMORY_BYTES:
             self._forget()
         number = list(map(self.number.get, words))
         if None in number:
