@@ -7,7 +7,10 @@ from array import array
 from functools import lru_cache
 from unicodedata import category
 
-from vintagemill.llm.memory import MEMORY_BYTES, ByteMemory
+from vintagemill.llm.memory import ByteMemory
+
+#: About so many bytes of words and their ids are held; this changes no ids.
+MEMORY_BYTES = 200 << 20
 
 # byte-level vocabularies write a byte that is no printable Latin-1 sign as the next sign from U+0100 on
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
