@@ -356,6 +356,37 @@ def test_near_vectors(spark, frame, monkeypatch, block):
     assert cap_filters.near_vectors(frame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 16, 4])
+def test_links_through_filters_against_all_pairs(spark, frame, monkeypatch, dim):
+    rng = np.random.default_rng(dim)
+    base = rng.normal(size=(300, dim))
+    near = base[rng.integers(0, 60, 400)] + rng.normal(size=(400, dim)) * rng.uniform(0.05, 0.6, (400, 1))
+    vectors = np.vstack([base, near, base[:40]]).astype(np.float32)
+    used, settings = [], cap_filters.settings
+    monkeypatch.setattr(cap_filters, "settings", lambda *a: used.append(settings(*a)) or used[-1])
+    found = {r.vec_id: r for r in cap_filters.near_vectors(frame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")).collect()}
+    assert used and all(size > 1 for size, _ in used)
+    units = cap_filters.unit(vectors.astype(np.float64))
+    linked = units @ units.T >= 0.9
+    np.fill_diagonal(linked, False)
+    n = np.array([found[i].n_links for i in range(len(vectors))])
+    assert (n <= linked.sum(1)).all() and n.sum() >= 0.98 * linked.sum()
+    top = np.arange(len(vectors))
+    for _ in range(len(vectors)):
+        new = np.minimum(top, np.where(linked, top, len(top)).min(1))
+        if (new == top).all():
+            break
+        top = new
+    assert np.mean([found[i].component_id == t for i, t in enumerate(top)]) >= 0.98
+    assert all(found[i].component_id >= t for i, t in enumerate(top))
+
+
+def test_filters_do_not_depend_on_the_batch():
+    x = cap_filters.unit(np.random.default_rng(6).normal(size=(700, 50)))
+    whole = cap_filters.filters_of(x, 11, 20)
+    assert all((cap_filters.filters_of(x[lo: lo + n], 11, 20) == whole[lo: lo + n]).all() for lo, n in [(0, 1), (1, 2), (3, 97), (100, 600)])
+
+
 def test_filters_of_vectors_at_the_threshold():
     rng = np.random.default_rng(5)
     x = cap_filters.unit(rng.normal(size=(1500, 64)))
@@ -371,7 +402,7 @@ def test_filters_of_vectors_at_the_threshold():
     assert set(a[0].tolist()) == set(np.argsort(-every)[: cap_filters.CAPS].tolist())
 
 
-@pytest.mark.parametrize("dim,vectors", [(64, 65_000), (64, 1_000_000), (64, 10_500_000), (64, 200_000_000), (16, 1_000_000), (8, 65_000), (8, 1_000_000), (2, 10_000)])
+@pytest.mark.parametrize("dim,vectors", [(64, 65_000), (64, 1_000_000), (64, 10_500_000), (64, 200_000_000), (16, 1_000_000), (8, 65_000), (8, 1_000_000), (2, 10_000), (64, 500), (16, 40), (4, 2_000)])
 def test_recall_at_the_threshold_does_not_fall(dim, vectors):
     size, caps = cap_filters.settings(dim, vectors)
     x, y = cap_filters.pairs_at(0.9, dim, 600, seed=99)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +26,11 @@ SEED = 11
 
 _SMALLEST_CODE, _LARGEST_CODE = 8, 128
 _CODES = (2, 3, 4, 6, 8, 11, 16, 23, 32, 45, 64, 91, 128)
+#: Numbers are whole steps of 1/65,536 while filters are decoded: all sums are exact then, so a vector's filters
+#: do not depend on the rows it is decoded with.
+_STEPS = 65_536.0
+#: A filter's key is its number and, above these bits, the dimension.
+_DIM_BITS = 40
 #: Most filters a vector may be in, and random pairs that recall is measured on.
 _MOST_CAPS, _PAIRS = 512, 1_000
 
@@ -37,11 +42,11 @@ def code_size(vectors: int) -> int:
 
 @lru_cache(maxsize=8)
 def _code(dim: int, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """A random rotation and the unit code words of each part."""
+    """A random rotation and the unit code words of each part, in whole steps."""
     rng = np.random.default_rng([seed, dim, size])
     rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
     words = rng.normal(size=(PARTS, size, dim // PARTS))
-    return rotation, words / np.linalg.norm(words, axis=2, keepdims=True)
+    return np.rint(rotation * _STEPS), np.rint(words / np.linalg.norm(words, axis=2, keepdims=True) * _STEPS)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -73,7 +78,7 @@ def _ranked_filters(units: np.ndarray, size: int, caps: int, seed: int = SEED) -
     """As ``filters_of``, best first: the first filters are those of smaller ``caps``."""
     n, dim = units.shape
     padded = np.zeros((n, -(-dim // PARTS) * PARTS))
-    padded[:, :dim] = units
+    padded[:, :dim] = np.rint(units * _STEPS)
     rotation, words = _code(padded.shape[1], size, seed)
     scores = np.einsum("npd,pcd->npc", (padded @ rotation).reshape(n, PARTS, -1), words)
 
@@ -119,47 +124,50 @@ def caps_for(size: int, dim: int, cosine: float, recall: float = RECALL) -> int
 def settings(dim: int, vectors: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
     """Code words a part and filters a vector for this recall, at least cost in microseconds a vector.
 
-    More filters are emptier, but each vector must be in more of them.  One filter for
-    all is exact; it is taken for few vectors, and where no code reaches the recall.
+    More filters are emptier, but each vector must be in more of them.  Few vectors go
+    through filters as many do.  Only where no code reaches the recall with 512 filters (one
+    dimension, a cosine of 1) one filter holds all vectors: exact, at the square of their number.
     """
-    if vectors <= BLOCK:
-        return 1, 1
-
     def cost(size: int, caps: int) -> float:
         members = vectors * caps / size**PARTS
         rows = caps * math.ceil(members / BLOCK)
-        return rows * (6 + 0.01 * (2 * caps + 4 * dim)) + caps * members * (0.005 + 0.0004 * dim) + 0.02 * size * size
+        return rows * (6 + 0.04 * dim) + caps * members * (0.005 + 0.0004 * dim) + 0.02 * size * size
 
-    found = [(1, 1)]
+    found = []
     for size in _CODES:
         caps = caps_for(size, dim, cosine, recall) if size <= 2 * code_size(vectors) else None
         if caps is None:  # larger codes take more filters still
             break
         found.append((size, caps))
-    return min(found, key=lambda x: cost(*x))
+    return min(found, key=lambda x: cost(*x), default=(1, 1))
+
+
+def _filters(vectors: Sequence, size: int, caps: int) -> np.ndarray:
+    """The sorted filters of each of these vectors of one length; number 0 alone if there is no code."""
+    if size == 1:
+        return np.zeros((len(vectors), 1), np.int64)
+    return filters_of(unit(np.array(list(vectors), np.float64)), size, caps)
 
 
 def _rows_by_filter(vectors: DataFrame, chosen: dict[int, tuple[int, int]]) -> DataFrame:
-    """One row for each vector and filter: filter, node, copies, vector, and the vector's filters of smaller numbers.
+    """One row for each vector and filter: filter, node, copies, vector.
 
-    ``chosen`` has the code size and the filters a vector for each dimension; where it has none, one filter holds all.
+    ``chosen`` has the code size and the filters a vector for each dimension of two vectors or more.
     """
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, same in batch.groupby(batch["vector"].map(len)):
-                size, caps = chosen.get(int(dim), (1, 1))
+                if int(dim) not in chosen:
+                    continue
                 for lo in range(0, len(same), 500):
                     some = same.iloc[lo: lo + 500]
-                    found = filters_of(unit(np.array(some["vector"].tolist(), np.float64)), size, caps) if size > 1 else np.zeros((len(some), 1), np.int64)
-                    at = np.repeat(np.arange(len(some)), [len(f) for f in found])
-                    if len(at):
-                        rows = some.iloc[at]
-                        yield pd.DataFrame({"filter": (np.int64(dim) << 40) + np.concatenate(found), "node": rows["node"].to_numpy(),
-                                            "copies": rows["copies"].to_numpy(), "vector": rows["vector"].to_numpy(),
-                                            "filters": [f[:k].astype(np.int32) for f in found for k in range(len(f))]})
+                    found = _filters(some["vector"], *chosen[int(dim)])
+                    rows = some.iloc[np.repeat(np.arange(len(some)), found.shape[1])]
+                    yield pd.DataFrame({"filter": (np.int64(dim) << _DIM_BITS) + found.ravel(), "node": rows["node"].to_numpy(),
+                                        "copies": rows["copies"].to_numpy(), "vector": rows["vector"].to_numpy()})
 
     kind = vectors.schema["vector"].dataType.simpleString()
-    return vectors.mapInPandas(decode, f"filter long, node long, copies long, vector {kind}, filters array<int>")
+    return vectors.mapInPandas(decode, f"filter long, node long, copies long, vector {kind}")
 
 
 def _share(sets: list[np.ndarray]) -> np.ndarray:
@@ -178,9 +186,11 @@ def _share(sets: list[np.ndarray]) -> np.ndarray:
     return share
 
 
-def _links(rows: DataFrame, cosine: float) -> DataFrame:
+def _links(rows: DataFrame, cosine: float, chosen: dict[int, tuple[int, int]]) -> DataFrame:
     """(node, n, other): how many vectors each node is linked with, counted in the first filter of a pair only,
-    and edges that connect all linked nodes."""
+    and edges that connect all linked nodes.
+
+    Only vectors with a link are decoded again, for the filters of smaller numbers that they are in."""
     keys = ["filter", "_a", "_b"]
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,7 +207,9 @@ def _links(rows: DataFrame, cosine: float) -> DataFrame:
                 continue
             linked = linked[np.ix_(some, some)]
             node, copies = group["node"][some], group["copies"][some]
-            n = (linked & ~_share(list(group["filters"][some]))) @ copies
+            dim, this = divmod(int(group["filter"][0]), 1 << _DIM_BITS)
+            every = np.vstack([_filters(group["vector"][some[lo: lo + 500]], *chosen[dim]) for lo in range(0, len(some), 500)])
+            n = (linked & ~_share([f[f < this] for f in every])) @ copies
             groups, edges = Groups(len(some)), []
             for i in range(len(some)):
                 edges += [(i, j) for j in groups.join(i, np.flatnonzero(linked[i]))]
@@ -214,7 +226,7 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, recall: float =
     Two vectors are linked if some filter holds both and their cosine, in double
     precision, is at least ``cosine``; there are no false links, and a pair near the
     threshold is missed only if no filter holds both, which at the threshold exactly
-    befalls one in a hundred by ``recall``, and none where there are few vectors.  Equal vectors are one node with
+    befalls one in a hundred by ``recall``, for few vectors as for many.  Equal vectors are one node with
     a number of copies: n_links counts the other vectors, copies too.  component_id is
     the smallest vec_id reachable by links; that vector is kept.  Each pair is counted
     in its first common filter, so no pairs leave the tasks.
@@ -230,9 +242,9 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, recall: float =
     valid = rows.where(F.coalesce(fine, F.lit(False))).withColumn("vector", F.transform("embedding", lambda x: x + F.lit(0).cast("float")))
     nodes = materialise(valid.groupBy("vector").agg(F.count("*").alias("copies"), F.min("vec_id").alias("rep"))
                         .withColumn("node", F.monotonically_increasing_id()), "vectors")
-    many = nodes.groupBy(F.size("vector").alias("dim")).count().where(F.col("count") > BLOCK).collect()
+    many = nodes.groupBy(F.size("vector").alias("dim")).count().where("count > 1").collect()
     chosen = {r["dim"]: settings(r["dim"], r["count"], cosine, recall) for r in many}
-    found = materialise(_links(_rows_by_filter(nodes, chosen), cosine), "vector-links")
+    found = materialise(_links(_rows_by_filter(nodes, chosen), cosine, chosen), "vector-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     groups = connected(found.select(F.col("node").alias("u"), F.col("other").alias("v")).distinct())
     of_node = nodes.join(counts, "node", "left").join(groups, "node", "left")
