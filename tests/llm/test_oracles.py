@@ -5,7 +5,7 @@ import pandas as pd
 
 import corpus_pipeline
 from checks.run import differences
-from tests.llm.test_text_groups import PAGES, some_texts
+from tests.llm.test_text_groups import LINK_FORMS, PAGES, some_texts
 from vintagemill.llm.queries import ORACLES, QUERIES
 
 
@@ -17,7 +17,7 @@ def compare(spark, tmp_path, name, table, df):
 
 
 def test_url_filter_oracle(spark, tmp_path):
-    compare(spark, tmp_path, "op1_url_filter", "pages", spark.createDataFrame(PAGES, "page_id int, url string, html string"))
+    compare(spark, tmp_path, "op1_url_filter", "pages", spark.createDataFrame(PAGES + [r[:3] for r in LINK_FORMS], "page_id int, url string, html string"))
 
 
 def test_near_duplicate_oracle(spark, tmp_path):

@@ -67,7 +67,40 @@ def test_url_filter(spark, frame):
     }
     by = {r.page_id: r for r in found}
     assert by[1].by_alias and not by[2].by_alias and len(found) == len(PAGES)
-    assert by[3].alias_of == by[4].alias_of == "c.org" and by[7].alias_of == by[8].alias_of
+    assert by[3].alias_of == by[4].alias_of == "c.org/" and by[7].alias_of == by[8].alias_of
+
+
+LINK_FORMS = [
+    (1, "http://a.org/1", '<link rel="nofollow  Canonical" href="http://z.net/fr/">', "block"),  # rel is a list
+    (2, "http://p.net/de/y/z?k", '<link rel=canonical href="../../fr/x">', "block"),  # dot segments
+    (3, "http://a.org/3", '<link data-href="http://z.net/fr/" rel=canonical href="http://ok.org/3">', "allow"),
+    (4, "http://a.org/4", '<link data-href="http://ok.org/4" rel=canonical href="http://z.net/fr/4">', "block"),
+    (5, "http://a.org/5", '<!-- <link rel=canonical href="http://z.net/fr/"> --><p>', "allow"),
+    (6, "http://a.org/6", '<!-- x --><link title="a rel=canonical" rel=next href="http://z.net/fr/"><!-- <link', "allow"),
+    (7, "http://q.org", '<link rel=canonical href="http://z.net/fr/7">', "block"),
+    (8, "http://q.org/", None, "block"),  # an empty path is / in links
+    (9, "http://a.org/9", "<meta content=\" 0 ; URL='http://z.net/./fr/9' \" http-equiv=' Refresh '>", "block"),
+    (10, "http://a.org/10", '<link rel=canonical href="mailto:x@z.net/fr/"><link rel="canonical" href="http://z.net/fr/10">', "allow"),  # the first canonical link counts, and is no URL
+    (11, "http://a.org/11", '<link rel=canonical href><link rel=canonical href="" ><link href= "\n http://z.net/fr/11 " rel=canonical/>', "allow"),
+    (12, "http://a.org/../a.org/./12", '<link rel=canonical href="..">', "allow"),
+    (13, "http://a.org/13", '<link rel="canonical" href="http://z.net/fr/13', "allow"),  # no tag without its end
+    (14, "http://a.org/14", "<link href= '\n http://z.net/fr/14 ' rel=canonical>", "block"),
+    (15, "http://a.org/15", "<link " + "a" * 300_000 + " " * 300_000 + "rel=canonical " + "x='" * 50_000 + "canonical>", "allow"),
+    (16, "http://a.org/16", "<link rel=canonical " + "<!--" * 100_000 + "<link rel=canonical href=http://z.net/fr/", "allow"),
+]
+
+
+def test_url_filter_forms_of_links(spark, frame):
+    rows = [r[:3] for r in LINK_FORMS]
+    found = url_filter.judge_urls(frame(rows, "page_id int, url string, html string"), url_filter.rule_table(spark, RULES)).collect()
+    assert {r.page_id: r.verdict for r in found} == {i: verdict for i, _, _, verdict in LINK_FORMS}
+    assert {r.page_id: r.path for r in found}[12] == "/../a.org/./12"
+
+
+def test_dot_segments(spark):
+    cases = {"": "/", "/": "/", "/a/./b/": "/a/b/", "/a/../b": "/b", "/a/..": "/", "/a/b/..": "/a/", "/../../x": "/x", "/a//../b": "/a/b", "/a/.": "/a/", "/a..b/.c": "/a..b/.c"}
+    rows = spark.createDataFrame([(p,) for p in cases], "path string")
+    assert {r.path: r.to for r in rows.select("path", url_filter._resolved(F.col("path")).alias("to")).collect()} == cases
 
 
 def test_url_filter_without_links_and_empty(spark, frame):
