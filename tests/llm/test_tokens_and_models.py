@@ -18,6 +18,7 @@ from vintagemill.llm import (
     pu_quality,
     trie_counts,
 )
+from vintagemill.llm.memory import AgingMemory
 from vintagemill.llm.tokens import WordMemory, tokenizer_path
 from vintagemill.session import fresh_path
 
@@ -42,6 +43,15 @@ def test_word_memory_gives_the_library_ids(name, monkeypatch):
     assert memory.first.held <= 4000 and memory.later.held <= 4000 and max(map(len, memory.later.known)) <= 64
 
 
+def test_words_come_back_from_the_older_half():
+    memory = AgingMemory(4000)
+    for i in range(200):
+        memory.keep({f"w{i}": b"%d" % i, "often": b"x"} if not i else {f"w{i}": b"%d" % i, **memory.recall({"often"})})
+        assert memory.recall({"often", f"w{i}", "never"}) == {"often": b"x", f"w{i}": b"%d" % i}
+        assert memory.held <= 2000 and len(memory.known) + len(memory.older) < 20
+    assert memory.recall({"w1"}) == {}
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     for ids in ([], [0], [255, 256, 70_000, 2**32 - 1, 5], rng.integers(0, 50_000, 5000), rng.integers(0, 200, 1500), [0] * 512):
@@ -428,4 +438,4 @@ def test_sets_that_share_a_value():
 def test_queries_are_registered():
     from vintagemill.llm.queries import ORACLES, QUERIES
 
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)

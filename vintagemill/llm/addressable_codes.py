@@ -23,6 +23,8 @@ from vintagemill.llm.batches import bound_batches
 from vintagemill.llm.tokens import encode_in_slices, tokenizer_path, word_memory
 
 SHARD_IDS = 1 << 18
+#: Bytes of words and their ids a worker holds while it encodes; it has no other use of memory than a shard.
+MEMORY_BYTES = 400 << 20
 END_ID = 0
 
 _MAGIC = b"DAC8"
@@ -109,7 +111,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
     vocabulary = tokenizer_path(tokenizer)
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, part, seq = word_memory(vocabulary), TaskContext.get().partitionId(), 0
+        memory, part, seq = word_memory(vocabulary, MEMORY_BYTES), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], "<u4").tobytes()
         held, index, size = [], [], 0
 

@@ -30,3 +30,21 @@ class ByteMemory:
             self.known, self.held = {}, 0
         self.known.update(short)
         self.held += size
+
+
+class AgingMemory(ByteMemory):
+    """Two halves of the bytes: what fills up becomes the older half, and words asked for again come back from there."""
+
+    def __init__(self, limit: int = MEMORY_BYTES):
+        super().__init__(limit // 2)
+        self.older: dict[str, bytes] = {}
+
+    def keep(self, found: Mapping[str, bytes]) -> None:
+        before = self.known
+        super().keep(found)
+        if self.known is not before:
+            self.older = before
+
+    def recall(self, words: set[str]) -> dict[str, bytes]:
+        """Those of the words that either half holds."""
+        return {w: half[w] for half in (self.older, self.known) for w in words & half.keys()}

@@ -7,7 +7,7 @@ from array import array
 from functools import lru_cache
 from unicodedata import category
 
-from vintagemill.llm.memory import ByteMemory
+from vintagemill.llm.memory import AgingMemory
 
 #: About so many bytes of words and their ids are held; this changes no ids.
 MEMORY_BYTES = 200 << 20
@@ -34,7 +34,7 @@ class WordMemory:
     letter is a pre-token of its own.  Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,17 +45,20 @@ class WordMemory:
         self.lowers = self._whole("A") == self._whole("a")
         self.line_end = array("I", self._whole("\n")).tobytes()
         self.ends = {c: array("I", self._whole(c)).tobytes() for c in ",."}
-        self.first = ByteMemory(MEMORY_BYTES // 8)  # ids of a word at the start of a line
-        self.later = ByteMemory(MEMORY_BYTES - MEMORY_BYTES // 8)  # ids of a word after a space
+        limit = limit or MEMORY_BYTES
+        self.first = AgingMemory(limit // 8)  # ids of a word at the start of a line
+        self.later = AgingMemory(limit - limit // 8)  # ids of a word after a space
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: set[str], lead: str) -> dict[str, bytes]:
+    def _learn(self, words: set[str], lead: str, memory: AgingMemory) -> dict[str, bytes]:
+        known = memory.recall(words)
+        words = words.difference(known)
         ended = {w for w in words if w[-1:] in self.ends and w[-2:-1].isalpha()}
-        other, found = [], {}
+        other, found = [], memory.recall({w[:-1] for w in ended})
         model, sign = self.tokenizer.model, lead.translate(_BYTE_SIGNS)
-        for word in {w[:-1] for w in ended} | words - ended:
+        for word in ({w[:-1] for w in ended} | words - ended).difference(found):
             if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one pre-token without composed forms: the model alone decides
                 form = word.lower() if self.lowers else word
                 spelled = sign + (form if form.isascii() else form.encode().decode("latin-1").translate(_BYTE_SIGNS))
@@ -64,8 +67,8 @@ class WordMemory:
                 other.append(word)
         encoded = self.tokenizer.encode_batch_fast([lead + w for w in other], add_special_tokens=False)
         found.update(zip(other, [array("I", e.ids).tobytes() for e in encoded]))
-        found.update((w, found[w[:-1]] + self.ends[w[-1]]) for w in ended)
-        return found
+        found.update([(w, found[w[:-1]] + self.ends[w[-1]]) for w in ended])
+        return found | known
 
     def encode(self, texts: list[str], after_space: bool = False) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; with a space put before it if ``after_space``."""
@@ -89,7 +92,7 @@ class WordMemory:
                     holes += found
                 lines.append(ids)
             out.append(lines)
-        learned = [self._learn({w for side, w, _, _ in holes if side == of}, lead) for of, lead in enumerate(("", self.lead))]
+        learned = [self._learn({w for side, w, _, _ in holes if side == of}, lead, memories[of]) for of, lead in enumerate(("", self.lead))]
         for side, word, ids, i in holes:
             ids[i] = learned[side][word]
         for memory, found in zip(memories, learned):
@@ -100,9 +103,9 @@ class WordMemory:
 
 
 @lru_cache(maxsize=2)
-def word_memory(path: str) -> WordMemory:
-    """One memory a worker and vocabulary."""
-    return WordMemory(path)
+def word_memory(path: str, limit: int | None = None) -> WordMemory:
+    """One memory a worker and vocabulary, of this many bytes."""
+    return WordMemory(path, limit)
 
 
 def encode_in_slices(memory: WordMemory, texts: list[str], chars: int = 2_000_000) -> list[bytes]:
