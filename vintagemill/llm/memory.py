@@ -21,9 +21,11 @@ class ByteMemory:
 
     def keep(self, found: Mapping[str, bytes]) -> None:
         """Adds short words; ``known`` may be a new dictionary afterwards."""
-        short = {w: x for w, x in found.items() if len(w) <= LONGEST_KEPT}
-        wide = 1 if "".join(short).isascii() else 4
-        size = sum(_ENTRY + wide * len(w) + len(x) for w, x in short.items())
+        short = found
+        if found and max(map(len, found)) > LONGEST_KEPT:
+            short = {w: x for w, x in found.items() if len(w) <= LONGEST_KEPT}
+        signs = "".join(short)
+        size = _ENTRY * len(short) + (1 if signs.isascii() else 4) * len(signs) + sum(map(len, short.values()))
         if size > self.limit:
             return
         if self.held + size > self.limit:
