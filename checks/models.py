@@ -39,9 +39,7 @@ def saved(df: DataFrame, name: str) -> str:
     return path
 
 
-# --- training (fitted models have no SQL form: rows only)
-
-SMALL = dict(maxIter=6, maxDepth=4)
+# --- training (large fitted models have no SQL form: rows only)
 
 
 def _metrics(model: training.CreditModel, test: DataFrame) -> DataFrame:
@@ -101,22 +99,38 @@ def _(spark, folder):
 
 @query("m2_boosted_trees_mixed")
 def _(spark, folder):
-    model = training.fit_mixed_trees(split(spark, folder, "train"), split(spark, folder, "valid"), **SMALL)
+    model = training.fit_mixed_trees(split(spark, folder, "train"), split(spark, folder, "valid"))
     return _metrics(model, split(spark, folder, "test"))
 
 
 @query("m3_boosted_trees")
 def _(spark, folder):
-    model = training.fit_boosted_trees(split(spark, folder, "train"), split(spark, folder, "valid"), **SMALL)
+    model = training.fit_boosted_trees(split(spark, folder, "train"), split(spark, folder, "valid"))
     return _metrics(model, split(spark, folder, "test"))
 
 
+@query("m3_one_split", oracle("""
+SELECT loan_id, vintage_q, CASE WHEN default_within_24m THEN 1 ELSE 0 END AS y_true,
+       ROUND(1 / (1 + exp(-2 * CASE WHEN CASE f WHEN 'fico' THEN fico ELSE ltv END <= threshold THEN ls / ln ELSE rs / rn END)), 6) AS y_pred
+FROM clean, best WHERE split = 'test'""", "abt", **_logistic_sql(), **{
+    "counts": """SELECT f, v, COUNT(*) AS n, SUM(CASE WHEN y THEN 1.0E0 ELSE -1.0E0 END) AS s FROM (
+        SELECT 'fico' AS f, CAST(fico AS DOUBLE) AS v, default_within_24m AS y FROM clean WHERE split = 'train'
+        UNION ALL SELECT 'ltv', CAST(ltv AS DOUBLE), default_within_24m FROM clean WHERE split = 'train') GROUP BY 1, 2""",
+    "sides": """SELECT f, (v + LEAD(v) OVER w) / 2 AS threshold, SUM(n) OVER w AS ln, SUM(s) OVER w AS ls,
+        SUM(n) OVER (PARTITION BY f) - SUM(n) OVER w AS rn, SUM(s) OVER (PARTITION BY f) - SUM(s) OVER w AS rs
+        FROM counts WINDOW w AS (PARTITION BY f ORDER BY v)""",
+    "best": "SELECT * FROM sides WHERE ln >= 100 AND rn >= 100 ORDER BY ls * ls / ln + rs * rs / rn DESC LIMIT 1"}))
+def _(spark, folder):
+    """The split with the largest fall in variance and the value of each side: one round of one split on all values."""
+    train, test = split(spark, folder, "train"), split(spark, folder, "test")
+    model = training.fit_boosted_trees(
+        train, None, ["fico", "ltv"], maxIter=1, maxDepth=1, subsamplingRate=1.0, featureSubsetStrategy="all", maxBins=1024)
+    return rounded(training.predictions(model, test), "y_pred")
+
+
 @query("m4_random_search")
 def _(spark, folder):
-    space = {**training.SEARCH_SPACE, "minInstancesPerNode": [20, 50], "maxDepth": [2, 3]}
-    return training.random_search(
-        split(spark, folder, "train"), split(spark, folder, "valid"), draws=2, space=space, maxIter=3,
-        numeric=MODEL_NUMERIC)[1]
+    return training.random_search(split(spark, folder, "train"), split(spark, folder, "valid"), numeric=MODEL_NUMERIC)[1]
 
 
 @query("m5_sign_bounded_logistic")
@@ -163,7 +177,7 @@ def _(spark, folder):
 
 @query("m6_feature_importance")
 def _(spark, folder):
-    model = training.fit_boosted_trees(split(spark, folder, "train"), split(spark, folder, "valid"), **SMALL)
+    model = training.fit_boosted_trees(split(spark, folder, "train"), split(spark, folder, "valid"))
     return training.feature_importance(model)
 
 
@@ -370,28 +384,41 @@ def _(spark, folder):
 
 @query("c6_train_job")
 def _(spark, folder):
-    return jobs.train_trees(spark, feature_path(spark, folder), session.fresh_path(spark, "run"), MODEL_NUMERIC, **SMALL)
+    return jobs.train_trees(spark, feature_path(spark, folder), session.fresh_path(spark, "run"), MODEL_NUMERIC)
 
 
 _POS, _NEG = "COUNT(CASE WHEN default_within_24m THEN 1 END)", "COUNT(CASE WHEN NOT default_within_24m THEN 1 END)"
 
 
 @query("c6_baseline_job", oracle(f"""
-SELECT m.model, split, CAST(pos + CASE WHEN split = 'valid' THEN LEAST(neg, GREATEST(1, pos)) ELSE neg END AS BIGINT) AS n, pos AS positives
+SELECT m.model, split, CAST(pos + CASE WHEN split = 'valid' THEN LEAST(neg, GREATEST(1, 10 * pos)) ELSE neg END AS BIGINT) AS n, pos AS positives
 FROM (SELECT split, {_POS} AS pos, {_NEG} AS neg FROM s WHERE split IN ('valid', 'test') GROUP BY 1),
      (SELECT UNNEST(['logistic', 'trees']) AS model) m""", "abt", s=_S))
 def _(spark, folder):
-    """One negative per positive on train and valid; the number of rounds is an argument of the job, few here."""
+    """Ten negatives per positive on train and valid."""
     out = session.fresh_path(spark, "baseline")
-    metrics = jobs.train_baseline(spark, feature_path(spark, folder), out, MODEL_NUMERIC, negatives_per_positive=1.0, **SMALL)
+    metrics = jobs.train_baseline(spark, feature_path(spark, folder), out, MODEL_NUMERIC)
     return metrics.select("model", "split", F.col("n").cast("bigint").alias("n"), F.col("positives").cast("bigint").alias("positives"))
 
 
+@query("c6_tuned_job", oracle(f"""
+SELECT 'tuned' AS model, split, CAST({_POS} + {_NEG} AS BIGINT) AS n, {_POS} AS positives, 30 AS draws, 1 AS best, true AS best_is_largest
+FROM s WHERE split IN ('valid', 'test') GROUP BY 2""", "abt", s=_S))
+def _(spark, folder):
+    """Rows and positives the tuned model was judged on, beside the number of draws and what was called best."""
+    out = session.fresh_path(spark, "tuned")
+    metrics = jobs.train_tuned(spark, feature_path(spark, folder), out, MODEL_NUMERIC)
+    log = spark.read.option("header", True).schema("draw int, settings string, ks double, best boolean").csv(f"{out}/draws")
+    drawn = log.agg(F.count_distinct("settings").cast("int").alias("draws"), F.count_if("best").cast("int").alias("best"),
+                    (F.max(F.when(F.col("best"), F.col("ks"))) == F.max("ks")).alias("best_is_largest"))
+    return metrics.select("model", "split", *[F.col(c).cast("bigint").alias(c) for c in ("n", "positives")]).crossJoin(drawn)
+
+
 @query("c7_score_and_calibrate_job")
 def _(spark, folder):
     run = session.fresh_path(spark, "run")
     path = feature_path(spark, folder)
-    jobs.train_trees(spark, path, run, MODEL_NUMERIC, maxIter=4, maxDepth=3)
+    jobs.train_trees(spark, path, run, MODEL_NUMERIC)
     recent = f"{run}/recent_predictions"
     jobs.score_recent(spark, run, path, recent)
     return jobs.calibrate(spark, run, f"{run}/calibrated", recent)

@@ -8,9 +8,11 @@ import re
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -36,6 +38,12 @@ SEARCH_SPACE = {
 }
 
 
+TREE_SETTINGS = dict(
+    maxIter=100, maxDepth=6, stepSize=0.03, subsamplingRate=0.85, featureSubsetStrategy="0.85",
+    minInstancesPerNode=100, seed=42, maxBins=64, validationTol=0.01,
+)
+
+
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Class-imbalance weights in one row.
 
@@ -168,6 +176,11 @@ def linear_terms(model: CreditModel) -> dict[str, tuple[float, float]]:
     }
 
 
+def _booster(with_valid: bool, settings: Mapping) -> GBTClassifier:
+    held_out = {"validationIndicatorCol": "_held_out"} if with_valid else {}
+    return GBTClassifier(labelCol="_y", weightCol="_w", featuresCol="features", **held_out, **settings)
+
+
 def fit_boosted_trees(
     train: DataFrame,
     valid: DataFrame | None = None,
@@ -188,10 +201,7 @@ def fit_boosted_trees(
     categorical = tuple(c for c in categorical if c in train.columns)
     model = CreditModel(None, numeric, dict(medians) if medians is not None else features.median_values(train, numeric), categorical)
     frame = _training_frame(train, valid, model, label, positive_weight)
-    settings = dict(
-        maxIter=100, maxDepth=6, stepSize=0.03, subsamplingRate=0.85, featureSubsetStrategy="0.85",
-        minInstancesPerNode=100, seed=42, maxBins=64, validationTol=stop_gain,
-    ) | params
+    settings = TREE_SETTINGS | {"validationTol": stop_gain} | params
     indexers = []
     if categorical:
         # Category counts bound the number of bins a split may look at.
@@ -200,10 +210,7 @@ def fit_boosted_trees(
         ).fit(frame.filter(~F.col("_held_out")))
         settings["maxBins"] = max(settings["maxBins"], 2 + max(len(x) for x in indexer.labelsArray))
         indexers = [indexer]
-    booster = GBTClassifier(
-        labelCol="_y", weightCol="_w", featuresCol="features",
-        **({"validationIndicatorCol": "_held_out"} if valid is not None else {}), **settings,
-    )
+    booster = _booster(valid is not None, settings)
     assembler = VectorAssembler(inputCols=[*numeric, *[f"_ix_{c}" for c in categorical]], outputCol="features")
     model.pipeline = Pipeline(stages=[*indexers, assembler, booster]).fit(frame)
     return model
@@ -251,25 +258,38 @@ def sample_settings(space: Mapping[str, Sequence], draws: int, seed: int = 42) -
 
 def random_search(
     train: DataFrame, valid: DataFrame, draws: int = 30, seed: int = 42, space: Mapping[str, Sequence] = SEARCH_SPACE,
-    label: str = LABEL, numeric: Sequence[str] | None = None, **fixed,
+    label: str = LABEL, numeric: Sequence[str] | None = None, at_once: int = 4, **fixed,
 ) -> tuple[CreditModel, DataFrame]:
-    """Best model by validation KS, and the table of all draws."""
+    """Best model by validation KS, and the table of all draws; of equal ones the first drawn is best.
+
+    The assembled rows are written once; ``at_once`` draws are fitted and judged on them side by side.
+    """
     base = class_weights(train, label).first()["odds_weight"]
-    evaluator = KolmogorovSmirnov()
     numeric = list(numeric or columns.numeric_features(train))
-    medians = features.median_values(train, numeric)
-    best, best_ks, log = None, float("-inf"), []
-    for i, settings in enumerate(sample_settings(space, draws, seed), 1):
-        scale = settings.pop("weight_scale", 1.0)
-        model = fit_boosted_trees(train, valid, numeric, (), label, base * scale, medians, **{**settings, **fixed})
+    model = CreditModel(None, numeric, features.median_values(train, numeric))
+    assembler = VectorAssembler(inputCols=numeric, outputCol="features")
+    frame = assembler.transform(_training_frame(train, valid, model, label, None))
+    ready = session.materialise(frame.select("features", "_y", "_held_out"), "search")
+    evaluator = KolmogorovSmirnov()
+
+    def draw(settings: Mapping) -> tuple[GBTClassificationModel, float]:
+        chosen = {k: v for k, v in settings.items() if k != "weight_scale"}
+        weight = F.when(F.col("_y") == 1, F.lit(base * settings.get("weight_scale", 1.0))).otherwise(1.0)
+        fitted = _booster(True, TREE_SETTINGS | chosen | fixed).fit(ready.withColumn("_w", weight))
+        scored = fitted.transform(ready.filter("_held_out")).select(
+            F.col("_y").cast("int").alias("y_true"), F.element_at(vector_to_array("probability"), 2).alias("y_pred"))
         # written, as the metric reads it twice
-        scored = session.materialise(predictions(model, valid, label), "draw")
-        ks = evaluator.evaluate(scored)
-        log.append((i, str({**settings, "weight_scale": scale}), float(ks)))
-        if ks > best_ks:
-            best, best_ks = model, ks
+        return fitted, float(evaluator.evaluate(session.materialise(scored, "draw")))
+
+    best, log, drawn = None, [], sample_settings(space, draws, seed)
+    with ThreadPool(at_once) as pool:
+        results = pool.imap(inheritable_thread_target(train.sparkSession)(draw), drawn)
+        for i, (settings, (fitted, ks)) in enumerate(zip(drawn, results), 1):
+            log.append((i, str(settings), ks))
+            if best is None or ks > log[best - 1][2]:
+                best, model.pipeline = i, PipelineModel([assembler, fitted])
     table = train.sparkSession.createDataFrame(log, "draw int, settings string, ks double")
-    return best, table.withColumn("best", F.col("ks") == F.lit(best_ks))
+    return model, table.withColumn("best", F.col("draw") == F.lit(best))
 
 
 def predictions(model: CreditModel, df: DataFrame, label: str = LABEL, keys: Sequence[str] = ("loan_id", "vintage_q")) -> DataFrame:
