@@ -235,6 +235,10 @@ def _leaf_of(tree: int, leaf: int) -> float:
     return ((tree * 5 + leaf * 3) % 11 - 6) / 64
 
 
+def _leaf_rows(tree: int, leaf: int) -> int:
+    return 1 + (tree * 3 + leaf * 5) % 7
+
+
 def _tree_text() -> str:
     """Seven inner nodes a tree, numbered from the root by level, and eight leaves."""
     blocks = []
@@ -242,7 +246,7 @@ def _tree_text() -> str:
         splits = [_split_of(t, n) for n in range(7)]
         child = [[2 * n + side if n < 3 else -(2 * (n - 3) + side) for n in range(7)] for side in (1, 2)]
         lines = {"num_leaves": [8], "num_cat": [0], "split_feature": [i for i, _, _ in splits], "threshold": [v for _, _, v in splits],
-                 "decision_type": [2] * 7, "left_child": child[0], "right_child": child[1], "leaf_value": [_leaf_of(t, k) for k in range(8)]}
+                 "decision_type": [2] * 7, "left_child": child[0], "right_child": child[1], "leaf_value": [_leaf_of(t, k) for k in range(8)], "leaf_count": [_leaf_rows(t, k) for k in range(8)]}
         blocks.append(f"Tree={t}\n" + "\n".join(f"{k}={' '.join(map(str, v))}" for k, v in lines.items()))
     head = "tree\nobjective=binary sigmoid:1\nfeature_names=" + " ".join(_FILE_FEATURES)
     return "\n\n".join([head, *blocks, "end of trees"])
@@ -262,12 +266,48 @@ def _tree_sql() -> str:
 SELECT loan_id, ROUND(1 / (1 + exp(-({_tree_sql()}))), 6) AS pd_raw
 FROM (SELECT loan_id, fico, ltv, orig_rate, COALESCE(dti, {_MED}) AS dti FROM s WHERE split = 'recent')""", "abt", s=_S))
 def _(spark, folder):
-    model, table_, out = (session.fresh_path(spark, n) for n in ("tree-file", "splits", "scored"))
-    spark.createDataFrame([(_tree_text(),)], "value string").coalesce(1).write.text(model)
+    model, table_, out = _tree_file(spark), session.fresh_path(spark, "splits"), session.fresh_path(spark, "scored")
     tables.write_dataset(split_abt(spark, folder), table_, ["split"])
     return rounded(jobs.score_with_tree_file(spark, model, table_, out).select("loan_id", "pd_raw"), "pd_raw")
 
 
+def _push_sql(feature: str) -> str:
+    """What a feature adds along the path: the change of the leaves' mean below each node that asks for it."""
+    def below(t: int, n: int) -> list[int]:
+        return [n - 7] if n > 6 else below(t, 2 * n + 1) + below(t, 2 * n + 2)
+
+    def mean(t: int, n: int) -> float:
+        rows = [_leaf_rows(t, k) for k in below(t, n)]
+        return sum(r * _leaf_of(t, k) for r, k in zip(rows, below(t, n))) / sum(rows)
+
+    def walk(t: int, n: int) -> str:
+        if n > 6:
+            return "0E0"
+        _, name, value = _split_of(t, n)
+        sides = [f"{mean(t, c) - mean(t, n) if name == feature else 0.0!r}::DOUBLE + {walk(t, c)}" for c in (2 * n + 1, 2 * n + 2)]
+        return f"CASE WHEN {name} <= {value!r}E0 THEN {sides[0]} ELSE {sides[1]} END"
+
+    return " + ".join(f"({walk(t, 0)})" for t in range(_FILE_TREES))
+
+
+def _tree_file(spark: SparkSession) -> str:
+    path = session.fresh_path(spark, "tree-file")
+    spark.createDataFrame([(_tree_text(),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+# contributions that are equal but for rounding may swap ranks, so ranks are left to the tests
+@query("m15_tree_reason_codes", oracle("""
+SELECT loan_id, feature, value, ROUND(push, 6) AS contribution FROM (""" + " UNION ALL ".join(
+    f"SELECT loan_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, {_push_sql(f)} AS push FROM filled" for f in _FILE_FEATURES) + ")",
+    "abt", filled="SELECT loan_id, fico, ltv, COALESCE(dti, 0) AS dti, orig_rate FROM abt"))
+def _(spark, folder):
+    """Every feature's contribution: the model has fewer than eight."""
+    model = scoring.read_tree_file(spark, _tree_file(spark))
+    filled = abt(spark, folder).fillna(0, ["dti"])
+    return rounded(scoring.tree_reason_codes(filled, model).drop("rank"), "contribution")
+
+
 @query("m9_score_cohort", oracle(f"""
 SELECT loan_id, orig_date, msa, ROUND({_trees('fico', f'COALESCE(dti, {_MED})', 'ltv', 'orig_rate')}, 6) AS pd_raw
 FROM s WHERE split = 'recent'""", "abt", s=_S))

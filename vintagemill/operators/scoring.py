@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,7 +15,7 @@ from vintagemill.operators import columns, features
 
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, default_left boolean, "
-    "missing string, value double"
+    "missing string, value double, count double"
 )
 
 
@@ -33,6 +33,26 @@ class Node:
     # "zero_default": so does a 0.
     missing: str = "zero"
     value: float | None = None
+    # training rows of a leaf, where the model knows them
+    count: float | None = None
+
+
+def _descend(
+    x: np.ndarray, root: int, leaf: np.ndarray, feature: np.ndarray, threshold: np.ndarray, left: np.ndarray,
+    right: np.ndarray, default_left: np.ndarray, as_zero: np.ndarray, zero_gap: np.ndarray,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, their nodes, their next nodes) of a batch, one level of a tree after another."""
+    rows = np.arange(0 if leaf[root] else len(x))
+    here = np.full(len(rows), root)
+    while rows.size:
+        v = x[rows, feature[here]]
+        gap = np.isnan(v) | (zero_gap[here] & (v == 0))
+        go = np.where(gap & as_zero[here], 0.0, v) <= threshold[here]
+        go = np.where(gap & ~as_zero[here], default_left[here], go)
+        there = np.where(go, left[here], right[here])
+        yield rows, here, there
+        inner = ~leaf[there]
+        rows, here = rows[inner], there[inner]
 
 
 @dataclass
@@ -67,17 +87,15 @@ class TreeEnsemble:
             total = total + self._walk(tree, root)
         return total
 
-    def raw_vectorised(self) -> Column:
-        """The same sum over Arrow batches; its cost grows with the depth of the trees, not their nodes."""
-        names = list(self.features)
-        position = {f: i for i, f in enumerate(names)}
+    def _packed(self) -> list[tuple]:
+        """Each tree as arrays over its nodes, the root's place first."""
+        position = {f: i for i, f in enumerate(self.features)}
         packed = []
         for tree, root in zip(self.trees, self.roots):
             order = {n: i for i, n in enumerate(tree)}
             nodes = list(tree.values())
-            leaf = np.array([n.feature is None for n in nodes])
             packed.append((
-                order[root], leaf,
+                order[root], np.array([n.feature is None for n in nodes]),
                 np.array([position.get(n.feature, 0) for n in nodes]),
                 np.array([0.0 if n.threshold is None else n.threshold for n in nodes]),
                 np.array([order[n.left] if n.left is not None else -1 for n in nodes]),
@@ -87,27 +105,75 @@ class TreeEnsemble:
                 np.array([n.missing == "zero_default" for n in nodes]),
                 np.array([0.0 if n.value is None else n.value for n in nodes]),
             ))
+        return packed
+
+    def _inputs(self) -> Column:
+        return F.struct(*[F.col(f).cast("double").alias(f) for f in self.features])
+
+    def raw_vectorised(self) -> Column:
+        """The same sum over Arrow batches; its cost grows with the depth of the trees, not their nodes."""
+        packed = self._packed()
 
         @F.pandas_udf("double")
         def evaluate(table: pd.DataFrame) -> pd.Series:
             x = table.to_numpy(dtype=float)
-            rows = np.arange(len(x))
             total = np.zeros(len(x))
-            for root, leaf, feature, threshold, left, right, default_left, as_zero, zero_gap, value in packed:
+            for root, *nodes, value in packed:
                 at = np.full(len(x), root)
-                open_rows = rows[~leaf[at]]
-                while open_rows.size:
-                    here = at[open_rows]
-                    v = x[open_rows, feature[here]]
-                    gap = np.isnan(v) | (zero_gap[here] & (v == 0))
-                    go = np.where(gap & as_zero[here], 0.0, v) <= threshold[here]
-                    go = np.where(gap & ~as_zero[here], default_left[here], go)
-                    at[open_rows] = np.where(go, left[here], right[here])
-                    open_rows = open_rows[~leaf[at[open_rows]]]
+                for rows, _, there in _descend(x, root, *nodes):
+                    at[rows] = there
                 total += value[at]
             return pd.Series(total)
 
-        return evaluate(F.struct(*[F.col(f).cast("double").alias(f) for f in names]))
+        return evaluate(self._inputs())
+
+    def expected(self) -> list[dict[int, float]]:
+        """For each tree the mean value of the training rows that reached a node, from the leaves' counts."""
+        found = []
+        for tree, root in zip(self.trees, self.roots):
+            means: dict[int, float] = {}
+            sizes: dict[int, float] = {}
+            waiting = [root]
+            while waiting:  # children before parents, without recursion
+                node = tree[waiting[-1]]
+                if node.feature is None:
+                    if node.count is None:
+                        raise ValueError("contributions need the training rows of each leaf")
+                    means[node.node], sizes[node.node] = node.value, node.count
+                elif node.left not in means or node.right not in means:
+                    waiting += [n for n in (node.left, node.right) if n not in means]
+                    continue
+                else:
+                    n = sizes[node.node] = sizes[node.left] + sizes[node.right]
+                    sums = means[node.left] * sizes[node.left] + means[node.right] * sizes[node.right]
+                    means[node.node] = sums / n if n else 0.0
+                waiting.pop()
+            found.append(means)
+        return found
+
+    def base(self) -> float:
+        """What every row's raw score starts from: the expected values of the roots."""
+        return float(sum(means[root] for means, root in zip(self.expected(), self.roots)))
+
+    def contributions(self) -> Column:
+        """array<double>: what each feature adds to the raw score, in the order of ``features``.
+
+        A step from a node to its child changes the expected value; the change goes to the
+        node's feature.  All of a row add up to its raw score less ``base``.
+        """
+        packed = [(*tree[:-1], np.array([means[n] for n in nodes]))
+                  for tree, means, nodes in zip(self._packed(), self.expected(), self.trees)]
+
+        @F.pandas_udf("array<double>")
+        def evaluate(table: pd.DataFrame) -> pd.Series:
+            x = table.to_numpy(dtype=float)
+            pushes = np.zeros(x.shape)
+            for root, leaf, feature, *nodes, mean in packed:
+                for rows, here, there in _descend(x, root, leaf, feature, *nodes):
+                    pushes[rows, feature[here]] += mean[there] - mean[here]
+            return pd.Series(list(pushes))
+
+        return evaluate(self._inputs())
 
     def probability(self, method: str = "vectorised") -> Column:
         if method not in ("vectorised", "expression"):
@@ -118,7 +184,7 @@ class TreeEnsemble:
     def node_table(self, spark: SparkSession) -> DataFrame:
         """One row per node, to store a model as a dataset."""
         rows = [
-            (i, n.node, n.feature, n.threshold, n.left, n.right, n.default_left, n.missing, n.value)
+            (i, n.node, n.feature, n.threshold, n.left, n.right, n.default_left, n.missing, n.value, n.count)
             for i, tree in enumerate(self.trees) for n in tree.values()
         ]
         return spark.createDataFrame(rows, NODE_SCHEMA)
@@ -129,7 +195,8 @@ def ensemble_from_nodes(nodes: DataFrame, feature_order: Sequence[str], slope: f
     trees: dict[int, dict[int, Node]] = {}
     for r in nodes.collect():
         node = Node(
-            r["node"], r["feature"], r["threshold"], r["left"], r["right"], r["default_left"], r["missing"], r["value"])
+            r["node"], r["feature"], r["threshold"], r["left"], r["right"], r["default_left"], r["missing"], r["value"],
+            r["count"] if "count" in nodes.columns else None)
         trees.setdefault(r["tree"], {})[r["node"]] = node
     model = TreeEnsemble(list(feature_order), slope=slope)
     for i in sorted(trees):
@@ -165,7 +232,8 @@ def read_tree_file(spark: SparkSession, path: str) -> TreeEnsemble:
         if int(f.get("num_cat", 0)):
             raise ValueError("categorical splits are not supported")
         leaves = [float(v) for v in f["leaf_value"].split()]
-        tree = {-(i + 1): Node(-(i + 1), value=v) for i, v in enumerate(leaves)}
+        counts = [float(v) for v in f.get("leaf_count", "").split()] or [None] * len(leaves)
+        tree = {-(i + 1): Node(-(i + 1), value=v, count=n) for i, (v, n) in enumerate(zip(leaves, counts))}
         if len(leaves) > 1:
             columns_ = zip(*[f[k].split() for k in ("split_feature", "threshold", "left_child", "right_child", "decision_type")])
             for i, (feature, threshold, left, right, kind) in enumerate(columns_):
@@ -197,12 +265,24 @@ def reason_codes(
     ``terms`` maps a feature to its coefficient and mean; a missing value
     contributes nothing.
     """
-    parts = []
-    for name, (coefficient, mean) in terms.items():
-        push = F.coalesce(F.lit(coefficient) * (F.col(name) - F.lit(mean)), F.lit(0.0))
-        parts.append(F.struct(
-            (-F.abs(push)).alias("order"), F.lit(name).alias("feature"),
-            F.col(name).cast("double").alias("value"), push.alias("contribution")))
+    pushes = {name: F.coalesce(F.lit(coefficient) * (F.col(name) - F.lit(mean)), F.lit(0.0))
+              for name, (coefficient, mean) in terms.items()}
+    return _largest(df, pushes, key, k)
+
+
+def tree_reason_codes(df: DataFrame, model: TreeEnsemble, key: str = "loan_id", k: int = 8) -> DataFrame:
+    """(key, rank, feature, value, contribution): the ``k`` features that move a tree score most, in units of the raw score.
+
+    ``df`` holds the model's features; a missing value goes the way it does in scoring.
+    """
+    pushed = df.withColumn("_pushes", model.contributions())
+    return _largest(pushed, {f: F.get("_pushes", F.lit(i)) for i, f in enumerate(model.features)}, key, k)
+
+
+def _largest(df: DataFrame, pushes: Mapping[str, Column], key: str, k: int) -> DataFrame:
+    parts = [F.struct(
+        (-F.abs(push)).alias("order"), F.lit(name).alias("feature"),
+        F.col(name).cast("double").alias("value"), push.alias("contribution")) for name, push in pushes.items()]
     top = F.slice(F.sort_array(F.array(*parts)), 1, k)
     ranked = df.select(key, F.posexplode(top).alias("rank", "s"))
     return ranked.select(key, (F.col("rank") + 1).alias("rank"), "s.feature", "s.value", "s.contribution")
