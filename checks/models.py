@@ -478,6 +478,54 @@ def _(spark, folder):
     return spark.read.option("header", True).schema("threshold double, metric string, value double").csv(f"{out}/curve_long")
 
 
+_POINT = ["recall", "precision", "f1", "ks", "approve_rate"]
+_GRID = "0.05:0.95:0.05"
+
+
+@query("c8_policy_job_outputs", oracle("""
+SELECT output, ROUND(threshold, 6) AS threshold, metric, value FROM (SELECT output, threshold, metric, value FROM (UNPIVOT (
+    SELECT 'policy_curve' AS output, threshold, recall, precision, f1, ks, approve_rate FROM k
+    UNION ALL SELECT 'curve_wide', k.threshold, recall, precision, k.f1, ks, approve_rate FROM k, top WHERE k.threshold BETWEEN t - 0.11 AND t + 0.11
+    UNION ALL SELECT 'snapshot', k.threshold, recall, precision, k.f1, ks, approve_rate FROM k, top WHERE k.threshold = t)
+  ON recall, precision, f1, ks, approve_rate INTO NAME metric VALUE value)
+UNION ALL SELECT 'curve_approve', k.threshold, 'approve_rate', approve_rate FROM k, top WHERE k.threshold BETWEEN t - 0.11 AND t + 0.11
+UNION ALL SELECT 'policy_choice', t, 'f1', NULL FROM top)""", "preds", **{
+    **scores._CURVE_CTES,
+    "grid": "SELECT threshold, 1 AS pos FROM (SELECT UNNEST([" + ", ".join(f"{t!r}E0" for t in scores.policy.parse_grid(_GRID)) + "]) AS threshold)",
+    "top": "SELECT threshold AS t FROM k ORDER BY f1 DESC, threshold LIMIT 1"}))
+def _(spark, folder):
+    """Every output of the job but the one of c8_policy_job, in one long table."""
+    out = session.fresh_path(spark, "policy")
+    scored = saved(preds(spark, folder), "preds")
+    record = jobs.choose_policy(spark, scored, out, "y_pred", grid=_GRID, span=0.22)
+    parts = record.select(F.lit("policy_choice").alias("output"), "threshold", "metric", F.lit(None).cast("double").alias("value"))
+    for name in ("policy_curve", "curve_wide", "snapshot", "curve_approve"):
+        points = spark.read.option("header", True).csv(f"{out}/{name}")
+        points = points.select(*[F.col(c).cast("double").alias(c) for c in ["threshold", *_POINT] if c in points.columns])
+        long = points.unpivot("threshold", points.columns[1:], "metric", "value").filter("value IS NOT NULL")
+        parts = parts.unionByName(long.select(F.lit(name).alias("output"), "threshold", "metric", "value"))
+    return rounded(parts, "threshold", "value")
+
+
+@query("s14_policy_revised_by_job", oracle("""
+SELECT 1 AS version, t AS threshold, 'approval_target' AS metric, 'y_pred' AS prob, rate AS approve_rate_recent, bad AS expected_bad_rate_on_approved
+FROM (SELECT ROUND(t, 6) AS t, ROUND(AVG(CASE WHEN y_pred <= t THEN 1.0E0 ELSE 0.0E0 END), 6) AS rate,
+             ROUND(AVG(CASE WHEN y_pred <= t THEN y_pred END), 6) AS bad FROM preds, cut GROUP BY cut.t)
+UNION ALL
+SELECT 2, ROUND(t, 6), 'approval_target', 'y_pred', ROUND(AVG(CASE WHEN y_pred <= t THEN 1.0E0 ELSE 0.0E0 END), 6),
+       ROUND(AVG(CASE WHEN y_pred <= t THEN y_pred END), 6) FROM preds, cut WHERE y_true = 0 GROUP BY cut.t""",
+    "preds", cut="SELECT quantile_cont(y_pred, 0.22) AS t FROM preds"))
+def _(spark, folder):
+    """Both versions: a threshold for an approve rate, then its rates on other predictions."""
+    from vintagemill.sources import documents
+    history = session.fresh_path(spark, "history")
+    whole = preds(spark, folder)
+    jobs.revise_policy(spark, history, saved(whole, "preds"), 0.22, "y_pred")
+    jobs.revise_policy(spark, history, saved(whole.filter("y_true = 0"), "preds"), score="y_pred")
+    versions = [documents.read_policy(spark, history, v).withColumn("version", F.lit(v)) for v in documents.policy_versions(spark, history)]
+    return rounded(versions[0].unionByName(versions[1]), "threshold", "approve_rate_recent", "expected_bad_rate_on_approved")
+
+
 @query("c9_backtest_job", oracle(f"""
 SELECT vintage_q, COUNT(*) AS n, ROUND(AVG(CASE WHEN y_pred <= t THEN 1.0E0 ELSE 0.0E0 END), 6) AS approve_rate,
        ROUND(AVG(CASE WHEN y_pred <= t THEN CAST(y_true AS DOUBLE) END), 6) AS approved_bad_rate, {BAD} AS overall_bad_rate
@@ -501,6 +549,45 @@ def _(spark, folder):
     return rounded(tables.read_dataset(spark, f"{out}/slice_metrics"), "bad_rate", "auc", "pr_auc", "ks")
 
 
+def _sliced(spark: SparkSession, folder: str) -> str:
+    out = session.fresh_path(spark, "slices")
+    slim = preds(spark, folder).select("loan_id", "y_true", "y_pred")
+    jobs.slice_reports(spark, saved(slim, "preds"), saved(abt(spark, folder), "abt"), out, T)
+    return out
+
+
+_RATES = ("approve_rate", "approved_bad_rate", "overall_bad_rate")
+
+
+@query("c10_slice_job_policy", oracle(f"""
+SELECT 'policy_metrics' AS output, p.* FROM ({scores._policy_sql(False, 'slice, value')} FROM long GROUP BY 1, 2) p
+UNION ALL SELECT 'policy_state_top20', 'state', q.* FROM ({scores._policy_sql(False, 'state')} FROM preds WHERE state IN (
+  SELECT state FROM preds WHERE state IS NOT NULL GROUP BY state ORDER BY COUNT(*) DESC, state LIMIT 20) GROUP BY 1) q""",
+    "preds", long=" UNION ALL ".join(f"SELECT '{s}' AS slice, CAST({s} AS VARCHAR) AS value, y_true, y_pred FROM preds" for s in jobs.SLICES)))
+def _(spark, folder):
+    """Policy metrics of every slice value, and of the 20 largest states."""
+    out = _sliced(spark, folder)
+    every = tables.read_dataset(spark, f"{out}/policy_metrics").withColumn("output", F.lit("policy_metrics"))
+    schema = "state string, n bigint, approve_rate double, approved bigint, approved_bad_rate double, overall_bad_rate double"
+    top = tables.read_report(spark, f"{out}/policy_state_top20")
+    top = top.select(F.lit("policy_state_top20").alias("output"), F.lit("state").alias("slice"), F.col("state").alias("value"),
+                     *[F.col(c).cast(kind).alias(c) for c, kind in (f.split() for f in schema.split(", ")[1:])])
+    return rounded(every.unionByName(top), *_RATES)
+
+
+@query("c10_slice_job_share", oracle(f"""
+SELECT channel, purpose, state, msa, vintage_q, {scores._SHARE} FROM preds GROUP BY 1, 2, 3, 4, 5""", "preds"))
+def _(spark, folder):
+    return rounded(tables.read_dataset(spark, f"{_sliced(spark, folder)}/approved_share"), "approve_rate")
+
+
+@query("c10_slice_job_manifest", oracle(f"""
+SELECT 'loan_id' AS id_col, '{",".join(jobs.SLICES)}' AS used_slices, COUNT(*) AS n_rows_joined FROM preds""", "preds"))
+def _(spark, folder):
+    made = spark.read.json(f"{_sliced(spark, folder)}/manifest")
+    return made.select("id_col", F.array_join("used_slices", ",").alias("used_slices"), F.col("n_rows_joined").cast("bigint").alias("n_rows_joined"))
+
+
 @query("c11_exploration_job", oracle(" UNION ALL ".join(_psi_sql(f) for f in _DRIFT), "abt", s=_S))
 def _(spark, folder):
     out = session.fresh_path(spark, "eda")

@@ -205,6 +205,88 @@ def test_documents(spark, tmp_path):
     assert documents.latest_policy(history).first()["threshold"] == 0.2
 
 
+def test_policy_versions_are_created_never_overwritten(spark, tmp_path):
+    folder = str(tmp_path / "history")
+    assert documents.policy_versions(spark, folder) == []
+    with pytest.raises(FileNotFoundError):
+        documents.read_policy(spark, folder)
+    assert documents.append_policy(spark, folder, {"threshold": 0.1, "prob": "pd_cal"}) == 1
+    assert documents.append_policy(spark, folder, {"threshold": 0.2}, base=1) == 2
+    with pytest.raises(FileExistsError):  # a second writer that read version 1
+        documents.append_policy(spark, folder, {"threshold": 0.3}, base=1)
+    last, first = documents.read_policy(spark, folder).first(), documents.read_policy(spark, folder, 1).first()
+    assert (last["threshold"], last["prob"], first["threshold"]) == (0.2, "pd_cal", 0.1)
+
+
+def test_two_writers_of_one_policy_version(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "history")
+    documents.append_policy(spark, folder, {"threshold": 0.1, "prob": "pd_cal"})
+    documents.append_policy(spark, folder, {"threshold": 0.2})
+    monkeypatch.setattr(documents, "policy_versions", lambda *_: [1])  # what the second writer saw before the first was done
+    with pytest.raises(FileExistsError, match="by another"):
+        documents.append_policy(spark, folder, {"threshold": 0.3})
+    monkeypatch.undo()
+    assert documents.read_policy(spark, folder).first()["threshold"] == 0.2
+    (tmp_path / "history" / "policy-000003.json").write_text("")
+    with pytest.raises(ValueError, match="no content"):
+        documents.read_policy(spark, folder)
+
+
+def test_revised_policy_needs_predictions_and_its_score(spark, tmp_path):
+    rows = spark.createDataFrame([(i / 10, i % 2) for i in range(10)], "pd_cal double, y_true int")
+    rows.write.parquet(str(tmp_path / "p"))
+    rows.filter("pd_cal > 2").write.parquet(str(tmp_path / "none"))
+    history = str(tmp_path / "history")
+    with pytest.raises(ValueError, match="no policy"):
+        jobs.revise_policy(spark, history, str(tmp_path / "p"))
+    first = jobs.revise_policy(spark, history, str(tmp_path / "p"), target=0.5).first()
+    again = jobs.revise_policy(spark, history, str(tmp_path / "p")).first()
+    assert again == first and documents.policy_versions(spark, history) == [1, 2]
+    with pytest.raises(ValueError, match="no predictions"):
+        jobs.revise_policy(spark, history, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="chosen on"):
+        jobs.revise_policy(spark, history, str(tmp_path / "p"), score="y_true")
+    assert documents.policy_versions(spark, history) == [1, 2]
+
+
+def test_tree_contributions_add_up_to_the_score(spark):
+    node = scoring.Node
+    trees = []
+    for missing, left in (("zero", True), ("default", True), ("default", False), ("zero_default", False)):
+        trees.append({0: node(0, "a", 0.5, 1, -1, left, missing), 1: node(1, "b", -0.5, -2, -3, not left, missing),
+                      -1: node(-1, value=1.0, count=3.0), -2: node(-2, value=-2.0, count=1.0), -3: node(-3, value=0.25, count=4.0)})
+    trees.append({-1: node(-1, value=0.125, count=8.0)})  # a tree of one leaf
+    model = scoring.TreeEnsemble(["a", "b"], trees, [0, 0, 0, 0, -1])
+    values = [None, float("nan"), 0.0, -1.0, 0.5, 2.0]
+    df = spark.createDataFrame([(6 * i + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)], "id int, a double, b double")
+    # mean of a tree: (3 * 1 - 2 + 4 * 0.25) / 8; below its root: (-2 + 4 * 0.25) / 5
+    assert model.base() == pytest.approx(4 * 0.25 + 0.125)
+    rows = df.select("id", "a", "b", model.contributions().alias("c"), model.raw_expression().alias("raw")).collect()
+    assert all(sum(r["c"]) == pytest.approx(r["raw"] - model.base()) for r in rows)
+    high = next(r for r in rows if (r["a"], r["b"]) == (2.0, -1.0))
+    assert high["c"] == pytest.approx([4 * (1.0 - 0.25), 0.0])
+    low = next(r for r in rows if (r["a"], r["b"]) == (-1.0, -1.0))
+    assert low["c"] == pytest.approx([4 * (-0.2 - 0.25), 4 * (-2.0 + 0.2)])
+    codes = scoring.tree_reason_codes(df, model, "id", k=1).where(f"id = {low['id']}").collect()
+    assert [(r["rank"], r["feature"], r["value"]) for r in codes] == [(1, "b", -1.0)]
+    stored = scoring.ensemble_from_nodes(model.node_table(spark), model.features)
+    assert stored.base() == model.base()
+    with pytest.raises(ValueError, match="training rows"):
+        scoring.TreeEnsemble(["a"], [{0: node(0, value=1.0)}], [0]).base()
+
+
+def test_search_draws_side_by_side(table):
+    train, valid = table.filter("split = 'train'"), table.filter("split = 'valid'")
+    space = {"maxDepth": [1, 2], "minInstancesPerNode": [5, 2000], "weight_scale": [0.5, 1.0]}
+    runs = [training.random_search(train, valid, 4, space=space, numeric=["fico", "ltv"], at_once=n, maxIter=2) for n in (1, 3)]
+    logs = [log.orderBy("draw").collect() for _, log in runs]
+    assert logs[0] == logs[1] and [r["draw"] for r in logs[0]] == [1, 2, 3, 4]
+    best = [r for r in logs[0] if r["best"]]
+    assert len(best) == 1 and best[0]["ks"] == max(r["ks"] for r in logs[0])
+    scored = training.predictions(runs[1][0], valid, keys=["loan_id"])
+    assert training.KolmogorovSmirnov().evaluate(scored) == pytest.approx(best[0]["ks"])
+
+
 def test_policy_is_bound_to_its_score_column(spark, tmp_path):
     path = str(tmp_path / "choice")
     documents.write_document(documents.policy_record(spark, {"threshold": 0.1, "metric": "f1", "prob": "pd_cal"}), path)

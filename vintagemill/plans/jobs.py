@@ -281,6 +281,32 @@ def set_policy_by_approval(spark: SparkSession, preds_path: str, out: str, targe
     return record
 
 
+def revise_policy(
+    spark: SparkSession, history: str, preds_path: str, target: float | None = None, score: str = "pd_cal"
+) -> DataFrame:
+    """Next version of the stored policy: the threshold for an approve rate, if given, and the rates it has on these predictions.
+
+    The version is worked out from the last one; when another writer was faster, nothing is stored and this fails.
+    """
+    base = max(documents.policy_versions(spark, history), default=0)
+    stored = documents.read_policy(spark, history, base).first() if base else None
+    if stored is None and target is None:
+        raise ValueError(f"no policy in {history}, and no approve rate to choose one by")
+    if stored is not None and stored["prob"] != score:
+        raise ValueError(f"policy was chosen on {stored['prob']!r}, not on {score!r}")
+    preds = tables.read_dataset(spark, preds_path)
+    changes: dict[str, object] = {"threshold": stored["threshold"] if stored else None}
+    if target is not None:
+        changes["threshold"] = policy.threshold_for_approval(preds, score, target).first()["threshold"]
+        changes |= {"metric": "approval_target", "prob": score}
+    outcome = policy.approved_outcome(preds, score, changes["threshold"]).first()
+    if outcome["approve_rate"] is None:
+        raise ValueError(f"no predictions in {preds_path}")
+    changes |= {"approve_rate_recent": outcome["approve_rate"],
+                "expected_bad_rate_on_approved": outcome["expected_bad_rate_on_approved"]}
+    return documents.read_policy(spark, history, documents.append_policy(spark, history, changes, base))
+
+
 def run_backtest(
     spark: SparkSession, abt_path: str, preds_path: str, policy_path: str, out: str, score: str = "pd_cal"
 ) -> DataFrame:
@@ -301,7 +327,7 @@ def run_backtest(
 def slice_reports(
     spark: SparkSession, preds_path: str, abt_path: str, out: str, t: float, score: str = "y_pred", label: str = "y_true"
 ) -> None:
-    """Quality and policy metrics by slice, approved share, stability and KPI history."""
+    """Quality and policy metrics by slice, those of the largest states, approved share, stability, KPI history, and a manifest."""
     preds = tables.read_dataset(spark, preds_path)
     loans_ = tables.read_dataset(spark, abt_path)
     df = joins.attach_slices(preds, loans_, [*SLICES, "msa"])
@@ -309,6 +335,8 @@ def slice_reports(
     tables.write_dataset(quality, f"{out}/slice_metrics", ["slice"])
     stored = tables.read_dataset(spark, f"{out}/slice_metrics")
     tables.write_dataset(policy.policy_by_slice(df, SLICES, score, label, t), f"{out}/policy_metrics", ["slice"])
+    largest = policy.in_largest_groups(df, "state", 20).groupBy("state").agg(*policy.policy_aggregates(score, label, t))
+    tables.write_report(largest.orderBy("approve_rate", "state"), f"{out}/policy_state_top20")
     share = policy.approved_share(df, SHARE_SLICES, score, t)
     tables.write_dataset(share, f"{out}/approved_share")
     states = stored.filter(F.col("slice") == "state").orderBy(F.desc("n"), "value").limit(20)
@@ -317,6 +345,11 @@ def slice_reports(
         monitoring.stability_table(stored.filter(F.col("slice") != "vintage_q"), by=["slice"]), f"{out}/stability")
     history = monitoring.kpi_history(stored.filter(F.col("slice") == "vintage_q"), "value")
     tables.write_dataset(monitoring.rolling_mean(history), f"{out}/kpi_history", ["metric"])
+    # each row has one value of a slice, so any slice counts all rows
+    joined = stored.filter(F.col("slice") == SLICES[0]).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows_joined"))
+    documents.write_document(joined.select(
+        F.lit(preds_path).alias("preds"), F.lit(abt_path).alias("abt"), F.lit("loan_id").alias("id_col"),
+        F.array(*map(F.lit, SLICES)).alias("used_slices"), "n_rows_joined"), f"{out}/manifest")
 
 
 def explore(
