@@ -326,14 +326,17 @@ for _name, _compat in (("a7_labelled_bins", False), ("p22_labelled_bins_compat",
     query(_name, oracle(_sql, "abt"))(_all_labelled(_compat))
 
 
-@query("p23_interval_bins", oracle(f"""
+INTERVALS = f"""
 SELECT position, interval, COUNT(*) AS n, {RATE} FROM (
   SELECT default_within_24m, CASE WHEN fico < 500 THEN NULL WHEN fico <= 580 THEN 0 WHEN fico <= 620 THEN 1 WHEN fico <= 660 THEN 2
     WHEN fico <= 700 THEN 3 WHEN fico <= 740 THEN 4 WHEN fico <= 780 THEN 5 WHEN fico <= 850 THEN 6 END AS position,
   CASE WHEN fico < 500 THEN NULL WHEN fico <= 580 THEN '(499.999, 580.0]' WHEN fico <= 620 THEN '(580.0, 620.0]'
     WHEN fico <= 660 THEN '(620.0, 660.0]' WHEN fico <= 700 THEN '(660.0, 700.0]' WHEN fico <= 740 THEN '(700.0, 740.0]'
     WHEN fico <= 780 THEN '(740.0, 780.0]' WHEN fico <= 850 THEN '(780.0, 850.0]' END AS interval FROM abt)
-WHERE position IS NOT NULL GROUP BY 1, 2""", "abt"))
+WHERE position IS NOT NULL GROUP BY 1, 2"""
+
+
+@query("p23_interval_bins", oracle(INTERVALS, "abt"))
 def _(spark, folder):
     return rounded(summaries.by_interval(abt(spark, folder), "fico"), "bad_rate")
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from checks import scores
-from checks.features import _CLEAN, _DRIFT, _HPI, _ORIG, _S, _psi_sql, macro_frames, split_abt
-from checks.loans import RATE, abt, dataset, rounded
+from checks.features import _CLEAN, _DER, _DERIVED, _DRIFT, _HPI, _ORIG, _S, _hist_sql, _psi_sql, macro_frames, split_abt
+from checks.loans import INTERVALS, RATE, _labelled, abt, dataset, rounded
 from checks.registry import query
 from checks.scores import BAD, T, preds
 from checks.views import SPLIT_YEARS, oracle, table
 from vintagemill import session
-from vintagemill.operators import features, scoring, training
+from vintagemill.operators import drift, features, scoring, training
 from vintagemill.plans import jobs
 from vintagemill.schemas import ABT_COLUMNS, AUDIT_RULES, CATEGORY_COLUMNS, LABEL, MODEL_NUMERIC, MONOTONE_DIRECTIONS
-from vintagemill.sources import tables
+from vintagemill.sources import documents, tables
 
 
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -517,7 +520,6 @@ SELECT 2, ROUND(t, 6), 'approval_target', 'y_pred', ROUND(AVG(CASE WHEN y_pred <
     "preds", cut="SELECT quantile_cont(y_pred, 0.22) AS t FROM preds"))
 def _(spark, folder):
     """Both versions: a threshold for an approve rate, then its rates on other predictions."""
-    from vintagemill.sources import documents
     history = session.fresh_path(spark, "history")
     whole = preds(spark, folder)
     jobs.revise_policy(spark, history, saved(whole, "preds"), 0.22, "y_pred")
@@ -595,6 +597,70 @@ def _(spark, folder):
     return rounded(spark.read.option("header", True).schema("feature string, psi double").csv(f"{out}/psi"), "psi")
 
 
+def _volume_sql(output: str, keys: list[str], tail: str = "") -> str:
+    key = " || ' ' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '')" for k in keys)
+    return f"(SELECT '{output}' AS output, {key} AS key, COUNT(*) AS n, {RATE} FROM abt GROUP BY {', '.join(keys)} {tail})"
+
+
+def _bin_sql(feature: str) -> str:
+    return f"SELECT 'bins_{feature}' AS output, COALESCE(bin, '') AS key, n, bad_rate FROM ({_labelled(feature, False)})"
+
+
+# outputs of the exploration job: name -> (key columns, statement)
+_VOLUMES = {
+    "vintage": (["vintage_q"], _volume_sql("vintage", ["vintage_q"])),
+    "states": (["state"], _volume_sql("states", ["state"], "ORDER BY n DESC, state LIMIT 25")),
+    "channel_purpose": (["channel", "purpose"], _volume_sql("channel_purpose", ["channel", "purpose"])),
+    **{f"bins_{f}": (["bin"], _bin_sql(f)) for f in ("fico", "ltv", "dti")},
+    "intervals_fico": (["interval"], f"SELECT 'intervals_fico' AS output, interval AS key, n, bad_rate FROM ({INTERVALS})"),
+}
+
+
+def _report_rows(spark: SparkSession, folder: str, name: str, keys: list[str], n: str = "n", value: str = "bad_rate") -> DataFrame:
+    report = spark.read.option("header", True).csv(f"{folder}/{name}")
+    key = F.concat_ws(" ", *[F.coalesce(F.col(k), F.lit("")) for k in keys])
+    return report.select(
+        F.lit(name).alias("output"), key.alias("key"), F.expr(n).cast("bigint").alias("n"), F.expr(value).cast("double").alias("bad_rate"))
+
+
+def _volumes(spark: SparkSession, folder: str) -> DataFrame:
+    parts = [_report_rows(spark, folder, name, keys) for name, (keys, _) in _VOLUMES.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("c11_exploration_job_outputs", oracle(" UNION ALL ".join([
+    *[sql for _, sql in _VOLUMES.values()],
+    *[f"SELECT 'histograms', feature || ' ' || bin, n, low FROM ({_hist_sql(f)})" for f in drift.DRIFT_FEATURES],
+    *[f"SELECT 'outlier_flags', '{c}', COUNT(CASE WHEN {c} < {lo} OR {c} > {hi} OR {c} IS NULL THEN 1 END), NULL FROM abt"
+      for c, (lo, hi) in AUDIT_RULES.items()],
+    "SELECT 'missing_top', feature, NULL, missing_pct FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, ROUND((COUNT(*) - COUNT({c})) * 100.0E0 / COUNT(*), 2) AS missing_pct FROM abt"
+        for c in ABT_COLUMNS) + ") WHERE missing_pct > 0"]), "abt", s=_S))
+def _(spark, folder):
+    """Ten more outputs of the job in one long table; the last column is a rate, a histogram's edge or a share."""
+    out = session.fresh_path(spark, "eda")
+    jobs.explore(spark, saved(abt(spark, folder), "abt"), out, SPLIT_YEARS)
+    rows = _volumes(spark, out).unionByName(_report_rows(spark, out, "histograms", ["feature", "bin"], value="low"))
+    rows = rows.unionByName(_report_rows(spark, out, "outlier_flags", ["feature"], "count_flagged", "CAST(NULL AS DOUBLE)"))
+    return rounded(rows.unionByName(_report_rows(spark, out, "missing_top", ["feature"], "CAST(NULL AS BIGINT)", "missing_pct")), "bad_rate")
+
+
+_MEDIAN_INPUTS = ["orig_upb", "orig_rate", "fico", "ltv", "cltv", "dti", "msa", "loan_term", "num_units",
+                  *_DER, "rate_spread_vintage"]
+
+
+@query("c5_splits_job_medians", oracle(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, ROUND(quantile_cont(CAST({f} AS DOUBLE), 0.5), 4) AS median FROM d WHERE split = 'train'"
+    for f in _MEDIAN_INPUTS), "abt", clean=_CLEAN, d=_DERIVED, s=_S))
+def _(spark, folder):
+    """The stored medians of every feature but the encoded categories, which c5_features_and_splits has."""
+    out = session.fresh_path(spark, "splits")
+    jobs.build_splits(spark, saved(abt(spark, folder), "abt"), out, f"{out}-medians", SPLIT_YEARS)
+    schema = T_.StructType([T_.StructField("medians", T_.MapType(T_.StringType(), T_.DoubleType()))])
+    stored = documents.read_document(spark, f"{out}-medians", schema).select(F.explode("medians").alias("feature", "median"))
+    return rounded(stored.filter(~F.col("feature").endswith("_te")), "median", digits=4)
+
+
 _EXPORT = oracle(f"""SELECT loan_id, vintage_q, state, channel, purpose, y_true, ROUND(y_pred, 6) AS pd,
   CASE WHEN y_pred <= {T} THEN 1 ELSE 0 END AS decision_at_t FROM preds""", "preds")
 
@@ -614,7 +680,6 @@ def _(spark, folder):
 
 
 def _export(spark, folder, reports):
-    from vintagemill.sources import documents
     out = session.fresh_path(spark, "export")
     documents.write_document(documents.policy_record(spark, {"threshold": T, "metric": "f1", "prob": "y_pred"}), f"{out}-policy")
     jobs.export_decisions(spark, {"test": saved(preds(spark, folder), "preds")}, reports, f"{out}-policy", out, "y_pred")
@@ -624,3 +689,26 @@ def _export(spark, folder, reports):
 def _exported(spark, folder):
     schema = "loan_id bigint, vintage_q date, state string, channel string, purpose string, y_true int, pd double, decision_at_t int"
     return rounded(spark.read.option("header", True).schema(schema).csv(f"{_export(spark, folder, {})}/test"), "pd")
+
+
+@query("s15_full_export_set", oracle(" UNION ALL ".join([
+    *[sql for _, sql in _VOLUMES.values()],
+    *[f"""SELECT '{name}', CAST(loan_id AS VARCHAR), CASE WHEN y_pred <= {T} THEN 1 ELSE 0 END, ROUND(y_pred, 6) FROM preds WHERE {rows}"""
+      for name, rows in (("test", "y_true = 0"), ("recent", "true"))],
+    f"SELECT 'summary', 'f1 y_pred', NULL, {T}"]), "abt", "preds"))
+def _(spark, folder):
+    """Two decision tables, seven reports and the summary, as exported, in one long table."""
+    eda, out = session.fresh_path(spark, "eda"), session.fresh_path(spark, "export")
+    jobs.explore(spark, saved(abt(spark, folder), "abt"), eda, SPLIT_YEARS)
+    documents.write_document(documents.policy_record(spark, {"threshold": T, "metric": "f1", "prob": "y_pred"}), f"{out}-policy")
+    whole = preds(spark, folder)
+    jobs.export_decisions(
+        spark, {"test": saved(whole.filter("y_true = 0"), "preds"), "recent": saved(whole, "preds")},
+        {name: f"{eda}/{name}" for name in _VOLUMES}, f"{out}-policy", out, "y_pred")
+    rows = _volumes(spark, out)
+    for name in ("test", "recent"):
+        rows = rows.unionByName(_report_rows(spark, out, name, ["loan_id"], "decision_at_t", "pd"))
+    summary = spark.read.json(f"{out}/summary").select(
+        F.lit("summary").alias("output"), F.concat_ws(" ", "metric", "prob").alias("key"), F.lit(None).cast("bigint").alias("n"),
+        F.col("threshold").cast("double").alias("bad_rate"))
+    return rounded(rows.unionByName(summary), "bad_rate")
