@@ -278,6 +278,15 @@ def test_terms_of_any_length_anywhere_in_the_text(spark, frame):
         assert {tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s.startswith("term")} == places
 
 
+def test_spans_are_counted_by_kind_and_large_ids_stay_exact(spark, frame):
+    rows = [(2**60 + 1, "a@b.cc 10.0.0.1 c@d.ee"), (2**60 + 2, "+49 30 1234567 +49 30 1234568"), (2**60 + 3, "10.0.0.1, 4111 1111 1111 1111"),
+            (None, "x@y.zz"), (-(2**60) - 3, None), (2**60 + 4, "a@b.cc d@e.ff g@h.ii")]
+    found = disclosure.digest(disclosure.find_personal_data(frame(rows, DOCS).coalesce(1))).collect()
+    counts = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in found}
+    assert len(found) == len(rows) and counts == {
+        i: tuple(Counter(k for k, _, _ in plain_spans(text or ""))[k] for k in range(4)) for i, text in rows}
+
+
 def test_scan_of_a_contact_list_grows_with_the_text(spark, frame):
     lines = 3_000
     text = "\n".join(f"Phone: +49 30 {1000000 + i}" for i in range(lines))

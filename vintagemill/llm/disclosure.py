@@ -121,20 +121,23 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     bound_batches(docs.sparkSession)
     schema = f"doc_id long, text_key binary, base {_SPAN}, subjects array<long>, words array<struct<term: string, starts: array<int>>>"
-    names = ["doc_id", "text_key", "base", "subjects", "words"]
+    names = ["text_key", "base", "subjects", "words"]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, key, text in zip(batch["doc_id"].tolist(), batch["text_key"].tolist(), batch["text"].tolist()):
+            for key, text in zip(batch["text_key"].tolist(), batch["text"].tolist()):
                 spans = personal_spans(text)
                 places = term_places(text, spans) if spans else {}
-                out.append((doc_id, key, [{"kind": k, "start": a, "end": b} for k, a, b in spans], _subjects(text, spans),
+                out.append((key, [{"kind": k, "start": a, "end": b} for k, a, b in spans], _subjects(text, spans),
                             [{"term": t, "starts": s} for t, s in places.items()]))
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+            found = pd.DataFrame(out, columns=names)
+            found.insert(0, "doc_id", pd.array([i if i is None else int(i) for i in batch["doc_id"].tolist()], dtype="Int64"))
+            yield found
 
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), text_key(text).alias("text_key")).mapInPandas(rows, schema)
+    # as text, since pandas makes doubles of numbers beside a NULL
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), text.alias("text"), text_key(text).alias("text_key")).mapInPandas(rows, schema)
 
 
 def text_key(text: Column) -> Column:
@@ -231,7 +234,12 @@ def find_personal_data(docs: DataFrame, threshold: float = DISCLOSURE, level: fl
 def digest(found: DataFrame) -> DataFrame:
     """Counts by kind, a checksum of the base spans and all spans as text."""
     term = F.transform("terms", lambda t: F.struct(F.lit(4).alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
+
+    def count(kind: int) -> Column:
+        # a second parameter of the lambda would be the index of the span
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
                         _joined(F.concat("base", term)).alias("spans"), F.size("terms").cast("long").alias("n_term"))
 
