@@ -184,6 +184,20 @@ def test_constant_and_empty_columns(spark):
     assert drift.with_quantile_bin(df, "c").first()["bin"] is None
 
 
+def test_code_of_a_quantile_scan_is_short_enough_to_be_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    names = [f"c{i}" for i in range(19)]
+    df = spark.range(50).select((F.col("id") % 3).alias("g"), *[(F.col("id") * i).cast("double").alias(c) for i, c in enumerate(names)])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for table in (ordered.medians(df, names), ordered.medians(df, names, ["g"])):
+            stages = table._jdf.queryExecution().debug().codegenToSeq()
+            assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_grid_formula():
     assert policy.parse_grid() == np.arange(0.01, 0.251, 0.005).tolist()
     assert policy.parse_grid("0.1:0.5:0.1") == np.arange(0.1, 0.5 + 1e-12, 0.1).tolist()

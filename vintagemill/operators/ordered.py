@@ -11,6 +11,8 @@ always agree.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -75,11 +77,23 @@ def running_totals(counts: DataFrame, order: str, measures: Sequence[str], by: S
     return counts.join(offsets, [*by, "prefix28"]).withColumns(runs).drop("prefix28", *[f"_off_{m}" for m in measures])
 
 
+def _matched(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on key columns of both; ``other``'s own are dropped.
+
+    For a plain equality the optimizer puts a test for NULL on each key below everything
+    that works the key out, and so works all that out twice; the code of the scan then
+    grows beyond what the JVM compiles, and every row is interpreted.
+    """
+    renamed = other.withColumnsRenamed({c: f"_of_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys]
+    return df.join(renamed, reduce(and_, same), how).drop(*[f"_of_{c}" for c in keys])
+
+
 def _holding(counts: DataFrame, wanted: DataFrame, group: Sequence[str], part: str) -> DataFrame:
     """Parts of the counted ones that hold a wanted rank of their group, with the ranks counted from their start."""
     upto = W.partitionBy(*group).orderBy(part).rowsBetween(W.unboundedPreceding, 0)
     placed = counts.withColumn("_upto", F.sum("n").over(upto)).withColumn("_from", F.col("_upto") - F.col("n"))
-    met = placed.join(wanted, group).filter((F.col("high") >= F.col("_from")) & (F.col("low") < F.col("_upto")))
+    met = _matched(placed, wanted, group).filter((F.col("high") >= F.col("_from")) & (F.col("low") < F.col("_upto")))
     ranks = [(F.col(c) - F.col("_from")).alias(c) for c in ("low", "high")]
     return met.select(*group, part, "n", "q", *ranks, "share")
 
@@ -116,12 +130,12 @@ def exact_quantiles(
     each_value = [*outer, "prefix28", "value"]
     if session.may_broadcast(rows, holders.schema):
         # The usual case: drop all other prefixes during the scan.
-        held = long.join(F.broadcast(holders), outer, "left_semi")
+        held = _matched(long, F.broadcast(holders), outer, "left_semi")
         values = held.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
     else:
         # Very many groups: combine equal values before anything is shuffled.
         values = long.groupBy(*each_value).agg(F.count(F.lit(1)).alias("n"))
-        values = values.join(holders, outer, "left_semi")
+        values = _matched(values, holders, outer, "left_semi")
     if (most or 0) <= IN_ORDER:
         found = _holding(values.drop("prefix28"), ranks, outer, "value")
     else:
