@@ -21,6 +21,9 @@ def built_abt(spark: SparkSession, folder: str) -> DataFrame:
 
 _datasets: dict[tuple[str, str, str], str] = {}
 
+# Years a task writes side by side; rows are put in order only if it meets more.
+YEAR_FILES = 32
+
 
 def dataset(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
     """A derived dataset, written once per application and read by later queries.
@@ -60,7 +63,8 @@ def raw_root(spark: SparkSession, folder: str) -> str:
     root = _datasets[slot] = session.fresh_path(spark, "raw")
     for name in ("acq", "perf"):
         df = raw_frame(spark, folder, f"{name}_raw").withColumn("y", F.substring("_c1", 1, 4))
-        df.write.partitionBy("y").option("sep", "|").csv(f"{root}/{name}")
+        with tables.open_files(spark, YEAR_FILES):
+            df.write.partitionBy("y").option("sep", "|").csv(f"{root}/{name}")
     return root
 
 

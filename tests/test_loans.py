@@ -98,6 +98,24 @@ def test_short_lines_are_padded(spark, tmp_path):
     assert got == {"A": None, "B": "1"}
 
 
+def test_raw_files_are_written_and_profiled_without_sorting_rows(spark, tmp_path):
+    spark.sql(f"CREATE TABLE by_year (v STRING, y STRING) USING csv PARTITIONED BY (y) LOCATION '{tmp_path}/by_year'")
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    try:
+        with tables.open_files(spark, 4):
+            plan = spark.sql("EXPLAIN INSERT INTO by_year SELECT CAST(id AS STRING), CAST(id % 3 AS STRING) FROM range(9)").first()[0]
+    finally:
+        spark.sql("DROP TABLE by_year")
+    assert "Sort" not in plan and spark.conf.get(key) == before
+    rows = [(str(i), f"y{i % 7}") for i in range(500)]
+    with tables.open_files(spark, 2):  # more years than files: the rows are the same
+        spark.createDataFrame(rows, "v string, y string").coalesce(1).write.partitionBy("y").csv(f"{tmp_path}/raw")
+    assert sorted(map(tuple, spark.read.schema("v string, y string").csv(f"{tmp_path}/raw").collect())) == sorted(rows)
+    profile = raw.layout_profile(spark, f"{tmp_path}/raw")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in profile and "SortAggregate" not in profile
+
+
 def test_layout_profile_spots_delimiter_and_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("fico,date,x\n700,201901,1\n710,201902\n")
     (tmp_path / "b.txt").write_text("700|201901|a,b|1\n710|201902|c|2\n")

@@ -96,8 +96,9 @@ def layout_profile(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     counts = {name: F.length("value") - F.length(F.replace("value", F.lit(d))) for d, name in DELIMITERS.items()}
     lines = _lines(spark, paths).select(
         F.col("_metadata.file_path").alias("file"),
-        # splits of a file are numbered by their start, lines within a task by the order they are read in
-        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line")).alias("place"),
+        # lines within a task are numbered by the order they are read in; a file's first line is in its split from 0.
+        # One number, as rows are sorted to find the least of a struct
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
         *[c.alias(name) for name, c in counts.items()],
         F.col("value").rlike(r"^[^0-9]*[A-Za-z][^0-9]*$").alias("worded"),
         F.col("value").rlike("[0-9]").alias("numbered"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,22 @@ def write_dataset(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes by partition columns inside hold up to ``most`` files open in a task.
+
+    Spark otherwise sorts a task's rows by these columns, all its rows at once in memory.
+    The files have the same rows.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def clean_names(names: Sequence[str]) -> list[str]:
     return [re.sub(r"\s+", "_", n.strip().lower()) for n in names]
 
