@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from vintagemill.llm import bottomk, disclosure, packing, pu_quality
 from vintagemill.session import fresh_path
 
+#: Bytes of words a packing worker holds; workers live on beside the other stages, so fewer than for packing alone.
+WORD_BYTES = 80 << 20
+
 
 def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier scores at least 0.5.
@@ -50,7 +53,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A NULL text is packed as an empty one; repeated rows are packed each by themselves; an
     empty table gives an empty table; other columns than doc_id and text are not looked at.
     """
-    return packing.pack(docs)
+    return packing.pack(docs, memory_bytes=WORD_BYTES)
 
 
 STAGES = [

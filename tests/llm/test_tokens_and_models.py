@@ -139,6 +139,20 @@ def test_packing(spark, frame):
     assert packing.pack(frame([], DOCS)).count() == 0
 
 
+def test_packing_with_little_memory_for_words(spark, frame, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(200))) for i in range(60)]
+    docs = frame(rows, DOCS).coalesce(1)
+    pack = packing.pack
+    assert sorted(pack(docs, memory_bytes=1 << 14).collect()) == sorted(pack(docs).collect())
+    given = []
+    monkeypatch.setattr(packing, "pack", lambda docs, **how: given.append(how) or pack(docs, **how))
+    corpus_pipeline.pack_sequences(spark, docs, "")
+    assert given[0]["memory_bytes"] <= 80 << 20  # workers live on beside the other stages
+
+
 def test_trie_counts(spark, frame):
     scores = trie_counts.zipf_scores(tokenizer_path("piece_bpe_32k.model"))
     longest, byte = max(map(len, scores)), min(scores.values()) - 10

@@ -97,7 +97,8 @@ def best_fit_plan(counts: Mapping[int, int], capacity: int) -> np.ndarray:
     return np.array(plan, np.int64).reshape(-1, 6)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, with_ids: bool = False,
+                 memory_bytes: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 [, ids] and (part, rank): the piece is the rank-th of its length in that task.
 
     A document is its ids and an end id; longer ones are cut every ``capacity`` ids.
@@ -109,7 +110,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity
     names = [c.split()[0] for c in schema.split(", ")]
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, part = word_memory(vocabulary), TaskContext.get().partitionId()
+        memory, part = word_memory(vocabulary, memory_bytes), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for batch in batches:
@@ -155,14 +156,16 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInPandas(assign, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, with_ids: bool = False,
+         memory_bytes: int | None = None) -> DataFrame:
     """Packs all documents: doc_id, piece, start, length, ids_crc32 [, ids], sequence_id, offset.
 
     A NULL text counts as empty and is its end id alone.  One document per input row:
     repeated rows are packed each by themselves; NULL doc_ids are kept.  An empty table gives an
-    empty table; other columns than doc_id and text are not looked at.
+    empty table; other columns than doc_id and text are not looked at.  A worker holds about
+    ``memory_bytes`` of words and their ids, which changes no result.
     """
-    pieces = materialise(token_pieces(docs, tokenizer, capacity, with_ids), "pieces")
+    pieces = materialise(token_pieces(docs, tokenizer, capacity, with_ids, memory_bytes), "pieces")
     placed = place(pieces, capacity)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "sequence_id", "offset")
 
