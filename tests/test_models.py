@@ -287,6 +287,27 @@ def test_search_draws_side_by_side(table):
     assert training.KolmogorovSmirnov().evaluate(scored) == pytest.approx(best[0]["ks"])
 
 
+def test_draws_are_judged_on_counted_scores(spark, table, monkeypatch):
+    """What is written for a draw grows with its different scores, not with the rows; nothing stays in memory."""
+    train, valid = table.filter("split = 'train'"), table.filter("split = 'valid'")
+    written, write = [], training.session.materialise
+
+    def spy(df, name="table"):
+        done = write(df, name)
+        if name == "draw":
+            written.append(done)
+        return done
+
+    monkeypatch.setattr(training.session, "materialise", spy)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    space = {"maxDepth": [1, 2], "minInstancesPerNode": [5]}
+    training.random_search(train, valid, 2, space=space, numeric=["fico", "ltv"], at_once=1, maxIter=1)
+    assert len(written) == 2
+    for draw in written:
+        assert draw.count() <= 2 * 4 and draw.agg(F.sum("n")).first()[0] == valid.count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= kept
+
+
 def test_policy_is_bound_to_its_score_column(spark, tmp_path):
     path = str(tmp_path / "choice")
     documents.write_document(documents.policy_record(spark, {"threshold": 0.1, "metric": "f1", "prob": "pd_cal"}), path)

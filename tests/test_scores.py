@@ -117,6 +117,16 @@ def test_quantiles_evaluate_their_input_twice(spark):
         assert run().collect() and seen.value - before == times * 500
 
 
+def test_counted_rows_rank_like_the_rows(spark):
+    nan = float("nan")
+    rows = [(1, 0.5, 2), (0, 0.5, 3), (0, -0.0, 2), (1, 0.0, 1), (0, 0.9, 1), (1, 0.9, 4), (None, 0.2, 2), (1, None, 3), (0, nan, 2), (1, 0.1, 0), (0, 0.3, None)]
+    counted = spark.createDataFrame(rows, "y_true int, y_pred double, n long")
+    whole = spark.createDataFrame([r[:2] for r in rows for _ in range(r[2] or 0)], "y_true int, y_pred double")
+    got, expected = (ranking.evaluate(df, count=c).first() for df, c in ((counted, "n"), (whole, None)))
+    assert got == expected and (got["n"], got["positives"]) == (13, 7)
+    assert ranking.score_counts(counted, "y_pred", "y_true", count="n").filter("score = 0").collect() == [(0, 0.0, 1, 2)]
+
+
 def test_one_class_and_null_slices(spark):
     rows = [("good", 0, 0.1), ("good", 0, 0.2), ("both", 1, 0.9), ("both", 0, 0.1), (None, 1, 0.5)]
     df = spark.createDataFrame(rows, "s string, y_true int, y_pred double")

@@ -17,20 +17,25 @@ from vintagemill.functions import numeric
 from vintagemill.operators import ordered
 
 
-def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., prefix28, score, pos, neg): one row per distinct score."""
+def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = (), count: str | None = None) -> DataFrame:
+    """(by..., prefix28, score, pos, neg): one row per distinct score.
+
+    ``count`` names a column that says how many rows a row stands for.
+    """
     by = list(by)
+    rows = F.lit(1) if count is None else F.col(count)
     slim = df.select(
-        *by, numeric.to_double(score).alias("score"), F.col(label).cast("int").alias("_y")
+        *by, numeric.to_double(score).alias("score"), F.col(label).cast("int").alias("_y"), rows.alias("_n")
     )
-    slim = ordered.keep_known(slim, slim.columns)
+    slim = ordered.keep_known(slim, [*by, "score", "_y"])
     slim = ordered.with_prefixes(slim, "score", 28)
-    return slim.groupBy(*by, "prefix28", "score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+    return slim.groupBy(*by, "prefix28", "score").agg(
+        F.sum(F.col("_y") * F.col("_n")).alias("pos"), F.sum((1 - F.col("_y")) * F.col("_n")).alias("neg"))
 
 
-def ranking_table(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+def ranking_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (), count: str | None = None) -> DataFrame:
     """Score counts plus running and total counts per class."""
-    return ordered.running_totals(score_counts(df, score, label, by), "score", ["pos", "neg"], by)
+    return ordered.running_totals(score_counts(df, score, label, by, count), "score", ["pos", "neg"], by)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -75,9 +80,13 @@ def evaluate(
     by: Sequence[str] = (),
     two_sided_ks: bool = True,
     metrics: Sequence[str] | None = None,
+    count: str | None = None,
 ) -> DataFrame:
-    """One row of metrics per group; ranking metrics are NULL where a class is missing."""
-    table = ranking_table(df, score, label, by)
+    """One row of metrics per group; ranking metrics are NULL where a class is missing.
+
+    ``count`` names a column that says how many rows a row stands for.
+    """
+    table = ranking_table(df, score, label, by, count)
     available = metric_columns(two_sided_ks)
     return table.groupBy(*by).agg(*[available[m].alias(m) for m in metrics or available])
 
