@@ -117,6 +117,22 @@ def test_quantiles_evaluate_their_input_twice(spark):
         assert run().collect() and seen.value - before == times * 500
 
 
+def test_ranking_reads_its_rows_once_in_compiled_code(spark, tmp_path):
+    """The JVM interprets methods of more than 8,000 bytes; places in the order are worked out for each score, not each row."""
+    path = str(tmp_path / "scored")
+    spark.range(500).select((F.col("id") % 7 / 7).alias("y_pred"), (F.col("id") % 3 == 0).cast("int").alias("y_true"), (F.col("id") % 2).alias("g")).write.parquet(path)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for by in ([], ["g"]):
+            run = ranking.evaluate(spark.read.parquet(path), by=by)._jdf.queryExecution()
+            stages = run.debug().codegenToSeq()
+            assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+            assert run.executedPlan().toString().count("Scan parquet") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_counted_rows_rank_like_the_rows(spark):
     nan = float("nan")
     rows = [(1, 0.5, 2), (0, 0.5, 3), (0, -0.0, 2), (1, 0.0, 1), (0, 0.9, 1), (1, 0.9, 4), (None, 0.2, 2), (1, None, 3), (0, nan, 2), (1, 0.1, 0), (0, 0.3, None)]

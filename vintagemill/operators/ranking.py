@@ -28,9 +28,11 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
         *by, numeric.to_double(score).alias("score"), F.col(label).cast("int").alias("_y"), rows.alias("_n")
     )
     slim = ordered.keep_known(slim, [*by, "score", "_y"])
-    slim = ordered.with_prefixes(slim, "score", 28)
-    return slim.groupBy(*by, "prefix28", "score").agg(
+    counts = slim.groupBy(*by, "score").agg(
         F.sum(F.col("_y") * F.col("_n")).alias("pos"), F.sum((1 - F.col("_y")) * F.col("_n")).alias("neg"))
+    # No score is NULL here. Said so, no join on the prefix tests for it, which would work it out for every row of the input.
+    prefix = F.coalesce("prefix28", F.lit(0)).alias("prefix28")
+    return ordered.with_prefixes(counts, "score", 28).select(*by, prefix, "score", "pos", "neg")
 
 
 def ranking_table(df: DataFrame, score: str, label: str, by: Sequence[str] = (), count: str | None = None) -> DataFrame:
